@@ -21,6 +21,7 @@ _CHOICES = {
     "classes": ("code", "spec"),
     "comparable_scope": ("portfolio", "market"),
     "beta_weighting": ("sum", "normalized"),
+    "beta_nulls": ("pairwise", "separate"),
 }
 
 
@@ -34,12 +35,14 @@ def as_date(value: date | str) -> date:
 
 @dataclass(frozen=True)
 class RiskConfig:
-    """Validated on creation; every switch defaults to the implemented behaviour.
+    """Validated on creation.
 
     classes           "code": MON, rate swaps and shares; "spec": every documented class
     comparable_scope  "portfolio": the managed portfolio's own returns; "market": all managers
     benchmark_mode    "ID": one manager; "AVG": zero-filled mean of all other managers
     beta_weighting    "sum": unweighted daily sums; "normalized": cutoff weights per side
+    beta_nulls        "pairwise": a date with a missing side counts for neither; "separate":
+                      each side keeps its own dates in its mean and variance
     use_imputed       fall back to the mean imputed return where a group has no weight
     derivatives       False: the portfolio side leaves out swaps, the benchmark keeps them
     """
@@ -54,6 +57,7 @@ class RiskConfig:
     classes: str = "code"
     comparable_scope: str = "portfolio"
     beta_weighting: str = "sum"
+    beta_nulls: str = "pairwise"
     use_imputed: bool = False
     derivatives: bool = True
 

@@ -21,8 +21,21 @@ HIERARCHY = ["tipo_instr", "tipo_fondo", "clase", "afp", "C1", "C2", "C3", "C4",
 UNIVERSE = ["nemotecnico", *HIERARCHY]
 
 
+_TYPES = {
+    "DATE": T.DateType(),
+    "STRING": T.StringType(),
+    "DOUBLE": T.DoubleType(),
+    "INT": T.IntegerType(),
+    "BIGINT": T.LongType(),
+    "BOOLEAN": T.BooleanType(),
+    "PARAMETER": T.DecimalType(10, 6),
+}
+
+
 def _schema(spec: str) -> T.StructType:
-    return T.StructType.fromDDL(spec)
+    """Schema from "name TYPE, ..." (the DDL parser of Spark would need a running session)."""
+    columns = (column.split() for column in spec.split(","))
+    return T.StructType([T.StructField(name, _TYPES[kind]) for name, kind in columns])
 
 
 PANEL = _schema(
@@ -34,7 +47,7 @@ STAGING = T.StructType([*PANEL.fields, *_schema("year INT, month INT").fields])
 REAL_HISTORY = T.StructType([*PANEL.fields, *_schema("corte DATE").fields])
 CALENDAR = _schema("fecha DATE, es_habil BOOLEAN")
 ALT_PARAMS = _schema(
-    "manager STRING, fund_type STRING, region STRING, asset_type STRING, return_param DECIMAL(10,6)"
+    "manager STRING, fund_type STRING, region STRING, asset_type STRING, return_param PARAMETER"
 )
 COMPLETED = _schema(
     "fecha DATE, nemotecnico STRING, tipo_instr STRING, tipo_fondo STRING, clase STRING, afp STRING, "
