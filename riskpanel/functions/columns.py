@@ -14,7 +14,8 @@ EXCLUDED_SHARES = ("CAJA", "MTM", "CC2", "CC3")
 
 def norm(c: Column | str) -> Column:
     """Text key: trimmed, upper case, null as the empty string."""
-    c = F.col(c) if isinstance(c, str) else c
+    if isinstance(c, str):
+        return F.expr(f"upper(trim(coalesce(cast({c} AS STRING), '')))")
     return F.upper(F.trim(F.coalesce(c.cast("string"), F.lit(""))))
 
 

@@ -7,7 +7,7 @@ looks a level up per instrument:
 * which days an instrument lacks is a bit set, aggregated before the shuffle, so only the
   missing days are generated;
 * means are aggregated once at the finest level and rolled up from there;
-* the nine-level search runs once per distinct classification and day, not per instrument.
+* the nine-level search runs once per distinct classification and day that lacks a return.
 """
 
 from __future__ import annotations
@@ -15,7 +15,7 @@ from __future__ import annotations
 from datetime import date
 from math import ceil
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskpanel import schemas
@@ -42,12 +42,13 @@ def _day_bits(days: DataFrame, n: int) -> DataFrame:
     At most ``n`` rows, so one task numbers them and every use may broadcast them.
     """
     numbered = days.limit(n).select("fecha", (F.row_number().over(Window.orderBy("fecha")) - 1).alias("slot"))
-    bit = F.expr(f"shiftleft(1L, slot % {_WORD_BITS})")
-    words = [
-        F.when(F.floor(F.col("slot") / _WORD_BITS) == w, bit).otherwise(F.lit(0).cast("bigint")).alias(f"bit_{w}")
-        for w in range(ceil(n / _WORD_BITS))
-    ]
-    return numbered.select("fecha", *words)
+    return numbered.selectExpr(
+        "fecha",
+        *[
+            f"if(slot DIV {_WORD_BITS} = {w}, shiftleft(1L, slot % {_WORD_BITS}), 0L) AS bit_{w}"
+            for w in range(ceil(n / _WORD_BITS))
+        ],
+    )
 
 
 def _words(bits: DataFrame) -> list[str]:
@@ -79,14 +80,11 @@ def match_real(universe: DataFrame, days: DataFrame, real: DataFrame, n: int = H
 
     seen = observed.groupBy(*key).agg(*[F.bit_or(w).alias(f"seen_{w}") for w in words])
 
-    def is_missing(day: Column) -> Column:
-        hits = [day[w].bitwiseAND(F.coalesce(F.col(f"seen_{w}"), F.lit(0))) for w in words]
-        return sum(hits[1:], hits[0]) == 0
-
+    hits = " + ".join(f"(day.{w} & coalesce(seen_{w}, 0L))" for w in words)
     gaps = (
         universe.join(seen, key, "left")
         .withColumn("days", bits.agg(F.collect_list(F.struct("fecha", *words))).scalar())
-        .withColumn("day", F.explode(F.filter("days", is_missing)))
+        .withColumn("day", F.expr(f"explode(filter(days, day -> {hits} = 0L))"))
     )
     columns = ["fecha", *schemas.UNIVERSE]
     matched = observed.select("fecha", *key, *schemas.MEASURES).join(universe, key).select(*columns, *schemas.MEASURES)
@@ -99,67 +97,67 @@ def match_real(universe: DataFrame, days: DataFrame, real: DataFrame, n: int = H
 def hierarchy_means(real: DataFrame, chain: list[str] | None = None) -> DataFrame:
     """Mean return per day at each prefix of ``chain``; level 1 is the full chain.
 
-    Sums and counts are formed at the finest level first, so the expansion into grouping
-    sets multiplies distinct classifications and not panel rows. The level comes from the
-    grouping id, because a classification may itself be null.
+    Sums and counts are formed at the finest level first, so the roll-up multiplies
+    distinct classifications and not panel rows. It groups by the prefix as one array: the
+    length tells the level, also where a classification is null, and generated code stays
+    small enough to be compiled, which nine grouping sets over nine columns does not.
     """
     chain = chain or schemas.HIERARCHY
+    size = len(chain)
     finest = (
         real.filter(F.col("retorno").isNotNull())
-        .groupBy("fecha", *chain)
+        .groupBy("fecha", F.array(*chain).alias("path"))
         .agg(F.sum("retorno").alias("total"), F.count("retorno").alias("n"))
     )
-    prefixes = [["fecha", *chain[:size]] for size in range(len(chain), 0, -1)]
     return (
-        finest.groupingSets(prefixes, "fecha", *chain)
-        .agg(
-            (F.bit_count(F.grouping_id()) + 1).alias("level"),
-            (F.sum("total") / F.sum("n")).alias("mean_return"),
+        finest.withColumn("length", F.explode(F.sequence(F.lit(1), F.lit(size))))
+        .groupBy("fecha", F.slice("path", F.lit(1), F.col("length")).alias("prefix"))
+        .agg((F.sum("total") / F.sum("n")).alias("mean_return"))
+        .select(
+            "fecha",
+            *[F.get("prefix", F.lit(i)).alias(name) for i, name in enumerate(chain)],
+            (F.lit(size + 1) - F.size("prefix")).alias("level"),
+            "prefix",
+            "mean_return",
         )
-        .select("fecha", *chain, "level", "mean_return")
     )
 
 
-def _path(chain: list[str]) -> Column:
-    return F.array(*chain)
-
-
-def _search_levels(requests: DataFrame, means: DataFrame, chain: list[str]) -> DataFrame:
-    """First level with a mean, for each distinct (fecha, path) of ``requests``.
+def _search_levels(requests: DataFrame, means: DataFrame, size: int) -> DataFrame:
+    """First level with a mean, for each (fecha, path) of ``requests``.
 
-    A prefix of the path identifies its level by its length, so one equi-join covers all
-    nine levels. Prefixes holding a null never match.
+    Each request is tried with every prefix of its path in one equi-join. Prefixes stop
+    before the first null, which never matches. Coarse prefixes are few and heavily used,
+    and one request becomes up to nine rows, which the planner cannot foresee: a merge join
+    is asked for, since it spills, is split by adaptive execution, and never broadcasts on
+    a wrong estimate.
     """
-    complete = lambda prefix: F.forall(prefix, lambda part: part.isNotNull())
-    size = len(chain)
-    known = means.select(
-        "fecha", F.slice(_path(chain), F.lit(1), F.lit(size + 1) - F.col("level")).alias("prefix"), "level", "mean_return"
-    ).filter(complete("prefix"))
-    prefixes = F.array(*[F.slice("path", 1, length) for length in range(1, size + 1)])
-    wanted = requests.withColumn("prefix", F.explode(F.filter(prefixes, complete)))
+    hashed = F.xxhash64("fecha", "prefix").alias("hash")
+    nulls = " ".join(f"WHEN path[{i}] IS NULL THEN {i}" for i in range(size))
+    wanted = (
+        requests.withColumn("usable", F.expr(f"CASE {nulls} ELSE {size} END"))
+        .filter("usable > 0")
+        .withColumn("length", F.explode(F.sequence(F.lit(1), F.col("usable"))))
+        .select("fecha", "path", F.slice("path", F.lit(1), F.col("length")).alias("prefix"))
+        .select("*", hashed)
+    )
+    known = means.select("fecha", "prefix", "level", "mean_return", hashed).hint("merge")
     return (
-        wanted.join(known, ["fecha", "prefix"])
+        wanted.join(known, ["hash", "fecha", "prefix"])
         .groupBy("fecha", "path")
-        .agg(
-            F.min_by("mean_return", "level").alias("retorno_imputado"),
-            F.min("level").cast("int").alias("jerarquia_usada"),
-        )
+        .agg(F.min_by("mean_return", "level").alias("retorno_imputado"), F.min("level").alias("jerarquia_usada"))
     )
 
 
-def impute_hierarchy(
-    matched: DataFrame, means: DataFrame, requests: DataFrame | None = None, chain: list[str] | None = None
-) -> DataFrame:
+def impute_hierarchy(matched: DataFrame, means: DataFrame, chain: list[str] | None = None) -> DataFrame:
     """Adds the imputed return and its level to the rows without an observed return.
 
-    ``requests`` may name the (fecha, path) pairs to resolve when they are known more
-    cheaply than by reading ``matched`` once more.
+    Observed rows pass by untouched. The others ask once per distinct day and path, where
+    the path may hold nulls: as elements of one array they compare equal.
     """
     chain = chain or schemas.HIERARCHY
-    missing = matched.filter(~F.col("tiene_real")).withColumn("path", _path(chain))
-    if requests is None:
-        requests = missing.select("fecha", "path").distinct()
-    resolved = _search_levels(requests, means, chain)
+    missing = matched.filter(~F.col("tiene_real")).withColumn("path", F.array(*chain))
+    resolved = _search_levels(missing.select("fecha", "path").distinct(), means, len(chain))
     imputed = missing.join(resolved, ["fecha", "path"], "left").drop("path")
     known = matched.filter("tiene_real").select(
         "*", F.lit(None).cast("double").alias("retorno_imputado"), F.lit(None).cast("int").alias("jerarquia_usada")
@@ -191,11 +189,7 @@ def complete_history(
     """Active instruments x business days, with imputed returns and their provenance."""
     days = business_days(calendar, corte, n)
     universe = active_universe(real, corte)
-    classes = universe.select(*schemas.HIERARCHY).distinct()
-    requests = history_matrix(classes, days).select("fecha", _path(schemas.HIERARCHY).alias("path"))
-    filled = impute_hierarchy(
-        match_real(universe, days, real, n), hierarchy_means(_in_window(real, days)), requests
-    )
+    filled = impute_hierarchy(match_real(universe, days, real, n), hierarchy_means(_in_window(real, days)))
     return special_rules(return_origin(filled)).select(*schemas.COMPLETED.fieldNames())
 
 

@@ -66,7 +66,7 @@ def _mean_over_managers(normalized: DataFrame, totals: DataFrame) -> DataFrame:
         "corte",
         "fund_type",
         "asset_key",
-        *kind_names(F.col("kind")),
+        *kind_names("kind"),
         (F.col("total") / F.col("managers")).alias("normalized_weight"),
     )
 
@@ -121,7 +121,7 @@ def delta_weights(side_weights: DataFrame, cfg: RiskConfig | None = None) -> Dat
         "corte",
         "fund_type",
         F.col("asset_key").alias("comparable_key"),
-        *kind_names(F.col("kind")),
+        *kind_names("kind"),
         portfolio.alias("portfolio_weight"),
         benchmark.alias("benchmark_weight"),
         (portfolio - benchmark).alias("delta_weight"),
