@@ -1,0 +1,47 @@
+import pytest
+from pyspark.sql import functions as F
+
+from riskpanel.functions import norm, safe_ratio, tenor_bucket, winsorize
+from riskpanel.operators.history import exclude_non_modelable
+
+from tests.frames import collect, panel
+
+
+def values(spark, column, inputs, kind="string"):
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(inputs)], f"i int, x {kind}")
+    return [r.y for r in df.select("i", column.alias("y")).orderBy("i").collect()]
+
+
+def test_norm_is_null_safe(spark):
+    assert values(spark, norm("x"), [" usd ", None, "Usd"]) == ["USD", "", "USD"]
+    assert values(spark, norm(F.col("x")), [" usd ", None]) == ["USD", ""]
+
+
+def test_tenor_bucket_order_of_steps(spark):
+    given = ["0", "0.0", "0Y", "0.0Y", "0y", "10.0", " 5Y ", "0.00", None]
+    assert values(spark, tenor_bucket("x"), given) == ["0", "0", "0", "0.0", "0y", "10", "5", "0", None]
+
+
+@pytest.mark.parametrize("given, expected", [(0.05, 0.05), (-0.10, -0.10), (0.50, 0.20), (-0.35, -0.20), (0.20, 0.20), (-0.20, -0.20), (None, None)])
+def test_winsorize(spark, given, expected):
+    assert values(spark, winsorize(F.col("x"), 0.20), [given], "double") == [expected]
+
+
+def test_safe_ratio(spark):
+    df = spark.createDataFrame([(1.0, 2.0), (1.0, 0.0), (1.0, 1e-13), (1.0, None), (None, 2.0)], "n double, d double")
+    got = [tuple(r) for r in df.select(safe_ratio(F.col("n"), F.col("d")), safe_ratio(F.col("n"), F.col("d"), 0.0)).collect()]
+    assert got == [(0.5, 0.5), (None, 0.0), (None, 0.0), (None, None), (None, None)]
+
+
+def test_exclusion_is_null_safe_and_normalised(spark):
+    rows = [
+        {"nemotecnico": "null class", "clase": None},
+        {"nemotecnico": "share without C1", "C1": None},
+        {"nemotecnico": "cash", "C1": "CAJA"},
+        {"nemotecnico": "cash mixed case", "clase": "act", "C1": " cc2 "},
+        {"nemotecnico": "forward", "clase": " fwd "},
+        {"nemotecnico": "forward mtm", "clase": "FWD - MTM"},
+        {"nemotecnico": "bond with C1 of cash", "clase": "BON", "C1": "CAJA"},
+    ]
+    kept = [r[0] for r in collect(exclude_non_modelable(panel(spark, rows)), "nemotecnico")]
+    assert kept == ["bond with C1 of cash", "null class", "share without C1"]

@@ -1,0 +1,64 @@
+import pytest
+
+from riskpanel import RiskConfig
+from riskpanel.operators import weights
+
+from tests.frames import CORTE, base, collect, day
+
+CFG = RiskConfig(CORTE)
+
+
+def sides(spark, portfolio, benchmark, peer=None):
+    managers = {"PORTFOLIO": portfolio, "BENCHMARK": benchmark, "PEER": peer or {}}
+    return base(spark, [{"manager": m, "asset_key": k, "weight_calc": w} for m, ws in managers.items() for k, w in ws.items()])
+
+
+def test_each_side_sums_to_one_and_keeps_proportions(spark):
+    got = collect(weights.side_weights(sides(spark, {"A": 0.5, "B": 1.0, "C": 1.5}, {"A": 1.0, "B": 2.0}), CFG), "side", "asset_key", "side_weight")
+    assert [r[2] for r in got] == [pytest.approx(x) for x in (1 / 3, 2 / 3, 1 / 6, 1 / 3, 1 / 2)]
+
+
+@pytest.mark.parametrize("total", [0.0, 1e-13])
+def test_side_without_weight(spark, total):
+    got = collect(weights.side_weights(sides(spark, {"A": total}, {"A": 1.0}), CFG), "side", "side_weight")
+    assert got == [("BENCHMARK", 1.0), ("PORTFOLIO", 0.0)]
+
+
+def test_delta_fills_the_missing_side_with_zero(spark):
+    df = weights.side_weights(sides(spark, {"A": 0.6, "B": 0.4}, {"B": 0.5, "C": 0.5}), CFG)
+    columns = ("comparable_key", "delta_weight", "exists_portfolio", "exists_benchmark", "zero_filled_portfolio")
+    got = collect(weights.delta_weights(df, CFG), *columns)
+    assert got == [("A", pytest.approx(0.6), 1, 0, 0), ("B", pytest.approx(-0.1), 1, 1, 0), ("C", pytest.approx(-0.5), 0, 1, 1)]
+
+
+def test_null_weight_counts_as_filled(spark):
+    df = weights.side_weights(sides(spark, {"A": None, "B": 1.0}, {"A": 1.0}), CFG)
+    got = collect(weights.delta_weights(df, CFG), "comparable_key", "portfolio_weight", "exists_portfolio", "zero_filled_portfolio")
+    assert got == [("A", 0.0, 1, 1), ("B", 1.0, 1, 0)]
+
+
+def test_only_the_cutoff_counts(spark):
+    df = base(spark, [{}, {"fecha": day(-1), "asset_key": "OLD"}])
+    assert collect(weights.base_weights(df), "asset_key", "base_weight") == [("AAA", 1.0)]
+
+
+def test_average_benchmark_counts_missing_assets_as_zero(spark):
+    df = sides(spark, {"A": 1.0}, {"A": 1.0, "B": 1.0}, {"B": 3.0})
+    avg = CFG.with_(benchmark_mode="AVG")
+    assert collect(weights.benchmark_weights(df, avg), "asset_key", "side_weight") == [("A", 0.25), ("B", 0.75)]
+    assert collect(weights.benchmark_weights(df, CFG), "asset_key", "side_weight") == [("A", 0.5), ("B", 0.5)]
+    delta = weights.delta_weights(weights.side_weights(df, avg), avg)
+    assert collect(delta, "comparable_key", "delta_weight") == [("A", 0.75), ("B", -0.75)]
+
+
+def test_without_derivatives_only_the_portfolio_drops_swaps(spark):
+    swap = {"asset_key": "SWP|X", "key_type": "SWP", "asset_class": "SWP"}
+    df = base(spark, [{}, swap, {"manager": "BENCHMARK"}, swap | {"manager": "BENCHMARK"}])
+    bare = CFG.with_(derivatives=False)
+    got = collect(weights.delta_weights(weights.side_weights(df, bare), bare), "comparable_key", "portfolio_weight", "benchmark_weight")
+    assert got == [("AAA", 1.0, 0.5), ("SWP|X", 0.0, 0.5)]
+
+
+def test_funds_and_cutoffs_stay_apart(spark):
+    df = base(spark, [{"fund_type": "A"}, {"fund_type": "B", "weight_calc": 5.0}, {"corte": day(-1), "fecha": day(-1), "weight_calc": 7.0}])
+    assert [r[0] for r in collect(weights.side_weights(df, CFG), "side_weight")] == [1.0, 1.0, 1.0]
