@@ -1,0 +1,63 @@
+import math
+
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from riskpanel import RiskConfig
+from riskpanel.functions import winsorize
+from riskpanel.operators import metrics, weights
+from riskpanel.sources import read_panel, write_partitions
+from riskpanel.operators.staging import with_partitions
+
+from tests.frames import CORTE, base, collect, day, panel
+
+CFG = RiskConfig(CORTE)
+few = settings(max_examples=5, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+amounts = st.floats(0, 1e6, allow_nan=False)
+rates = st.floats(-0.5, 0.5, allow_nan=False).map(lambda x: round(x, 6))
+
+
+@few
+@given(st.lists(st.tuples(st.sampled_from("AB"), st.sampled_from(["PORTFOLIO", "BENCHMARK"]), st.sampled_from("uvwxyz"), amounts), min_size=1, max_size=30))
+def test_sides_sum_to_one_or_zero_and_deltas_cancel(spark, positions):
+    rows = [{"fund_type": f, "manager": m, "asset_key": a, "weight_calc": w} for (f, m, a), w in {p[:3]: p[3] for p in positions}.items()]
+    sides = weights.side_weights(base(spark, rows), CFG)
+    sums = collect(sides.groupBy("fund_type", "side").agg(F.sum("side_weight").alias("s")))
+    assert all(math.isclose(s, 1.0, abs_tol=1e-9) or s == 0.0 for _, _, s in sums)
+    by_fund = {}
+    for fund, _, s in sums:
+        by_fund.setdefault(fund, []).append(round(s))
+    for fund, delta in collect(weights.delta_weights(sides, CFG).groupBy("fund_type").agg(F.sum("delta_weight"))):
+        if by_fund[fund] in ([1, 1], [0, 0]):
+            assert abs(delta) < 1e-9
+
+
+@few
+@given(st.lists(rates, min_size=1, max_size=30), st.sampled_from([0.01, 0.2, 1.0]))
+def test_cap_bounds(spark, values, cap):
+    df = spark.createDataFrame([(v,) for v in values], "x double").select("x", winsorize(F.col("x"), cap).alias("y"))
+    for x, y in df.collect():
+        assert abs(y) <= cap and (y == x or abs(x) > cap)
+
+
+@few
+@given(st.lists(rates, min_size=3, max_size=30), st.sampled_from([0.5, 2.0, 10.0]))
+def test_scale_and_identity(spark, values, scale):
+    rows = [(CORTE, f, day(-i), v * k, v, v) for f, k in (("A", 1.0), ("B", scale)) for i, v in enumerate(values)]
+    df = spark.createDataFrame(rows, "corte date, fund_type string, fecha date, r_diff double, r_portfolio double, r_benchmark double")
+    one, scaled = (r.te_ex_ante for r in metrics.tracking_error(df.drop("r_portfolio", "r_benchmark"), CFG).orderBy("fund_type").collect())
+    assert math.isclose(scaled, scale * one, rel_tol=1e-9, abs_tol=1e-12)
+    slope = metrics.beta(df.drop("r_diff"), CFG).first().beta_ex_ante
+    assert slope is None or math.isclose(slope, 1.0, rel_tol=1e-9)
+
+
+@few
+@given(st.lists(st.integers(0, 90), min_size=1, max_size=20, unique=True))
+def test_writing_twice_changes_nothing(spark, tmp_path_factory, offsets):
+    path = str(tmp_path_factory.mktemp("staging") / "p")
+    df = with_partitions(panel(spark, [{"fecha": day(-i)} for i in offsets]))
+    write_partitions(df, path, ["year", "month"])
+    once = collect(read_panel(spark, path), "fecha")
+    write_partitions(df, path, ["year", "month"])
+    assert collect(read_panel(spark, path), "fecha") == once == sorted((day(-i),) for i in offsets)
