@@ -42,11 +42,12 @@ def real_history(panel: DataFrame, corte: date | str) -> DataFrame:
     """All modelable rows of the instruments active at the cutoff, with their own-date class.
 
     A semi join, so an instrument with two classifications at the cutoff keeps one row per
-    date. The universe grows with the panel: it carries no broadcast hint, its measured
-    size decides, and adaptive execution splits an instrument that dominates the panel.
+    date, and the universe needs no duplicate removal, which would keep adaptive execution
+    from splitting an instrument that dominates the panel. The universe grows with the
+    panel, so it carries no broadcast hint; its measured size decides.
     """
     kept = exclude_non_modelable(panel)
-    active = at_cutoff(kept, corte).select(*schemas.INSTRUMENT_KEY).distinct()
+    active = at_cutoff(kept, corte).select(*schemas.INSTRUMENT_KEY)
     return with_corte(kept.join(active, schemas.INSTRUMENT_KEY, "left_semi"), corte).select(
         *schemas.REAL_HISTORY.fieldNames()
     )

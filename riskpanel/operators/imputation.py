@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from riskpanel import schemas
 from riskpanel.config import HISTORY_DAYS, as_date
-from riskpanel.functions import norm, tenor_bucket
+from riskpanel.functions import norm, splittable_join, tenor_bucket
 from riskpanel.operators.history import active_universe
 
 _WORD_BITS = 63
@@ -87,7 +87,8 @@ def match_real(universe: DataFrame, days: DataFrame, real: DataFrame, n: int = H
         .withColumn("day", F.expr(f"explode(filter(days, day -> {hits} = 0L))"))
     )
     columns = ["fecha", *schemas.UNIVERSE]
-    matched = observed.select("fecha", *key, *schemas.MEASURES).join(universe, key).select(*columns, *schemas.MEASURES)
+    measured = observed.select("fecha", *key, *schemas.MEASURES)
+    matched = splittable_join(measured, universe, key).select(*columns, *schemas.MEASURES)
     unmatched = gaps.withColumn("fecha", F.col("day.fecha")).select(
         *columns, *[F.lit(None).cast("double").alias(m) for m in schemas.MEASURES]
     )
@@ -132,18 +133,16 @@ def _search_levels(requests: DataFrame, means: DataFrame, size: int) -> DataFram
     is asked for, since it spills, is split by adaptive execution, and never broadcasts on
     a wrong estimate.
     """
-    hashed = F.xxhash64("fecha", "prefix").alias("hash")
     nulls = " ".join(f"WHEN path[{i}] IS NULL THEN {i}" for i in range(size))
     wanted = (
         requests.withColumn("usable", F.expr(f"CASE {nulls} ELSE {size} END"))
         .filter("usable > 0")
         .withColumn("length", F.explode(F.sequence(F.lit(1), F.col("usable"))))
         .select("fecha", "path", F.slice("path", F.lit(1), F.col("length")).alias("prefix"))
-        .select("*", hashed)
     )
-    known = means.select("fecha", "prefix", "level", "mean_return", hashed).hint("merge")
+    known = means.select("fecha", "prefix", "level", "mean_return").hint("merge")
     return (
-        wanted.join(known, ["hash", "fecha", "prefix"])
+        splittable_join(wanted, known, ["fecha", "prefix"])
         .groupBy("fecha", "path")
         .agg(F.min_by("mean_return", "level").alias("retorno_imputado"), F.min("level").alias("jerarquia_usada"))
     )
@@ -158,7 +157,7 @@ def impute_hierarchy(matched: DataFrame, means: DataFrame, chain: list[str] | No
     chain = chain or schemas.HIERARCHY
     missing = matched.filter(~F.col("tiene_real")).withColumn("path", F.array(*chain))
     resolved = _search_levels(missing.select("fecha", "path").distinct(), means, len(chain))
-    imputed = missing.join(resolved, ["fecha", "path"], "left").drop("path")
+    imputed = splittable_join(missing, resolved, ["fecha", "path"], "left").drop("path")
     known = matched.filter("tiene_real").select(
         "*", F.lit(None).cast("double").alias("retorno_imputado"), F.lit(None).cast("int").alias("jerarquia_usada")
     )

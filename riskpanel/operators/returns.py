@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from riskpanel import schemas
 from riskpanel.config import RiskConfig
-from riskpanel.functions import norm, safe_ratio, tenor_bucket, winsorize
+from riskpanel.functions import norm, safe_ratio, splittable_join, tenor_bucket, winsorize
 from riskpanel.operators.history import exclude_non_modelable, up_to_cutoff, with_corte
 
 # Rule -> (key type, asset class).
@@ -130,7 +130,8 @@ def _alt_lookup(rows: DataFrame, alt_params: DataFrame | None) -> DataFrame:
         norm("region").alias("key_c2"),
         norm("asset_type").alias("key_c3"),
     ).agg(F.max("return_param").cast("double").alias("return_param"))
-    return rows.join(params, ["manager", "fund_type", "key_c2", "key_c3"], "left")
+    # Every other class has no region and type: those rows share a key.
+    return splittable_join(rows, params, ["manager", "fund_type", "key_c2", "key_c3"], "left")
 
 
 def class_returns(

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskpanel.config import RiskConfig
-from riskpanel.functions import safe_ratio
+from riskpanel.functions import safe_ratio, splittable_join
 from riskpanel.operators.returns import active_rows, kind_code, kind_names
 
 _SIDE = ["corte", "fund_type", "manager"]
@@ -41,7 +41,7 @@ def normalized_weights(weights: DataFrame) -> DataFrame:
     hold most of the rows and must not end up in one task.
     """
     scaled = safe_ratio(F.col("base_weight"), F.col("total_weight"), 0.0)
-    return weights.join(_totals(weights), _SIDE).withColumn("normalized_weight", scaled)
+    return splittable_join(weights, _totals(weights), _SIDE).withColumn("normalized_weight", scaled)
 
 
 def _side_rows(df: DataFrame, side: str) -> DataFrame:
@@ -62,7 +62,7 @@ def _mean_over_managers(normalized: DataFrame, totals: DataFrame) -> DataFrame:
     summed = normalized.groupBy("corte", "fund_type", "asset_key").agg(
         F.sum("normalized_weight").alias("total"), F.min(kind_code()).alias("kind")
     )
-    return summed.join(managers, ["corte", "fund_type"]).select(
+    return splittable_join(summed, managers, ["corte", "fund_type"]).select(
         "corte",
         "fund_type",
         "asset_key",
