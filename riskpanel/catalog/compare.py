@@ -18,7 +18,7 @@ def run_sql(sf_dir: str, sql: str) -> pa.Table:
     with duckdb.connect() as connection:
         for file in Path(sf_dir).glob("*.parquet"):
             connection.execute(f"CREATE VIEW {file.stem} AS SELECT * FROM read_parquet('{file}')")
-        return connection.execute(sql).to_arrow_table()
+        return connection.sql(sql).to_arrow_table()
 
 
 def differences(result: pa.Table, sf_dir: str, sql: str) -> str | None:
