@@ -95,11 +95,13 @@ COLUMNS: dict[str, str] = {
     "te_summary_real": _TE,
     "te_summary_spec": _TE,
     "te_summary_market_avg": _TE,
+    "te_summary_market_no_deriv": _TE,
     # beta
     "side_series": _SERIES,
     "beta_summary": _BETA,
     "beta_summary_no_deriv": _BETA,
     "beta_summary_normalized": _BETA,
+    "beta_summary_avg": _BETA,
     "beta_summary_real": _BETA,
     "beta_summary_separate": _BETA,
     # value at risk

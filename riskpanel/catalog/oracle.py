@@ -392,6 +392,17 @@ for _suffix, _base, _scope in (
   SELECT corte, fund_type, sqrt(greatest(sum(wi * wj * cov), 0.0)) AS sigma FROM pairs{_suffix}
   GROUP BY corte, fund_type"""
 
+_CTES["comparables_market_bare"] = _comparables("base_bare", True)
+_CTES["breakdown_market_bare"] = _breakdown("delta_bare", "comparables_market_bare")
+_CTES["daily_market_bare"] = _daily("breakdown_market_bare")
+_CTES["recent_market_bare"] = _latest("daily_market_bare")
+_CTES["series_avg"] = """
+  SELECT corte, fund_type, fecha, max(CASE WHEN manager = 'PORTFOLIO' THEN r END) AS r_portfolio,
+         avg(CASE WHEN manager <> 'PORTFOLIO' THEN r END) AS r_benchmark
+  FROM (SELECT corte, fund_type, fecha, manager, sum(return_calc) AS r FROM base GROUP BY ALL)
+  GROUP BY corte, fund_type, fecha
+  HAVING count(*) FILTER (manager = 'PORTFOLIO') > 0 AND count(*) FILTER (manager <> 'PORTFOLIO') > 0"""
+_CTES["series_avg_window"] = _latest("series_avg")
 _CTES["series_weighted"] = _weighted_series("base")
 _CTES["series_weighted_window"] = _latest("series_weighted")
 
@@ -454,10 +465,12 @@ _BODIES: dict[str, str] = {
     "te_summary_real": "SELECT * FROM te_observed",
     "te_summary_spec": "SELECT * FROM te_spec",
     "te_summary_market_avg": "SELECT * FROM te_market",
+    "te_summary_market_no_deriv": _te("recent_market_bare"),
     "side_series": "SELECT * FROM series",
     "beta_summary": "SELECT * FROM beta",
     "beta_summary_no_deriv": "SELECT * FROM beta_bare",
     "beta_summary_normalized": _beta("series_weighted_window"),
+    "beta_summary_avg": _beta("series_avg_window"),
     "beta_summary_real": "SELECT * FROM beta_observed",
     "beta_summary_separate": _beta("series_window_observed", pairwise=False),
     "var_summary": _var("daily_tracking_error", "te"),

@@ -19,6 +19,7 @@ BARE = CONFIG.with_(derivatives=False)
 MARKET = CONFIG.with_(comparable_scope="market")
 AVG = CONFIG.with_(benchmark_mode="AVG")
 MARKET_AVG = MARKET.with_(benchmark_mode="AVG")
+MARKET_BARE = MARKET.with_(derivatives=False)
 SPEC = CONFIG.with_(classes="spec")
 IMPUTED = CONFIG.with_(use_imputed=True)
 SEPARATE = CONFIG.with_(beta_nulls="separate")
@@ -163,10 +164,12 @@ _QUERIES: dict[str, Callable[[Inputs], DataFrame]] = {
     "te_summary_real": lambda i: _te(_observed_base(i), CONFIG),
     "te_summary_spec": lambda i: _te(_observed_base(i, SPEC), SPEC),
     "te_summary_market_avg": lambda i: _te(i.base, MARKET_AVG),
+    "te_summary_market_no_deriv": lambda i: _te(i.base, MARKET_BARE),
     "side_series": lambda i: metrics.side_series(i.base, CONFIG),
     "beta_summary": lambda i: metrics.beta(metrics.side_series(i.base, CONFIG), CONFIG),
     "beta_summary_no_deriv": lambda i: metrics.beta(metrics.side_series(i.base, BARE), BARE),
     "beta_summary_normalized": lambda i: metrics.beta(metrics.side_series(i.base, NORMALIZED), NORMALIZED),
+    "beta_summary_avg": lambda i: metrics.beta(metrics.side_series(i.base, AVG), AVG),
     "beta_summary_real": lambda i: metrics.beta(metrics.side_series(_observed_base(i), CONFIG), CONFIG),
     "beta_summary_separate": lambda i: metrics.beta(metrics.side_series(_observed_base(i), CONFIG), SEPARATE),
     "var_summary": lambda i: metrics.var_from_te(_te(i.base, CONFIG)),
