@@ -1,0 +1,128 @@
+"""Plain versions of the operators over Python lists, written from their contracts."""
+
+from __future__ import annotations
+
+import math
+import re
+from collections import defaultdict
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+def words(text: str | None) -> list[str]:
+    return WORD.findall(text or "")
+
+
+def lower(text: str) -> str:
+    return "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text)
+
+
+def shingles(text: str | None, width: int = 5) -> frozenset:
+    found = words(lower(text or ""))
+    if not found:
+        return frozenset()
+    return frozenset(tuple(found[i : i + width]) for i in range(max(1, len(found) - width + 1)))
+
+
+def ngram_join(docs: list[tuple[int, str | None]]) -> dict[int, tuple[int, int]]:
+    """doc_id: (n_shingles, component_id), over all pairs."""
+    sets = {i: shingles(t) for i, t in docs}
+    root = {i: i for i in sets}
+
+    def find(i: int) -> int:
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    ids = sorted(sets)
+    for x, a in enumerate(ids):
+        for b in ids[x + 1 :]:
+            small, large = sorted((len(sets[a]), len(sets[b])))
+            if small and 100 * small >= 75 * large:
+                common = len(sets[a] & sets[b])
+                if 100 * common >= 75 * (small + large - common):
+                    p, q = sorted((find(a), find(b)))
+                    root[q] = p
+    return {i: (len(sets[i]), find(i)) for i in ids}
+
+
+def rule_statistics(text: str | None) -> dict[str, int]:
+    found = words(text)
+    places = defaultdict(list)
+    for i in range(len(found) - 2):
+        places[tuple(found[i : i + 3])].append(i)
+    covered = {i + d for at in places.values() if len(at) > 1 for i in at for d in range(3)}
+    seen, repeated = set(), 0
+    for line in (text or "").split("\n"):
+        if words(line):
+            repeated += line in seen
+            seen.add(line)
+    return {
+        "n_words": len(found),
+        "word_chars": sum(map(len, found)),
+        "n_symbols": sum(c in "#*$%&|<>" for c in text or ""),
+        "n_dup_lines": repeated,
+        "n_repeat_words": len(covered),
+    }
+
+
+def binomial_tail(k: int, n: int, p: float) -> float:
+    return math.fsum(math.comb(n, i) * p**i * (1 - p) ** (n - i) for i in range(k + 1))
+
+
+def top_k(vectors: list[tuple[int, list | None]], k: int = 20, every: int = 20) -> list[tuple]:
+    whole = {
+        i: [math.floor(64 * x) for x in v]
+        for i, v in vectors
+        if v is not None and all(x is not None and math.isfinite(x) for x in v)
+    }
+    rows = []
+    for q in sorted(whole):
+        if q % every == 0:
+            scored = sorted((-sum(a * b for a, b in zip(whole[q], v)), i) for i, v in whole.items() if i != q)
+            rows += [(q, rank, i, -s) for rank, (s, i) in enumerate(scored[:k], 1)]
+    return rows
+
+
+def removed_lines(docs: list[tuple[int | None, str | None]], least: int = 20) -> list[tuple]:
+    """(doc_id, unit, start, end, kept_doc_id, kept_start)"""
+    kept, out = {}, []
+    for doc_id, text in sorted(docs, key=lambda d: (d[0] is None, d[0] or 0)):
+        start = 0
+        for unit, line in enumerate((text or "").split("\n")):
+            found = words(line)
+            if len(found) >= least:
+                key = " ".join(found).lower()
+                if key in kept:
+                    out.append((doc_id, unit, start, start + len(line), *kept[key]))
+                else:
+                    kept[key] = (doc_id, start)
+            start += len(line) + 1
+    return out
+
+
+def targets(sizes: dict, share: float = 1.5, cap: float = 2.0, cycle: tuple = (3, 1, 2)) -> dict:
+    """Targets by sharing and resharing until no source is above its cap."""
+    order = sorted(sizes, key=lambda s: (s is None, (s or "").encode()))
+    weight = {s: cycle[i % len(cycle)] for i, s in enumerate(order)}
+    left, open_, out = share * sum(sizes.values()), set(order), {}
+    while open_:
+        level = left / sum(weight[s] for s in open_)
+        full = {s for s in open_ if level * weight[s] >= cap * sizes[s]}
+        if not full:
+            return out | {s: level * weight[s] for s in open_}
+        for s in full:
+            out[s] = cap * sizes[s]
+            left -= out[s]
+        open_ -= full
+    return out
+
+
+def url_parts(url: str | None) -> tuple[str, str]:
+    if url is None or "://" not in url:
+        return "", ""
+    rest = url.split("://", 1)[1]
+    host = re.match(r"[^/?#]*", rest).group()
+    return lower(host), re.match(r"[^?#]*", rest[len(host) :]).group()
+
+
