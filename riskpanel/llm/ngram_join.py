@@ -11,7 +11,8 @@ fall into it, and the counts are summed over the fragments:
 3. *Partial overlaps.* For every candidate pair each fragment counts the common n-grams; the
    sum is the overlap, and the exact threshold decides. Linked sets form components.
 4. *The rest.* Sets whose n-grams occur to 75 % in *other components* could still link across.
-   They meet by prefix filter, which misses no pair, and the same partial overlaps decide.
+   They meet by their rarest n-grams (prefix filter), which misses no pair, and the same partial
+   overlaps decide.
 
 Digests are compared, not texts: two n-grams or two sets are taken for one another with a
 probability of 2**-64 per pair.
@@ -25,7 +26,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskpanel.functions import splittable_join
@@ -275,24 +276,57 @@ def leader_pairs(sets: DataFrame, config: JoinConfig) -> DataFrame:
     )
 
 
-def prefix_pairs(sets: DataFrame, config: JoinConfig) -> DataFrame:
-    """(a, b, na, nb): all pairs of different groups that can link, by common digests of their prefixes.
+def rare_digests(sets: DataFrame, config: JoinConfig) -> DataFrame:
+    """(h, sid, n, group, s, rank, centrality): the digests by which every pair of different groups that can link must meet.
 
-    In the global order, two sets that link share one of their first n - ceil(percent * n) + 1 digests.
+    Only digests that two groups hold can be common to a pair. With a set's s such digests in one order for all,
+    rarest first, two sets that link share one of the first s - ceil(percent * n) + 1 of each. It stays true when
+    groups are merged later.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for sid, n, group, raw in zip(*(batch.column(c).to_pylist() for c in ("sid", "n", "group", "shingles"))):
-                s = np.frombuffer(raw, np.int64)[: n - -(-config.percent * n // 100) + 1]
+                s = np.frombuffer(raw, np.int64)
                 same = [np.full(len(s), x, np.int64) for x in (sid, n, group)]
                 yield pa.RecordBatch.from_arrays([pa.array(s), *map(pa.array, same)], names=["h", "sid", "n", "group"])
 
     places = sets.select("sid", "n", "group", "shingles").mapInArrow(run, "h bigint, sid bigint, n bigint, group bigint")
-    places = stored(places, "prefixes")
-    a, b = places.alias("a"), places.alias("b")
-    alike = F.expr("a.h = b.h AND a.sid < b.sid AND a.group <> b.group AND " + near_sizes(config, "a.n", "b.n"))
-    return a.join(b, alike).selectExpr("a.sid AS a", "b.sid AS b", "a.n AS na", "b.n AS nb").distinct()
+    places = stored(places, "places")
+    across = places.groupBy("h").agg(F.count(F.lit(1)).alias("held"), F.min("group").alias("low"), F.max("group").alias("high"))
+    common = splittable_join(places, across.filter("low < high").select("h", "held"), ["h"])
+    own = Window.partitionBy("sid")  # the digests of one set: bounded by its text
+    ranked = common.withColumns(
+        {
+            "s": F.count(F.lit(1)).over(own),
+            "centrality": F.sum("held").over(own),
+            "rank": F.row_number().over(own.orderBy("held", "h")),
+        }
+    ).filter(f"rank <= s - ceil({config.percent} * n / 100) + 1")
+    return ranked.select("h", "sid", "n", "group", "s", "rank", "centrality")
+
+
+def meetings(rare: DataFrame, others: DataFrame, config: JoinConfig, once: bool) -> DataFrame:
+    """(a, b, na, nb): pairs of sets of different groups that meet by a digest and could link.
+
+    Two sets that link have at least o in common, so the first digest that both have is among the first s - o + 1 of
+    each. ``once`` leaves out the pairs seen from their larger set.
+    """
+    b = others.withColumnsRenamed({c: f"b_{c}" for c in others.columns if c != "h"})
+    alike = (
+        f"{'sid < b_sid' if once else 'sid <> b_sid'} AND group <> b_group AND {near_sizes(config, 'n', 'b_n')} "
+        f"AND greatest(rank - s, b_rank - b_s) <= 1 - ceil({config.percent} * (n + b_n) / {100 + config.percent})"
+    )
+    return rare.join(b, "h").filter(alike).selectExpr("sid AS a", "b_sid AS b", "n AS na", "b_n AS nb").distinct()
+
+
+def hub_pairs(rare: DataFrame, config: JoinConfig) -> DataFrame:
+    """Meetings with two members of each group of several: those with the most, and the most frequent, shared digests."""
+    hubs = rare.groupBy("group").agg(
+        F.array(F.max_by("sid", "s"), F.max_by("sid", F.struct("centrality", "sid"))).alias("hubs"),
+        F.min("sid").alias("low"), F.max("sid").alias("high"),
+    ).filter("low < high").select(F.explode("hubs").alias("sid")).distinct()
+    return meetings(rare, rare.join(hubs, "sid", "left_semi"), config, once=False)
 
 
 def cut_segments(config: JoinConfig) -> Callable:
@@ -361,6 +395,12 @@ def linked(pairs: DataFrame, sets: DataFrame, config: JoinConfig) -> DataFrame:
     return summed.filter(f"100 * common >= {config.percent} * (na + nb - common)").select("a", "b")
 
 
+def in_groups(df: DataFrame, groups: DataFrame) -> DataFrame:
+    """``df`` with the group of its set: the component, or the set alone."""
+    named = groups.select(F.col("node").alias("sid"), "component")
+    return splittable_join(df, named, ["sid"], "left").withColumn("group", F.coalesce("component", "sid")).drop("component")
+
+
 def ngram_join(docs: DataFrame, config: JoinConfig = JoinConfig()) -> DataFrame:
     """One row per document: doc_id, n_shingles and component_id, the smallest id reachable by links.
 
@@ -386,20 +426,20 @@ def ngram_join(docs: DataFrame, config: JoinConfig = JoinConfig()) -> DataFrame:
 
     links = stored(linked(stored(leader_pairs(sets, config), "pairs"), sets, config), "links")
     groups = components(links)
-    grouped = sets.join(groups.select(F.col("node").alias("sid"), "component"), "sid", "left").withColumn(
-        "group", F.coalesce("component", "sid")
-    )
-    grouped = stored(grouped.drop("component", "sketch"), "grouped")
+    grouped = stored(in_groups(sets.drop("sketch"), groups), "grouped")
     fragments = 1 + (grouped.agg(F.sum("n")).first()[0] or 0) // config.fragment_shingles
     across = counted(grouped.select("sid", "group", "shingles").mapInArrow(pack_sets(config, fragments), PACKED))
     still = stored(possible(across, grouped), "still")
-    more = stored(linked(stored(prefix_pairs(still, config), "rest_pairs"), still, config), "rest_links")
+    rare = stored(rare_digests(still, config), "rare")
+    more = stored(linked(stored(hub_pairs(rare, config), "hub_pairs"), still, config), "hub_links")
+    links = stored(links.union(more), "more_links")
+    groups = components(links)
+    rare = stored(in_groups(rare.drop("group"), groups), "regrouped")
+    more = stored(linked(stored(meetings(rare, rare, config, once=True), "rest_pairs"), still, config), "rest_links")
     if more.limit(1).count():
         groups = components(links.union(more))
 
-    named = splittable_join(ids, groups.select(F.col("node").alias("sid"), "component"), ["sid"], "left").withColumn(
-        "group", F.coalesce("component", "sid")
-    )
+    named = in_groups(ids, groups)
     least = named.groupBy("group").agg(F.min("doc_id").alias("least"))
     return splittable_join(named, least, ["group"], "left").select(
         "doc_id",
