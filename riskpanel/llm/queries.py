@@ -11,6 +11,7 @@ from riskpanel.llm.bpe import encoding_digests
 from riskpanel.llm.common import table
 from riskpanel.llm.mixing import mix_sources
 from riskpanel.llm.ngram_join import ngram_join
+from riskpanel.llm.oracle import oracle_sql
 from riskpanel.llm.quality_fm import score_quality
 from riskpanel.llm.quality_rules import quality_rules
 from riskpanel.llm.sharding import shard_documents
@@ -19,11 +20,14 @@ from riskpanel.llm.topk_blocks import top_k
 from riskpanel.llm.unit_dedup import repeated_units
 from riskpanel.llm.url_reputation import judge_urls
 
+__all__ = ["oracle_sql", "queries"]
+
 VOCABULARY = "byte_bpe_50k.json"
 
 
 def op1_url_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return judge_urls(table(spark, sf_dir, "pages"), table(spark, sf_dir, "labels"))
+    judged = judge_urls(table(spark, sf_dir, "pages"), table(spark, sf_dir, "labels"))
+    return judged.select("page_id", "host", "path", "rule", "verdict", "seen")
 
 
 def op2_quality_machine(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -69,6 +73,3 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     )
     return {query.__name__: query for query in registered}
 
-
-def oracle_sql() -> dict[str, str]:
-    return {}

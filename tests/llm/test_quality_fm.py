@@ -1,0 +1,70 @@
+from __future__ import annotations
+
+import zlib
+from itertools import combinations
+
+import numpy as np
+import pytest
+
+from riskpanel.llm.quality_fm import Machine, MachineConfig, features, score_quality, training_rows
+from tests.llm.frames import EDGES, docs_of, edge_docs, empty_docs, labels_of, rows_of, text
+
+CONFIG = MachineConfig(buckets=1 << 10, factors=3, sample=200, rounds=3)
+
+
+def test_sum_of_squares_identity():
+    machine = Machine(CONFIG)
+    rng = np.random.default_rng(1)
+    machine.weight, machine.vector, machine.bias = rng.normal(size=machine.weight.shape), rng.normal(size=machine.vector.shape), 0.3
+    at, x = machine.inputs(*features(text(1, 30), 5, CONFIG.buckets))
+    pairs = sum(float(machine.vector[at[i]] @ machine.vector[at[j]]) * x[i] * x[j] for i, j in combinations(range(len(at)), 2))
+    assert machine.margin(at, x)[0] == pytest.approx(0.3 + float(machine.weight[at] @ x) + pairs)
+
+
+def test_interactions_are_learned():
+    """Two words mean good only together or only apart: no sum of weights can tell."""
+    rows, none = [], np.zeros(12)
+    for a in (0, 1):
+        for b in (0, 1):
+            rows += [(int(a == b), np.array([1 + a, 3 + b], np.int32), none)] * 50
+    machine = Machine(MachineConfig(buckets=8, factors=4, rounds=60, decay=0.0))
+    machine.train(rows)
+    assert all((machine.score(w, none) > 0.5) == (y == 1) for y, w, _ in rows)
+
+
+def test_scores_of_held_out_documents(spark):
+    sf = "/root/testdata/sf0.01"
+    docs, labels = (spark.read.parquet(f"{sf}/{n}.parquet") for n in ("documents", "labels"))
+    got = {r.doc_id: r for r in score_quality(docs, labels).collect()}
+    assert set(got) == {i for (i,) in rows_of(sf, "SELECT doc_id FROM documents")}
+    assert all(r.held_out == (zlib.crc32(str(i).encode()) % 5 == 0) and r.predicted == (r.score >= 0.3) for i, r in got.items())
+    marked = [(got[i].score, q) for i, q in rows_of(sf, "SELECT doc_id, quality FROM labels") if got[i].held_out]
+    good, bad = ([s for s, q in marked if q == k] for k in (1, 0))
+    assert sum(a > b for a in good for b in bad) / (len(good) * len(bad)) > 0.97
+    assert sum(s >= 0.3 for s in good) / len(good) > 0.97
+
+
+def test_only_unheld_labels_train_and_the_sample_is_bounded(spark):
+    docs = docs_of(spark, [(i, text(i, 20)) for i in range(60)])
+    labels = labels_of(spark, [(i, i % 2) for i in range(60)] + [(3, 0), (None, 1), (999, 1), (4, None)])
+    allowed = [i for i in range(60) if zlib.crc32(str(i).encode()) % 5]
+    rows = training_rows(docs, labels, CONFIG)
+    assert len(rows) == len(allowed)
+    assert len(training_rows(docs, labels, MachineConfig(sample=7))) == 7
+
+
+def test_awkward_rows(spark):
+    labels = labels_of(spark, [(1, 1), (2, 0), (3, 1), (4, 0), (5, 0), (8, 1)])
+    got = score_quality(edge_docs(spark), labels, CONFIG).collect()
+    assert len(got) == len(EDGES) and all(0 <= r.score <= 1 for r in got)
+    assert all(r.held_out for r in got if r.doc_id is None)
+    assert len({r.score for r in got if r.doc_id == 1}) == 1
+    again = score_quality(edge_docs(spark), labels, CONFIG).collect()
+    assert sorted(map(tuple, got), key=str) == sorted(map(tuple, again), key=str)
+
+
+def test_without_labels_or_documents(spark):
+    assert {r.score for r in score_quality(edge_docs(spark), labels_of(spark, []), CONFIG).collect()} == {0.5}
+    assert score_quality(empty_docs(spark), labels_of(spark, [(1, 1)]), CONFIG).count() == 0
+    one_class = score_quality(edge_docs(spark), labels_of(spark, [(1, 1), (2, 1)]), CONFIG).collect()
+    assert all(r.score > 0.5 for r in one_class)

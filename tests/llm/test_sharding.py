@@ -1,0 +1,58 @@
+from __future__ import annotations
+
+import zlib
+from collections import Counter
+
+import pytest
+from pyspark.sql import functions as F
+
+from riskpanel.llm.sharding import assign_shards, jumps, shard_documents
+from tests.llm.frames import EDGES, docs_of, edge_docs, empty_docs
+
+
+def keys(spark, n=4000):
+    return spark.range(n).select(F.col("id").alias("doc_id"))
+
+
+@pytest.mark.parametrize("shards", [1, 2, 7, 16])
+def test_one_more_shard_takes_rows_only_into_itself(spark, shards):
+    now = {r.doc_id: (r.shard, r.grown_shard) for r in assign_shards(keys(spark), shards).collect()}
+    grown = {r.doc_id: r.shard for r in assign_shards(keys(spark), shards + 1).collect()}
+    assert all(grown[i] == g for i, (_, g) in now.items())
+    moved = [i for i, (s, g) in now.items() if s != g]
+    assert all(grown[i] == shards for i in moved)
+    assert abs(len(moved) / len(now) - 1 / (shards + 1)) < 0.03
+
+
+def test_shards_are_even_and_in_range(spark):
+    held = Counter(r.shard for r in assign_shards(keys(spark, 16_000), 16).collect())
+    assert set(held) == set(range(16)) and all(800 < n < 1200 for n in held.values())
+
+
+def test_slots_are_gapless_whatever_the_tasks(spark):
+    docs = docs_of(spark, [(i % 50, f"text {i % 7}") for i in range(600)])
+    got = shard_documents(docs, shards=4, rows_per_task=20).collect()
+    assert len(got) == 600
+    for shard in {r.shard for r in got}:
+        rows = sorted((r.slot, r.doc_id) for r in got if r.shard == shard)
+        assert [s for s, _ in rows] == list(range(len(rows)))
+        assert [i for _, i in rows] == sorted(i for _, i in rows)
+
+
+def test_one_row_repeated_is_split_over_tasks(spark):
+    got = shard_documents(docs_of(spark, [(1, "x")] * 500), rows_per_task=50).collect()
+    assert sorted(r.slot for r in got) == list(range(500)) and len({r.shard for r in got}) == 1
+
+
+def test_awkward_rows(spark):
+    got = shard_documents(edge_docs(spark)).collect()
+    expected = Counter((i, len((t or "").encode()) + 1, zlib.crc32((t or "").encode())) for i, t, *_ in EDGES)
+    assert Counter((r.doc_id, r["size"], r.text_crc32) for r in got) == expected
+    assert {r.law for r in got} == {"key"}
+    assert len({r.shard for r in got if r.doc_id is None}) == 1
+    assert shard_documents(empty_docs(spark)).count() == 0
+
+
+def test_no_shards(spark):
+    with pytest.raises(ValueError):
+        jumps("doc_id", 0)
