@@ -1,9 +1,10 @@
 """Result columns of every registered query, for both engines.
 
 One letter per column: d date, s text, i whole number, f decimal number. Dates become text
-and decimals are rounded, so that two engines can be compared value by value. Before
-rounding, a fraction of the last place is added: sums of cents over power-of-two quantities
-often lie exactly between two roundings, where summation order would decide.
+and decimals are rounded to nine significant digits, or to 15 places where that is coarser, so
+that two engines can be compared value by value at any magnitude. Before rounding, a fraction of
+the last digit is added: sums of cents over power-of-two quantities often lie exactly between
+two roundings, where summation order would decide.
 """
 
 from __future__ import annotations
@@ -11,8 +12,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-PLACES = 8
-TIE_SHIFT = 1.2345678e-9
+SHIFTED = "({0} * CAST(1.00000000012345678 AS DOUBLE))"
+POWER = "pow(10, least(15, 8 - floor(log10(abs({0})))))"
 
 _KEY = "corte:d fund_type:s"
 _CLASSIFICATION = "tipo_instr:s tipo_fondo:s clase:s afp:s C1:s C2:s C3:s C4:s C5:s"
@@ -125,18 +126,37 @@ COLUMNS: dict[str, str] = {
     "qc_var_positive": f"{_KEY} var_95_1d:f",
     "qc_summary": "rule:s violations:i",
 }
+# Each check over disturbed tables, where it must find something.
+FOUND = [key for key in COLUMNS if key.startswith("qc_") and key not in ("qc_te_range", "qc_beta_range")]
+COLUMNS |= {f"{key}_found": COLUMNS[key] for key in FOUND}
+# The stored daily run and its views.
+COLUMNS |= {
+    "daily_run": "table:s total:i checksum:f",
+    "daily_run_spec": "table:s total:i checksum:f",
+    "view_te_no_deriv": _TE,
+    "view_te_daily_no_deriv": _DAILY,
+    "view_beta_no_deriv": _BETA,
+    "view_breakdown": _BREAKDOWN,
+}
 
 
 def _parsed(key: str) -> list[tuple[str, str]]:
     return [tuple(column.split(":")) for column in COLUMNS[key].split()]
 
 
+def _significant(value: str, round_name: str) -> str:
+    """SQL of either engine for ``value`` at nine significant digits."""
+    x = SHIFTED.format(value)
+    power = POWER.format(x)
+    return f"CASE WHEN abs({x}) < 5e-16 THEN CAST(0 AS DOUBLE) ELSE {round_name}({x} * {power}) / {power} END"
+
+
 def present(key: str, df: DataFrame) -> DataFrame:
     """The registered columns of ``df`` in comparable form."""
 
     def shown(name: str, kind: str) -> Column:
         if kind == "f":
-            return (F.round(F.col(name) + TIE_SHIFT, PLACES) + 0.0).alias(name)
+            return F.expr(_significant(f"CAST(`{name}` AS DOUBLE)", "rint")).alias(name)
         return F.col(name).cast("bigint" if kind == "i" else "string").alias(name)
 
     return df.select(*[shown(name, kind) for name, kind in _parsed(key)])
@@ -147,7 +167,7 @@ def present_sql(key: str, body: str) -> str:
 
     def shown(name: str, kind: str) -> str:
         if kind == "f":
-            return f'round(CAST("{name}" AS DOUBLE) + {TIE_SHIFT}, {PLACES}) + 0.0 AS "{name}"'
+            return f'{_significant(f'CAST("{name}" AS DOUBLE)', "round")} AS "{name}"'
         return f'CAST("{name}" AS {"BIGINT" if kind == "i" else "VARCHAR"}) AS "{name}"'
 
     columns = ",\n       ".join(shown(name, kind) for name, kind in _parsed(key))

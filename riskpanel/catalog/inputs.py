@@ -6,19 +6,21 @@ shared folder of the session, the way a daily run keeps its staging and its snap
 
 from __future__ import annotations
 
-import tempfile
 from functools import cached_property
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from riskpanel import schemas
 from riskpanel.config import RiskConfig
 from riskpanel.functions import norm
-from riskpanel.operators.history import exclude_non_modelable, real_history, with_corte
+from riskpanel.operators.history import active_universe, exclude_non_modelable, real_history, with_corte
 from riskpanel.operators.imputation import complete_history
 from riskpanel.operators.returns import base_returns, select_class
+from riskpanel.plans import result_tables
+from riskpanel.session import shared_folder
 from riskpanel.sources import read_snapshot, write_snapshot
 
 CUTOFF = "2001-09-17"
@@ -30,16 +32,6 @@ FIRST_SESSION = "DATE'2001-01-01'"
 SESSION_DATE = f"date_add({FIRST_SESSION}, datediff(to_date(l_shipdate), DATE'1995-01-01') % {SESSIONS})"
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """Folder for intermediate tables: the one the session names, else a local one on one machine."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    return tempfile.mkdtemp(prefix="riskpanel-")
-
-
 def derive_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Return panel at grain (fecha, nemotecnico, tipo_fondo, afp) from the order lines."""
 
@@ -68,7 +60,7 @@ def derive_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
     grouped = (
         line.join(part, "l_partkey")
         .join(supplier, "l_suppkey")
-        .groupBy("p_type", "b", "fecha", "tipo_fondo", "afp")
+        .groupBy("l_partkey", "p_type", "b", "fecha", "tipo_fondo", "afp")
         .agg(
             F.avg("r").alias("retorno"),
             F.sum(F.col("r") * F.col("pv")).alias("aporte_retorno"),
@@ -76,10 +68,10 @@ def derive_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.sum("pe").alias("peso_exposicion_economica"),
         )
     )
-    currency = "CASE WHEN (b % 5) % 2 = 0 THEN 'USD' ELSE 'CLP' END"
+    currency = "CASE WHEN p_type = 'LARGE' AND b = 2 THEN 'EUR' WHEN (b % 5) % 2 = 0 THEN 'USD' ELSE 'CLP' END"
     classified = grouped.selectExpr(
         "*",
-        "concat(p_type, '-', b) AS nemotecnico",
+        "concat(p_type, '-', l_partkey) AS nemotecnico",
         "CASE WHEN p_type IN ('MEDIUM', 'LARGE', 'SMALL') THEN 'DER' ELSE 'NAC' END AS tipo_instr",
         "CASE p_type WHEN 'MEDIUM' THEN 'MON' WHEN 'LARGE' THEN 'SWP' WHEN 'SMALL' THEN 'FWD' "
         "WHEN 'ECONOMY' THEN 'BON' ELSE 'ACT' END AS clase",
@@ -89,8 +81,8 @@ def derive_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
         "CASE p_type WHEN 'LARGE' THEN CASE WHEN b % 4 = 0 THEN 'INFL' ELSE 'TASA' END "
         "ELSE concat('G', least(b % 5, 3)) END AS C2",
         f"{currency} AS C3",
-        "CASE WHEN b = 5 THEN 'B9' ELSE concat('B', b % 5) END AS C4",
-        "CASE WHEN b = 7 THEN '3Y' WHEN b % 5 = 0 THEN '0.0' WHEN b % 5 = 1 THEN '0Y' WHEN b % 5 = 2 THEN '2Y' "
+        "CASE b WHEN 5 THEN 'B9' WHEN 3 THEN NULL ELSE concat('B', b % 5) END AS C4",
+        "CASE WHEN b = 7 OR l_partkey % 4 = 0 THEN '3Y' WHEN b % 5 = 0 THEN '0.0' WHEN b % 5 = 1 THEN '0Y' WHEN b % 5 = 2 THEN '2Y' "
         "WHEN b % 5 = 3 THEN '5.0' ELSE '10' END AS C5",
         f"{currency} AS moneda",
     )
@@ -127,10 +119,16 @@ class Inputs:
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
 
-    def _stored(self, name: str, df: DataFrame, schema) -> DataFrame:
-        write_snapshot(df, self.path(name), CUTOFF, ["fecha"])
+    def _stored(self, name: str, df: DataFrame, schema, cluster_by=("fecha",)) -> DataFrame:
+        write_snapshot(df, self.path(name), CUTOFF, cluster_by)
         return read_snapshot(self.spark, self.path(name), CUTOFF, schema)
 
+    def _stored_tables(self, base: DataFrame, folder: str) -> dict[str, DataFrame]:
+        def keep(name: str, df: DataFrame) -> DataFrame:
+            return self._stored(f"{folder}/{name}", df, schemas.TABLES[name], [])
+
+        return result_tables(base, CONFIG, keep)
+
     @cached_property
     def panel(self) -> DataFrame:
         return self._stored("panel", derive_panel(self.spark, self.sf_dir), schemas.PANEL)
@@ -143,9 +141,15 @@ class Inputs:
     def real(self) -> DataFrame:
         return self._stored("output_real", real_history(self.panel, CUTOFF), schemas.REAL_HISTORY)
 
+    @cached_property
+    def universe(self) -> DataFrame:
+        fields = [f for f in schemas.PANEL.fields if f.name in schemas.UNIVERSE]
+        universe = active_universe(self.real, CUTOFF)
+        return self._stored("output_universe", universe, T.StructType(fields), []).drop("corte")
+
     @cached_property
     def completed(self) -> DataFrame:
-        completed = complete_history(self.real, self.calendar, CUTOFF)
+        completed = complete_history(self.real, self.calendar, CUTOFF, universe=self.universe)
         return self._stored("output_final", completed, schemas.COMPLETED)
 
     @cached_property
@@ -154,6 +158,16 @@ class Inputs:
         base = base_returns(self.completed, CONFIG)
         return self._stored("te_retornos_base", base, schemas.TABLES["te_retornos_base"])
 
+    @cached_property
+    def tables(self) -> dict[str, DataFrame]:
+        """The result tables of the completed history."""
+        return self._stored_tables(self.base, "results")
+
+    @cached_property
+    def observed_tables(self) -> dict[str, DataFrame]:
+        """The result tables of the observed returns alone."""
+        return self._stored_tables(base_returns(self.panel, CONFIG), "observed_results")
+
     @property
     def alt_params(self) -> DataFrame:
         return derive_alt_params(self.panel)

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import re
 
-from riskpanel.catalog.columns import COLUMNS, present_sql
+from riskpanel.catalog.columns import COLUMNS, FOUND, present_sql
 
 _CORTE = "DATE '2001-09-17'"
 _CHAIN = ["tipo_instr", "tipo_fondo", "clase", "afp", '"C1"', '"C2"', '"C3"', '"C4"', '"C5"']
@@ -49,7 +49,7 @@ def _history_at(corte: str) -> str:
 
 _CTES: dict[str, str] = {
     "li": f"""
-  SELECT {_SESSION} AS fecha, p_type, CAST(replace(p_brand, 'Brand#', '') AS INTEGER) % 8 AS b,
+  SELECT {_SESSION} AS fecha, p_partkey, p_type, CAST(replace(p_brand, 'Brand#', '') AS INTEGER) % 8 AS b,
          concat('F', CAST(n_regionkey AS VARCHAR)) AS tipo_fondo,
          CASE l_returnflag WHEN 'N' THEN 'PORTFOLIO' WHEN 'A' THEN 'BENCHMARK' ELSE 'PEER' END AS afp,
          CASE WHEN l_linenumber >= 7 THEN NULL ELSE (l_discount - 0.05) * 5 END AS r,
@@ -57,7 +57,7 @@ _CTES: dict[str, str] = {
   FROM lineitem JOIN part ON l_partkey = p_partkey JOIN supplier ON l_suppkey = s_suppkey
                 JOIN nation ON s_nationkey = n_nationkey""",
     "panel": """
-  SELECT fecha, concat(p_type, '-', CAST(b AS VARCHAR)) AS nemotecnico, tipo_fondo, afp,
+  SELECT fecha, concat(p_type, '-', CAST(p_partkey AS VARCHAR)) AS nemotecnico, tipo_fondo, afp,
          CASE WHEN p_type IN ('MEDIUM', 'LARGE', 'SMALL') THEN 'DER' ELSE 'NAC' END AS tipo_instr,
          CASE p_type WHEN 'MEDIUM' THEN 'MON' WHEN 'LARGE' THEN 'SWP' WHEN 'SMALL' THEN 'FWD'
                      WHEN 'ECONOMY' THEN 'BON' ELSE 'ACT' END AS clase,
@@ -67,14 +67,14 @@ _CTES: dict[str, str] = {
                      ELSE 'GEN' END AS "C1",
          CASE p_type WHEN 'LARGE' THEN CASE WHEN b % 4 = 0 THEN 'INFL' ELSE 'TASA' END
                      ELSE concat('G', CAST(least(b % 5, 3) AS VARCHAR)) END AS "C2",
-         CASE WHEN (b % 5) % 2 = 0 THEN 'USD' ELSE 'CLP' END AS "C3",
-         CASE WHEN b = 5 THEN 'B9' ELSE concat('B', CAST(b % 5 AS VARCHAR)) END AS "C4",
-         CASE WHEN b = 7 THEN '3Y' WHEN b % 5 = 0 THEN '0.0' WHEN b % 5 = 1 THEN '0Y' WHEN b % 5 = 2 THEN '2Y'
+         CASE WHEN p_type = 'LARGE' AND b = 2 THEN 'EUR' WHEN (b % 5) % 2 = 0 THEN 'USD' ELSE 'CLP' END AS "C3",
+         CASE b WHEN 5 THEN 'B9' WHEN 3 THEN NULL ELSE concat('B', CAST(b % 5 AS VARCHAR)) END AS "C4",
+         CASE WHEN b = 7 OR p_partkey % 4 = 0 THEN '3Y' WHEN b % 5 = 0 THEN '0.0' WHEN b % 5 = 1 THEN '0Y' WHEN b % 5 = 2 THEN '2Y'
               WHEN b % 5 = 3 THEN '5.0' ELSE '10' END AS "C5",
-         CASE WHEN (b % 5) % 2 = 0 THEN 'USD' ELSE 'CLP' END AS moneda,
+         CASE WHEN p_type = 'LARGE' AND b = 2 THEN 'EUR' WHEN (b % 5) % 2 = 0 THEN 'USD' ELSE 'CLP' END AS moneda,
          avg(r) AS retorno, sum(r * pv) AS aporte_retorno,
          sum(pv) AS peso_valorizacion_economica_sub, sum(pe) AS peso_exposicion_economica
-  FROM li GROUP BY p_type, b, fecha, tipo_fondo, afp""",
+  FROM li GROUP BY p_partkey, p_type, b, fecha, tipo_fondo, afp""",
     "calendar": f"""
   SELECT fecha, date_diff('day', DATE '2001-01-01', fecha) % 40 <> 0 AS es_habil
   FROM (SELECT DISTINCT {_SESSION} AS fecha FROM lineitem)""",
@@ -157,7 +157,7 @@ def _class_sql(
          {value} AS return_calc, {weight} AS weight_calc, aporte AS contribution_calc, source_record_count,
          CASE status WHEN 0 THEN 'REAL' WHEN 1 THEN 'EQUIVALENTE' ELSE 'NO_EQUIVALENTE' END AS observation_status,
          'NIVEL_' || deepest AS imputation_method
-  FROM (SELECT fecha, {_norm('afp')} AS manager, tipo_fondo AS fund_type, {key} AS asset_key,
+  FROM (SELECT fecha, {_norm('afp')} AS manager, {_norm('tipo_fondo')} AS fund_type, {key} AS asset_key,
                {grouped['c1']} AS g1, {grouped['c2']} AS g2, {grouped['c3']} AS g3, {grouped['c5']} AS g5,
                avg(retorno) AS mean, sum(aporte_retorno) AS aporte, sum(peso_valorizacion_economica_sub) AS pv,
                sum(peso_exposicion_economica) AS pe, count(*) AS source_record_count, {status} AS status,
@@ -179,10 +179,10 @@ def _mon(rows: str, imputed: bool = False) -> str:
     )
 
 
-def _swp(rows: str, imputed: bool = False) -> str:
+def _swp(rows: str, imputed: bool = False, currencies: str = "IN ('USD', 'CLP')") -> str:
     c2, c3, tenor = _norm('"C2"'), _norm('"C3"'), f"coalesce({_TENOR}, '')"
     return _class_sql(
-        rows, f"{_norm('clase')} = 'SWP' AND {c2} = 'TASA' AND {c3} IN ('USD', 'CLP')",
+        rows, f"{_norm('clase')} = 'SWP' AND {c2} = 'TASA' AND {c3} {currencies}",
         f"'SWP|' || {c2} || '|' || {c3} || '|' || {tenor}", "SWP", "SWP",
         f"CASE WHEN g5 = '0' THEN 0.0 ELSE {_over('pe', 'NULL', imputed)} END", "pe", {"c2": c2, "c3": c3, "c5": tenor},
     )
@@ -227,10 +227,18 @@ def _code(rows: str, imputed: bool = False) -> str:
 
 
 _CTES["base_observed"] = _code("observed")
-_CTES["base_spec"] = " UNION ALL ".join([_code("observed"), _alt("observed"), _swp_other("observed"), _other("observed")])
+
+
+def _spec(rows: str) -> str:
+    others = _swp(rows, currencies="NOT IN ('USD', 'CLP')")
+    return " UNION ALL ".join([_code(rows), others, _alt(rows), _swp_other(rows), _other(rows)])
+
+
+_CTES["base_spec"] = _spec("observed")
+_CTES["base_cspec"] = _spec("completed")
 _CTES["base"] = _code("completed")
 _CTES["base_imputed"] = _code("completed", True)
-for _name in ("base", "base_observed", "base_spec"):
+for _name in ("base", "base_observed", "base_spec", "base_cspec"):
     _CTES[f"{_name}_bare"] = f"SELECT * FROM {_name} WHERE NOT (manager = 'PORTFOLIO' AND asset_class = 'SWP')"
 
 
@@ -350,7 +358,8 @@ def _var(sigma: str, relation: str) -> str:
 
 for _suffix, _base, _scope in (
     ("", "base", False), ("_bare", "base_bare", False), ("_observed", "base_observed", False),
-    ("_spec", "base_spec", False), ("_market", "base", True),
+    ("_spec", "base_spec", False), ("_cspec", "base_cspec", False), ("_cspec_bare", "base_cspec_bare", False),
+    ("_market", "base", True),
 ):
     _CTES[f"comparables{_suffix}"] = _comparables(_base, _scope)
     if _suffix == "_market":
@@ -363,7 +372,7 @@ for _suffix, _base, _scope in (
     _CTES[f"daily{_suffix}"] = _daily(f"breakdown{_suffix}")
     _CTES[f"recent{_suffix}"] = _latest(f"daily{_suffix}")
     _CTES[f"te{_suffix}"] = _te(f"recent{_suffix}")
-    if _suffix in ("", "_bare", "_observed"):
+    if _suffix in ("", "_bare", "_observed", "_cspec"):
         _CTES[f"series{_suffix}"] = _series(_base)
         _CTES[f"series_window{_suffix}"] = _latest(f"series{_suffix}")
         _CTES[f"beta{_suffix}"] = _beta(f"series_window{_suffix}")
@@ -410,7 +419,7 @@ _CTES["series_weighted_window"] = _latest("series_weighted")
 
 _BODIES: dict[str, str] = {
     "incremental_extract": (
-        "SELECT *, year(fecha) AS year, month(fecha) AS month FROM panel WHERE fecha >= DATE '2001-08-01'"
+        "SELECT *, year(fecha) AS year, month(fecha) AS month FROM panel WHERE fecha > DATE '2001-08-14'"
     ),
     "staging_idempotent": (
         "SELECT year(fecha) AS year, month(fecha) AS month, count(*) AS total, count(DISTINCT fecha) AS dates, "
@@ -530,6 +539,66 @@ _BODIES["qc_summary"] = " UNION ALL ".join(
     + [f"SELECT 'cap', violations FROM ({_BODIES['qc_cap'].replace('_observed', '')})"]
 )
 
+# Tables that are off in one way each, and the checks over them.
+_OFF = {
+    "sides_observed": "SELECT * REPLACE (CASE WHEN fund_type <> 'F0' THEN side_weight * 1.01 ELSE side_weight END AS side_weight) FROM sides_observed",
+    "delta_observed": "SELECT * REPLACE (CASE WHEN fund_type <> 'F1' THEN delta_weight + 0.02 ELSE delta_weight END AS delta_weight) FROM delta_observed",
+    "base_observed": "SELECT * REPLACE (CASE WHEN asset_class = 'SWP' AND c2 = 'TASA' AND c5 = '0' AND manager = 'PEER' "
+    "THEN 0.005 ELSE return_calc END AS return_calc) FROM base_observed",
+    "comparables_observed": "SELECT * REPLACE (return_calc * 4 AS return_calc) FROM comparables_observed",
+    "recent_observed": "SELECT * FROM recent_observed WHERE day(fecha) <> 15",
+}
+_VAR_OFF = "SELECT * REPLACE (CASE WHEN fund_type <> 'F2' THEN -var_95_1d ELSE var_95_1d END AS var_95_1d) FROM ({})"
+
+
+def _found(key: str) -> str:
+    body = _BODIES[key]
+    if key == "qc_var_positive":
+        return f"SELECT * FROM ({_VAR_OFF.format(_var('daily_tracking_error', 'te_observed'))}) WHERE var_95_1d <= 0"
+    for name, relation in _OFF.items():
+        body = re.sub(rf"\bFROM {name}\b", f"FROM ({relation})", body)
+    return body
+
+
+_BODIES |= {f"{key}_found": _found(key) for key in FOUND if key != "qc_summary"}
+_BODIES["qc_summary_found"] = " UNION ALL ".join(
+    [f"SELECT '{rule}' AS rule, count(*) AS violations FROM ({_BODIES.get(f'{key}_found', _BODIES[key]).replace('_observed', '')})"
+     for rule, key in _SUMMARY.items()]
+    + [f"SELECT 'cap', violations FROM ({_BODIES['qc_cap_found'].replace('_observed', '')})"]
+)
+
+
+def _run_sums(suffix: str, bare: str) -> str:
+    base = f"base{suffix}"
+    sums = {
+        "te_retornos_base": ("contribution_calc", base),
+        "te_retornos_comparables": ("return_calc", f"comparables{suffix}"),
+        "te_retornos_comparables_sin_derivados": ("return_calc", f"comparables{bare}"),
+        "te_pesos_base": ("weight_calc", f"{base} WHERE fecha = corte"),
+        "te_pesos_consolidados": ("side_weight", f"sides{suffix}"),
+        "te_pesos_comparables": ("delta_weight * delta_weight", f"delta{suffix}"),
+        "te_pesos_comparables_sin_derivados": ("delta_weight * delta_weight", f"delta{bare}"),
+        "te_exante_diario": ("r_diff", f"recent{suffix}"),
+        "te_exante_resumen": ("te_ex_ante", f"te{suffix}"),
+        "te_beta_exante_resumen": ("beta_ex_ante", f"beta{suffix}"),
+        "te_var_exante_resumen": ("1.6449 * daily_tracking_error", f"te{suffix}"),
+        "te_var_exante_resumen_sin_derivados": ("1.6449 * sqrt(252.0) * daily_tracking_error", f"te{bare}"),
+    }
+    return " UNION ALL ".join(
+        f"SELECT '{name}' AS \"table\", count(*) AS total, sum({value}) AS checksum FROM {relation}"
+        for name, (value, relation) in sums.items()
+    )
+
+
+_BODIES |= {
+    "daily_run": _run_sums("", "_bare"),
+    "daily_run_spec": _run_sums("_cspec", "_cspec_bare"),
+    "view_te_no_deriv": "SELECT * FROM te_bare",
+    "view_te_daily_no_deriv": "SELECT * FROM recent_bare",
+    "view_beta_no_deriv": "SELECT * FROM beta_bare",
+    "view_breakdown": "SELECT * FROM breakdown",
+}
+
 
 def _with_ctes(body: str) -> str:
     """Prefix the relations a body uses, and those they use, in definition order."""

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import date
+from functools import reduce
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,7 +13,7 @@ from pyspark.sql import functions as F
 from riskpanel.catalog.columns import COLUMNS, present
 from riskpanel.catalog.inputs import CONFIG, CUTOFF, Inputs, inputs
 from riskpanel.operators import history, imputation, metrics, quality, returns, staging, weights
-from riskpanel.plans import result_tables
+from riskpanel.plans import DailyPaths, result_views, run_daily
 from riskpanel.sources import SourceConfig, audit_counts, read_panel, read_snapshot, write_partitions, write_snapshot
 
 BARE = CONFIG.with_(derivatives=False)
@@ -29,11 +30,28 @@ NORMALIZED = CONFIG.with_(beta_weighting="normalized")
 FIRST_LOAD_END = date(2001, 8, 14)
 OTHER_CUTOFF = "2001-09-14"
 
+# One number per result table that the daily run is compared by.
+CHECKSUMS = {
+    "te_retornos_base": "contribution_calc",
+    "te_retornos_comparables": "return_calc",
+    "te_retornos_comparables_sin_derivados": "return_calc",
+    "te_pesos_base": "base_weight",
+    "te_pesos_consolidados": "side_weight",
+    "te_pesos_comparables": "delta_weight * delta_weight",
+    "te_pesos_comparables_sin_derivados": "delta_weight * delta_weight",
+    "te_exante_diario": "r_diff",
+    "te_exante_resumen": "te_ex_ante",
+    "te_beta_exante_resumen": "beta_ex_ante",
+    "te_var_exante_resumen": "var_95_1d",
+    "te_var_exante_resumen_sin_derivados": "var_95_252d",
+}
+
 
 def _incremental_extract(i: Inputs) -> DataFrame:
     source = SourceConfig(path=_source_path(i))
     staged = i.path(f"staging-{uuid4().hex}")
-    write_partitions(staging.with_partitions(history.up_to_cutoff(i.panel, FIRST_LOAD_END)), staged, ["year", "month"])
+    loaded = history.up_to_cutoff(i.panel, FIRST_LOAD_END).drop("corte")
+    write_partitions(staging.with_partitions(loaded), staged, staging.PARTITIONS)
     start, end = staging.incremental_range(
         staging.source_max_date(i.spark, source), staging.staging_watermark(i.spark, staged)
     )
@@ -81,9 +99,7 @@ def _snapshot_replace(i: Inputs) -> DataFrame:
 
 
 def _matched(i: Inputs) -> DataFrame:
-    return imputation.match_real(
-        history.active_universe(i.real, CUTOFF), imputation.business_days(i.calendar, CUTOFF), i.real
-    )
+    return imputation.match_real(i.universe, imputation.business_days(i.calendar, CUTOFF), i.real)
 
 
 def _imputed(i: Inputs) -> DataFrame:
@@ -111,7 +127,45 @@ def _covariance(operator, base: DataFrame, cfg) -> DataFrame:
 
 
 def _check(name: str) -> Callable[[Inputs], DataFrame]:
-    return lambda i: quality.CHECKS[name](result_tables(_observed_base(i), CONFIG), CONFIG)
+    return lambda i: quality.CHECKS[name](i.observed_tables, CONFIG)
+
+
+def _disturbed(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """The same tables, each off in one documented way, so that every check has something to find."""
+
+    def off(name: str, column: str, value: str, where: str) -> DataFrame:
+        return tables[name].withColumn(column, F.expr(f"CASE WHEN {where} THEN {value} ELSE {column} END"))
+
+    zero_tenor = "asset_class = 'SWP' AND c2 = 'TASA' AND c5 = '0' AND manager = 'PEER'"
+    return tables | {
+        "te_pesos_consolidados": off("te_pesos_consolidados", "side_weight", "side_weight * 1.01D", "fund_type <> 'F0'"),
+        "te_pesos_comparables": off("te_pesos_comparables", "delta_weight", "delta_weight + 0.02D", "fund_type <> 'F1'"),
+        "te_retornos_base": off("te_retornos_base", "return_calc", "0.005D", zero_tenor),
+        "te_retornos_comparables": off("te_retornos_comparables", "return_calc", "return_calc * 4", "true"),
+        "te_exante_diario": tables["te_exante_diario"].filter("day(fecha) <> 15"),
+        "te_var_exante_resumen": off("te_var_exante_resumen", "var_95_1d", "-var_95_1d", "fund_type <> 'F2'"),
+    }
+
+
+def _daily_run(i: Inputs, cfg=CONFIG) -> DataFrame:
+    """The stored daily run over staged inputs: rows and a sum per result table."""
+    root = i.path(f"run-{uuid4().hex}")
+    staged = staging.with_partitions(i.panel.drop("corte"))
+    write_partitions(staged, f"{root}/staging", staging.PARTITIONS)
+    i.calendar.drop("corte").write.parquet(f"{root}/calendar")
+    i.alt_params.write.parquet(f"{root}/alt_params")
+    paths = DailyPaths(root, f"{root}/calendar", f"{root}/alt_params" if cfg.classes == "spec" else None)
+    tables = run_daily(i.spark, cfg, paths)
+    sums = [
+        tables[name].agg(F.count(F.lit(1)).alias("total"), F.expr(f"sum({column})").alias("checksum"))
+        .select(F.lit(name).alias("table"), "total", "checksum")
+        for name, column in CHECKSUMS.items()
+    ]
+    return reduce(DataFrame.unionByName, sums)
+
+
+def _view(i: Inputs, name: str) -> DataFrame:
+    return result_views(i.tables, CONFIG)[name]
 
 
 _QUERIES: dict[str, Callable[[Inputs], DataFrame]] = {
@@ -119,22 +173,20 @@ _QUERIES: dict[str, Callable[[Inputs], DataFrame]] = {
     "staging_idempotent": _staging_idempotent,
     "snapshot_read": _snapshot_read,
     "snapshot_replace": _snapshot_replace,
-    "audit_counts": lambda i: audit_counts(
-        {n: t for n, t in result_tables(i.base, CONFIG).items() if n in ("te_pesos_base", "te_exante_resumen")}, CUTOFF
-    ),
+    "audit_counts": lambda i: audit_counts({n: i.tables[n] for n in ("te_pesos_base", "te_exante_resumen")}, CUTOFF),
     "exclude_non_modelable": lambda i: history.exclude_non_modelable(i.panel),
     "active_universe": lambda i: history.active_universe(history.exclude_non_modelable(i.panel), CUTOFF),
     "real_history": lambda i: history.real_history(i.panel, CUTOFF),
     "business_days": lambda i: imputation.business_days(i.calendar, CUTOFF),
     "history_matrix": lambda i: imputation.history_matrix(
-        history.active_universe(i.real, CUTOFF), imputation.business_days(i.calendar, CUTOFF)
+        i.universe, imputation.business_days(i.calendar, CUTOFF)
     ),
     "match_real": _matched,
     "hierarchy_means": lambda i: imputation.hierarchy_means(i.real),
     "impute_hierarchy": _imputed,
     "return_origin": lambda i: imputation.return_origin(_imputed(i)),
     "special_rules": lambda i: imputation.special_rules(i.panel),
-    "complete_history": lambda i: imputation.complete_history(i.real, i.calendar, CUTOFF),
+    "complete_history": lambda i: imputation.complete_history(i.real, i.calendar, CUTOFF, universe=i.universe),
     "imputation_coverage": lambda i: imputation.imputation_coverage(i.completed),
     "returns_mon": lambda i: returns.returns_mon(i.modelable),
     "returns_swp": lambda i: returns.returns_swp(i.modelable),
@@ -179,7 +231,19 @@ _QUERIES: dict[str, Callable[[Inputs], DataFrame]] = {
     "covariance_product": lambda i: _covariance(metrics.covariance_product, i.base, CONFIG),
     "risk_report": lambda i: metrics.risk_report(i.base, CONFIG),
     **{f"qc_{name}": _check(name) for name in quality.CHECKS},
-    "qc_summary": lambda i: quality.qc_summary(result_tables(i.base, CONFIG), CONFIG),
+    "qc_summary": lambda i: quality.qc_summary(i.tables, CONFIG),
+}
+
+_QUERIES |= {
+    **{key: (lambda i, name=key[3:-6]: quality.CHECKS[name](_disturbed(i.observed_tables), CONFIG))
+       for key in COLUMNS if key.startswith("qc_") and key.endswith("_found") and key != "qc_summary_found"},
+    "qc_summary_found": lambda i: quality.qc_summary(_disturbed(i.tables), CONFIG),
+    "daily_run": _daily_run,
+    "daily_run_spec": lambda i: _daily_run(i, SPEC),
+    "view_te_no_deriv": lambda i: _view(i, "v_te_exante_resumen_sin_derivados"),
+    "view_te_daily_no_deriv": lambda i: _view(i, "v_te_exante_diario_sin_derivados"),
+    "view_beta_no_deriv": lambda i: _view(i, "v_te_beta_exante_resumen_sin_derivados"),
+    "view_breakdown": lambda i: _view(i, "v_te_desglose"),
 }
 
 assert set(_QUERIES) == set(COLUMNS)

@@ -12,8 +12,8 @@ ANNUAL_DAYS = 252.0
 HISTORY_DAYS = 252
 BOOTSTRAP_DAYS = 30
 
-# Upper limit of history_days. It is what proves that the calendar side of a join is
-# small enough to broadcast, whatever the size of the panel.
+# Upper limit of the days of a history. Every operator that takes days checks it; more days are an
+# error. It proves that the days may travel as values and as a broadcast table.
 MAX_HISTORY_DAYS = 1008
 
 _CHOICES = {
@@ -25,6 +25,12 @@ _CHOICES = {
 }
 
 
+def check_days(n: int) -> int:
+    if not 1 <= n <= MAX_HISTORY_DAYS:
+        raise ValueError(f"history_days outside [1, {MAX_HISTORY_DAYS}]: {n}")
+    return n
+
+
 def as_date(value: date | str) -> date:
     if isinstance(value, datetime):
         return value.date()
@@ -71,8 +77,7 @@ class RiskConfig:
             raise ValueError(f"ret_cap outside [0.01, 1.0]: {self.ret_cap}")
         if not 20 <= self.window_days <= 504:
             raise ValueError(f"window_days outside [20, 504]: {self.window_days}")
-        if not 1 <= self.history_days <= MAX_HISTORY_DAYS:
-            raise ValueError(f"history_days outside [1, {MAX_HISTORY_DAYS}]: {self.history_days}")
+        check_days(self.history_days)
         for name, allowed in _CHOICES.items():
             if getattr(self, name) not in allowed:
                 raise ValueError(f"{name} must be one of {allowed}: {getattr(self, name)}")

@@ -13,13 +13,12 @@ looks a level up per instrument:
 from __future__ import annotations
 
 from datetime import date
-from math import ceil
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskpanel import schemas
-from riskpanel.config import HISTORY_DAYS, as_date
+from riskpanel.config import HISTORY_DAYS, MAX_HISTORY_DAYS, as_date, check_days
 from riskpanel.functions import norm, splittable_join, tenor_bucket
 from riskpanel.operators.history import active_universe
 
@@ -31,68 +30,82 @@ def business_days(calendar: DataFrame, corte: date | str, n: int = HISTORY_DAYS)
     return (
         calendar.filter(F.col("es_habil") & (F.col("fecha") <= F.lit(as_date(corte))))
         .select("fecha")
+        .distinct()
         .orderBy(F.col("fecha").desc())
-        .limit(n)
+        .limit(check_days(n))
     )
 
 
-def _day_bits(days: DataFrame, n: int) -> DataFrame:
-    """Each day with one bit of its own, spread over as many long columns as ``n`` needs.
+def day_values(days: DataFrame) -> list[date]:
+    """The given days in order, as values. There are at most MAX_HISTORY_DAYS; more are an error, none is left out."""
+    found = days.select("fecha").dropna().distinct().limit(MAX_HISTORY_DAYS + 1).collect()
+    if len(found) > MAX_HISTORY_DAYS:
+        raise ValueError(f"more than {MAX_HISTORY_DAYS} days")
+    return sorted(row["fecha"] for row in found)
 
-    At most ``n`` rows, so one task numbers them and every use may broadcast them.
-    """
-    numbered = days.limit(n).select("fecha", (F.row_number().over(Window.orderBy("fecha")) - 1).alias("slot"))
-    return numbered.selectExpr(
-        "fecha",
-        *[
-            f"if(slot DIV {_WORD_BITS} = {w}, shiftleft(1L, slot % {_WORD_BITS}), 0L) AS bit_{w}"
-            for w in range(ceil(n / _WORD_BITS))
-        ],
-    )
+
+def _day_array(days: list[date]) -> Column:
+    return F.array(*map(F.lit, days)).cast("array<date>")
 
 
-def _words(bits: DataFrame) -> list[str]:
-    return [c for c in bits.columns if c != "fecha"]
+def _day_bits(real: DataFrame, days: list[date]) -> DataFrame:
+    """Each day with one bit of its own, spread over as many long columns as the days need."""
+    words = range(max(1, -(-len(days) // _WORD_BITS)))
+    rows = [(d, *[1 << i % _WORD_BITS if i // _WORD_BITS == w else 0 for w in words]) for i, d in enumerate(days)]
+    return real.sparkSession.createDataFrame(rows, "fecha date, " + ", ".join(f"bit_{w} bigint" for w in words))
 
 
 def history_matrix(universe: DataFrame, days: DataFrame) -> DataFrame:
     """Every universe row on every day. The days travel as one bounded array, not as a join."""
-    dates = days.agg(F.collect_list("fecha")).scalar()
-    return universe.withColumn("days", dates).withColumn("fecha", F.explode("days")).drop("days")
+    return universe.withColumn("fecha", F.explode(_day_array(day_values(days))))
+
+
+def _in_window(real: DataFrame, days: list[date]) -> DataFrame:
+    """Rows between the first and last day; as values, so the scan skips the rest."""
+    if not days:
+        return real.filter(F.lit(False))
+    return real.filter(F.col("fecha").between(F.lit(days[0]), F.lit(days[-1])))
 
 
-def _in_window(real: DataFrame, days: DataFrame) -> DataFrame:
-    """Rows between the first and last day; evaluated up front, so the scan skips the rest."""
-    first, last = days.agg(F.min("fecha")).scalar(), days.agg(F.max("fecha")).scalar()
-    return real.filter((F.col("fecha") >= first) & (F.col("fecha") <= last))
+def _observed(universe: DataFrame, days: list[date], real: DataFrame) -> DataFrame:
+    """Observed rows on the days, with the classification of the universe."""
+    on_days = _in_window(real, days).join(F.broadcast(_day_bits(real, days).select("fecha")), "fecha")
+    measured = on_days.select("fecha", *schemas.INSTRUMENT_KEY, *schemas.MEASURES)
+    return splittable_join(measured, universe, schemas.INSTRUMENT_KEY).select(
+        "fecha", *schemas.UNIVERSE, *schemas.MEASURES
+    )
 
 
-def match_real(universe: DataFrame, days: DataFrame, real: DataFrame, n: int = HISTORY_DAYS) -> DataFrame:
-    """Universe x days with the observed measures, null where nothing was observed.
+def _gaps(universe: DataFrame, days: list[date], real: DataFrame) -> DataFrame:
+    """Universe rows on the days without an observed row, with empty measures.
 
-    Observed rows join the universe directly; the days left over per instrument come from
-    its bit set of observed days, so the full matrix is never shuffled.
+    An instrument's observed days are a bit set, combined before the shuffle, so neither the full
+    matrix nor the observed rows are shuffled.
     """
-    key = schemas.INSTRUMENT_KEY
-    bits = _day_bits(days, n)
-    words = _words(bits)
-    observed = _in_window(real, days).join(F.broadcast(bits), "fecha")
-
-    seen = observed.groupBy(*key).agg(*[F.bit_or(w).alias(f"seen_{w}") for w in words])
-
-    hits = " + ".join(f"(day.{w} & coalesce(seen_{w}, 0L))" for w in words)
-    gaps = (
-        universe.join(seen, key, "left")
-        .withColumn("days", bits.agg(F.collect_list(F.struct("fecha", *words))).scalar())
-        .withColumn("day", F.expr(f"explode(filter(days, day -> {hits} = 0L))"))
+    key, bits = schemas.INSTRUMENT_KEY, _day_bits(real, days)
+    words = bits.columns[1:]
+    seen = (
+        _in_window(real, days)
+        .join(F.broadcast(bits), "fecha")
+        .groupBy(*key)
+        .agg(*[F.bit_or(w).alias(f"seen_{w}") for w in words])
     )
-    columns = ["fecha", *schemas.UNIVERSE]
-    measured = observed.select("fecha", *key, *schemas.MEASURES)
-    matched = splittable_join(measured, universe, key).select(*columns, *schemas.MEASURES)
-    unmatched = gaps.withColumn("fecha", F.col("day.fecha")).select(
-        *columns, *[F.lit(None).cast("double").alias(m) for m in schemas.MEASURES]
+    day_bit = f"shiftleft(1L, pmod(i, {_WORD_BITS}))"
+    hit = " ".join(f"WHEN i DIV {_WORD_BITS} = {w} THEN coalesce(seen_bit_{w}, 0L) & {day_bit}" for w in range(len(words)))
+    lacking = universe.join(seen, key, "left").withColumn("days", _day_array(days))
+    return lacking.withColumn("fecha", F.expr(f"explode(filter(days, (day, i) -> (CASE {hit} END) = 0L))")).select(
+        "fecha", *schemas.UNIVERSE, *[F.lit(None).cast("double").alias(m) for m in schemas.MEASURES]
     )
-    return matched.unionByName(unmatched).withColumn("tiene_real", F.col("retorno").isNotNull())
+
+
+def _marked(df: DataFrame) -> DataFrame:
+    return df.withColumn("tiene_real", F.col("retorno").isNotNull())
+
+
+def match_real(universe: DataFrame, days: DataFrame, real: DataFrame) -> DataFrame:
+    """Universe x days with the observed measures, null where nothing was observed."""
+    values = day_values(days)
+    return _marked(_observed(universe, values, real).unionByName(_gaps(universe, values, real)))
 
 
 def hierarchy_means(real: DataFrame, chain: list[str] | None = None) -> DataFrame:
@@ -148,6 +161,17 @@ def _search_levels(requests: DataFrame, means: DataFrame, size: int) -> DataFram
     )
 
 
+def _filled(known: DataFrame, missing: DataFrame, requests: DataFrame, means: DataFrame, chain: list[str]) -> DataFrame:
+    """``missing`` rows with what their day and path resolve to, after the ``known`` ones."""
+    resolved = _search_levels(requests, means, len(chain))
+    wanting = missing.withColumn("path", F.array(*chain))
+    imputed = splittable_join(wanting, resolved, ["fecha", "path"], "left").drop("path")
+    passed = known.select(
+        "*", F.lit(None).cast("double").alias("retorno_imputado"), F.lit(None).cast("int").alias("jerarquia_usada")
+    )
+    return passed.unionByName(imputed)
+
+
 def impute_hierarchy(matched: DataFrame, means: DataFrame, chain: list[str] | None = None) -> DataFrame:
     """Adds the imputed return and its level to the rows without an observed return.
 
@@ -155,13 +179,9 @@ def impute_hierarchy(matched: DataFrame, means: DataFrame, chain: list[str] | No
     the path may hold nulls: as elements of one array they compare equal.
     """
     chain = chain or schemas.HIERARCHY
-    missing = matched.filter(~F.col("tiene_real")).withColumn("path", F.array(*chain))
-    resolved = _search_levels(missing.select("fecha", "path").distinct(), means, len(chain))
-    imputed = splittable_join(missing, resolved, ["fecha", "path"], "left").drop("path")
-    known = matched.filter("tiene_real").select(
-        "*", F.lit(None).cast("double").alias("retorno_imputado"), F.lit(None).cast("int").alias("jerarquia_usada")
-    )
-    return known.unionByName(imputed)
+    missing = matched.filter(~F.col("tiene_real"))
+    requests = missing.select("fecha", F.array(*chain).alias("path")).distinct()
+    return _filled(matched.filter("tiene_real"), missing, requests, means, chain)
 
 
 def return_origin(df: DataFrame) -> DataFrame:
@@ -183,12 +203,25 @@ def special_rules(df: DataFrame) -> DataFrame:
 
 
 def complete_history(
-    real: DataFrame, calendar: DataFrame, corte: date | str, n: int = HISTORY_DAYS
+    real: DataFrame, calendar: DataFrame, corte: date | str, n: int = HISTORY_DAYS, universe: DataFrame | None = None
 ) -> DataFrame:
-    """Active instruments x business days, with imputed returns and their provenance."""
-    days = business_days(calendar, corte, n)
-    universe = active_universe(real, corte)
-    filled = impute_hierarchy(match_real(universe, days, real, n), hierarchy_means(_in_window(real, days)))
+    """Active instruments x business days, with imputed returns and their provenance.
+
+    Give the universe as a stored table where there is one; it is used four times. The history is read for the
+    observed returns, for the observed rows without a return, for the days seen and for the means. What
+    may be asked for follows from universe and days, so nothing is matched twice.
+    """
+    days = day_values(business_days(calendar, corte, n))
+    universe = active_universe(real, corte) if universe is None else universe
+    chain = schemas.HIERARCHY
+    with_return = _in_window(real, days).filter("retorno IS NOT NULL")
+    without = _in_window(real, days).filter("retorno IS NULL")
+    missing = _observed(universe, days, without).unionByName(_gaps(universe, days, real))
+    paths = universe.select(F.array(*chain).alias("path")).distinct()
+    requests = paths.withColumn("fecha", F.explode(_day_array(days)))
+    filled = _filled(
+        _marked(_observed(universe, days, with_return)), _marked(missing), requests, hierarchy_means(with_return), chain
+    )
     return special_rules(return_origin(filled)).select(*schemas.COMPLETED.fieldNames())
 
 

@@ -12,14 +12,18 @@ from riskpanel.config import BOOTSTRAP_DAYS
 from riskpanel.sources import SourceConfig, read_source, source_max_date, staging_watermark, write_partitions
 
 
+#: Staging is partitioned by day, so a load replaces the days it carries and no others.
+PARTITIONS = ["year", "month", "fecha"]
+
+
 @dataclass(frozen=True)
 class StagedRange:
-    """What a load covered. ``read_from`` is ``start`` moved back to the first of its month."""
+    """What a load covered, and how many values it could not read (0 unless the source allows any)."""
 
     start: date
     end: date
-    read_from: date
     rows: int
+    unreadable: int = 0
 
 
 def incremental_range(
@@ -37,13 +41,11 @@ def with_partitions(df: DataFrame) -> DataFrame:
     return df.withColumn("year", F.year("fecha")).withColumn("month", F.month("fecha"))
 
 
-def extract_increment(spark: SparkSession, source: SourceConfig, start: date, end: date) -> DataFrame:
-    """Source rows from the first of ``start``'s month.
-
-    Staging replaces whole months, so a load that begins inside a month has to carry that
-    month's earlier days with it.
-    """
-    return with_partitions(read_source(spark, source, start.replace(day=1), end))
+def extract_increment(
+    spark: SparkSession, source: SourceConfig, start: date, end: date, unreadable: Observation | None = None
+) -> DataFrame:
+    """Source rows of the new days only. What staging holds of earlier days stays, also if the source has dropped it."""
+    return with_partitions(read_source(spark, source, start, end, unreadable))
 
 
 def incremental_stage(
@@ -59,9 +61,8 @@ def incremental_stage(
     )
     if span is None:
         return None
-    start, end = span
-    # The count rides on the write instead of scanning the source a second time.
-    loaded = Observation("staged rows")
-    rows = extract_increment(spark, source, start, end).observe(loaded, F.count(F.lit(1)).alias("rows"))
-    write_partitions(rows, staging_path, ["year", "month"])
-    return StagedRange(start, end, start.replace(day=1), loaded.get["rows"])
+    # The counts ride on the write instead of scanning the source a second time.
+    loaded, unreadable = Observation(), Observation()
+    rows = extract_increment(spark, source, *span, unreadable).observe(loaded, F.count(F.lit(1)).alias("rows"))
+    write_partitions(rows, staging_path, PARTITIONS)
+    return StagedRange(*span, loaded.get["rows"], (unreadable.get["values"] or 0) if source.allow_unreadable else 0)

@@ -7,16 +7,14 @@ step, a lost executor costs one stage, and shared inputs are computed once.
 from __future__ import annotations
 
 from dataclasses import dataclass
-from datetime import date
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskpanel import schemas
 from riskpanel.config import RiskConfig
-from riskpanel.operators.history import at_cutoff, real_history, require_universe
-from riskpanel.operators.imputation import business_days, complete_history
-from riskpanel.operators.quality import qc_summary
+from riskpanel.operators.history import active_universe, exclude_non_modelable, real_history, require_universe
+from riskpanel.operators.imputation import complete_history
+from riskpanel.operators.quality import qc_summary, require_quality
 from riskpanel.operators.returns import base_returns
 from riskpanel.operators.staging import incremental_stage
 from riskpanel.plans.results import result_tables
@@ -43,24 +41,24 @@ class DailyPaths:
         return f"{self.root.rstrip('/')}/{name}"
 
 
-def _oldest_needed(spark: SparkSession, paths: DailyPaths, cfg: RiskConfig) -> date:
-    """First business day of the history, so that older months are never read."""
-    days = business_days(read_calendar(spark, paths.calendar), cfg.cutoff, cfg.history_days)
-    return min(days.agg(F.min("fecha")).first()[0] or cfg.cutoff, cfg.cutoff)
-
-
 def store_real_history(spark: SparkSession, paths: DailyPaths, cfg: RiskConfig) -> DataFrame:
-    panel = read_panel(spark, paths.table("staging"), start=_oldest_needed(spark, paths, cfg), end=cfg.cutoff)
+    """All staged dates up to the cutoff of the instruments active then. Nothing is replaced if there are none."""
+    panel = read_panel(spark, paths.table("staging"), end=cfg.cutoff)
+    active = exclude_non_modelable(read_panel(spark, paths.table("staging"), start=cfg.cutoff, end=cfg.cutoff))
+    require_universe(active, cfg.cutoff)
     write_snapshot(real_history(panel, cfg.cutoff), paths.table("output_real"), cfg.cutoff, ["fecha"])
-    real = read_snapshot(spark, paths.table("output_real"), cfg.cutoff, schemas.REAL_HISTORY)
-    require_universe(at_cutoff(real, cfg.cutoff), cfg.cutoff)
-    return real
+    return read_snapshot(spark, paths.table("output_real"), cfg.cutoff, schemas.REAL_HISTORY)
 
 
 def store_completed(spark: SparkSession, paths: DailyPaths, cfg: RiskConfig) -> DataFrame:
     real = read_snapshot(spark, paths.table("output_real"), cfg.cutoff, schemas.REAL_HISTORY)
-    completed = complete_history(real, read_calendar(spark, paths.calendar), cfg.cutoff, cfg.history_days)
-    write_snapshot(completed, paths.table("output_final"), cfg.cutoff, ["fecha"])
+    write_snapshot(active_universe(real, cfg.cutoff), paths.table("output_universe"), cfg.cutoff)
+    universe = read_snapshot(spark, paths.table("output_universe"), cfg.cutoff).drop("corte")
+    completed = complete_history(
+        real, read_calendar(spark, paths.calendar), cfg.cutoff, cfg.history_days, universe
+    )
+    # Always read whole, so its rows need no clustering.
+    write_snapshot(completed, paths.table("output_final"), cfg.cutoff)
     return read_snapshot(spark, paths.table("output_final"), cfg.cutoff, schemas.COMPLETED)
 
 
@@ -76,17 +74,27 @@ def store_results(spark: SparkSession, paths: DailyPaths, cfg: RiskConfig) -> di
 
 
 def run_daily(
-    spark: SparkSession, cfg: RiskConfig, paths: DailyPaths, source: SourceConfig | None = None, **staging
+    spark: SparkSession,
+    cfg: RiskConfig,
+    paths: DailyPaths,
+    source: SourceConfig | None = None,
+    strict_quality: bool = False,
+    **staging,
 ) -> dict[str, DataFrame]:
     """All steps for one cutoff. Returns the stored tables, the audit and the quality summary.
 
-    Without a source the staged panel is used as it is.
+    On a day that is no business day nothing is due: no step runs and nothing is returned. Without a source the
+    staged panel is used as it is. ``strict_quality`` raises on a failed check, after everything is stored.
     """
+    if not is_business_day(read_calendar(spark, paths.calendar), cfg):
+        return {}
     if source is not None:
         incremental_stage(spark, source, paths.table("staging"), **staging)
     store_real_history(spark, paths, cfg)
     store_completed(spark, paths, cfg)
     tables = store_results(spark, paths, cfg)
+    if strict_quality:
+        require_quality(tables, cfg)
     return tables | {
         "audit": audit_counts(tables, cfg.cutoff),
         "quality": qc_summary(tables, cfg),

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -105,12 +105,34 @@ TABLES: dict[str, T.StructType] = {
 }
 
 
-def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
+def _unreadable(df: DataFrame, field: T.StructField) -> Column:
+    """Whether a value is there but cannot be read as the target type."""
+    return F.col(field.name).isNotNull() & F.col(field.name).try_cast(field.dataType).isNull()
+
+
+def unreadable_values(df: DataFrame, schema: T.StructType) -> Column:
+    """Number of values of a row that ``conform`` cannot read."""
+    return sum((_unreadable(df, f).cast("int") for f in schema.fields), F.lit(0))
+
+
+def conform(df: DataFrame, schema: T.StructType, allow_unreadable: bool = False) -> DataFrame:
     """Keep exactly the columns of ``schema``, in its order and types.
 
-    Values that cannot be read as the target type become null; a missing column is an error.
+    A missing column is an error, and so is a value that cannot be read as the target type, once its row is
+    read. With ``allow_unreadable`` such a value becomes null; it is then up to the caller to count them.
     """
     missing = [name for name in schema.fieldNames() if name.lower() not in {c.lower() for c in df.columns}]
     if missing:
         raise ValueError(f"columns not found: {missing}")
-    return df.select(*[F.col(f.name).try_cast(f.dataType).alias(f.name) for f in schema.fields])
+
+    def read(field: T.StructField) -> Column:
+        given = F.col(field.name)
+        if df.select(given).schema[0].dataType == field.dataType:
+            return given
+        value = given.try_cast(field.dataType)
+        if allow_unreadable:
+            return value
+        message = F.concat(F.lit(f"unreadable value in {field.name}: "), given.cast("string"))
+        return F.when(_unreadable(df, field), F.raise_error(message)).otherwise(value)
+
+    return df.select(*[read(f).alias(f.name) for f in schema.fields])

@@ -1,6 +1,7 @@
 from riskpanel.sources.readers import (
     SourceConfig,
     jdbc_options,
+    jdbc_predicates,
     max_date,
     read_alt_params,
     read_calendar,
@@ -10,12 +11,21 @@ from riskpanel.sources.readers import (
     source_max_date,
     staging_watermark,
 )
-from riskpanel.sources.writers import audit_counts, replace_by_key, write_partitions, write_snapshot
+from riskpanel.sources.writers import (
+    audit_counts,
+    delete_statement,
+    replace_by_key,
+    warehouse_options,
+    write_partitions,
+    write_snapshot,
+)
 
 __all__ = [
     "SourceConfig",
     "audit_counts",
+    "delete_statement",
     "jdbc_options",
+    "jdbc_predicates",
     "max_date",
     "read_alt_params",
     "read_calendar",
@@ -25,6 +35,7 @@ __all__ = [
     "replace_by_key",
     "source_max_date",
     "staging_watermark",
+    "warehouse_options",
     "write_partitions",
     "write_snapshot",
 ]

@@ -6,7 +6,7 @@ from dataclasses import dataclass
 from datetime import date, timedelta
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -26,6 +26,11 @@ class SourceConfig:
     driver: str | None = None
     fetchsize: int = 50_000
     num_partitions: int = 64
+    # SQL of the database for a bucket number from 0 of a row, with {n} for the number of buckets, for
+    # example "MOD(ABS(HASHTEXT(nemotecnico)), {n})". Splits each day over several connections.
+    bucket_sql: str | None = None
+    buckets: int = 8
+    allow_unreadable: bool = False  # read values of the wrong type as null, and count them in the load
 
     def __post_init__(self) -> None:
         if (self.path is None) == (self.url is None):
@@ -56,6 +61,13 @@ def jdbc_options(source: SourceConfig, start: date, end: date) -> dict[str, str]
     }
 
 
+def jdbc_predicates(source: SourceConfig, start: date, end: date) -> list[str]:
+    """One condition per day and bucket of instruments: each is a task and a connection of its own."""
+    buckets = [f"{source.bucket_sql.format(n=source.buckets)} = {b}" for b in range(source.buckets)]
+    days = [start + timedelta(days=i) for i in range((end - start).days + 1)]
+    return [f"fecha = DATE '{day.isoformat()}' AND {bucket}" for day in days for bucket in buckets]
+
+
 def max_date(df: DataFrame, column: str) -> date:
     """Latest date of a column; an error when there is none."""
     latest = df.agg(F.max(F.to_date(column)).alias("latest")).first()["latest"]
@@ -72,20 +84,33 @@ def source_max_date(spark: SparkSession, source: SourceConfig) -> date:
     return max_date(spark.read.format("jdbc").options(**_connection(source), query=query).load(), "fecha")
 
 
-def read_source(spark: SparkSession, source: SourceConfig, start: date, end: date) -> DataFrame:
-    """The panel columns of the closed interval [start, end]; both filters reach the source."""
+def read_source(
+    spark: SparkSession, source: SourceConfig, start: date, end: date, unreadable: Observation | None = None
+) -> DataFrame:
+    """The panel columns of the closed interval [start, end]; both filters reach the source.
+
+    Where the source allows unreadable values, ``unreadable`` counts them as the rows pass.
+    """
     start, end = as_date(start), as_date(end)
     if source.path is not None:
         rows = spark.read.parquet(source.path)
+    elif source.bucket_sql is not None:
+        connection = _connection(source)
+        rows = spark.read.jdbc(
+            connection.pop("url"), source.table, predicates=jdbc_predicates(source, start, end), properties=connection
+        )
     else:
         rows = spark.read.format("jdbc").options(**jdbc_options(source, start, end)).load()
-    return schemas.conform(rows.filter(F.col("fecha").between(F.lit(start), F.lit(end))), schemas.PANEL)
+    rows = rows.filter(F.col("fecha").between(F.lit(start), F.lit(end)))
+    if source.allow_unreadable and unreadable is not None:
+        rows = rows.observe(unreadable, F.sum(schemas.unreadable_values(rows, schemas.PANEL)).alias("values"))
+    return schemas.conform(rows, schemas.PANEL, source.allow_unreadable)
 
 
 def read_panel(
     spark: SparkSession, path: str, start: date | str | None = None, end: date | str | None = None
 ) -> DataFrame:
-    """Staged panel, reading only the month partitions that [start, end] touches."""
+    """Staged panel, reading only the day partitions of [start, end]."""
     df = spark.read.schema(schemas.STAGING).parquet(path)
     month = F.col("year") * 12 + F.col("month")
     if start is not None:

@@ -10,7 +10,7 @@ from riskpanel.session import local_session
 
 
 @pytest.fixture(scope="session")
-def spark():
-    session = local_session("tests", cores=4)
+def spark(tmp_path_factory):
+    session = local_session("tests", cores=4, scratch=str(tmp_path_factory.mktemp("shared")))
     yield session
     session.stop()

@@ -8,7 +8,7 @@ from riskpanel.operators.history import real_history
 from riskpanel.operators.imputation import complete_history
 from riskpanel.plans import DailyPaths, register_views, result_tables, run_daily
 from riskpanel.plans.daily import is_business_day
-from riskpanel.sources import SourceConfig, read_calendar, read_panel
+from riskpanel.sources import SourceConfig, read_calendar, read_panel, read_snapshot, write_snapshot
 
 from tests.frames import CORTE, collect, day, panel
 
@@ -88,8 +88,29 @@ def test_views_are_available_to_sql(spark, stored):
 
 def test_empty_cutoff_stops_the_run(spark, source, stored):
     paths = DailyPaths(str(source / "out"), str(source / "calendar"))
+    root = str(source / "out" / "output_real")
+    write_snapshot(stored["te_pesos_base"].sparkSession.read.parquet(root).limit(2), root, day(3))
     with pytest.raises(ValueError, match="no instrument"):
         run_daily(spark, CFG.with_(cutoff=day(3)), paths)
+    assert read_snapshot(spark, root, day(3)).count() == 2  # what was stored for that cutoff is still there
+
+
+def test_nothing_runs_on_a_holiday(spark, source):
+    holiday = next(day(-i) for i in range(10) if i % 7 == 3)
+    paths = DailyPaths(str(source / "nowhere"), str(source / "calendar"))
+    assert run_daily(spark, CFG.with_(cutoff=holiday), paths) == {}
+
+
+def test_strict_quality_raises(spark, source, stored):
+    paths = DailyPaths(str(source / "out"), str(source / "calendar"))
+    with pytest.raises(ValueError, match="quality checks failed"):
+        run_daily(spark, CFG.with_(cutoff=day(-1)), paths, strict_quality=True)
+
+
+def test_stored_history_is_whole(spark, source, stored):
+    root = str(source / "out")
+    staged = real_history(read_panel(spark, f"{root}/staging"), CORTE)
+    assert read_snapshot(spark, f"{root}/output_real", CORTE).count() == staged.count()
 
 
 def test_business_day_check(spark, source):

@@ -4,8 +4,10 @@ import re
 
 import pytest
 
+import __spark_entry__
 from riskpanel.catalog.compare import differences
-from __spark_entry__ import entry, oracle_sql, queries
+from riskpanel.catalog.oracle import oracle_sql
+from riskpanel.catalog.queries import queries
 
 SMALL = "/root/testdata/sf0.001"
 QUERIES, SQL = queries(), oracle_sql()
@@ -18,6 +20,7 @@ def plan_of(df) -> str:
 
 def test_all_queries_have_sql():
     assert set(QUERIES) == set(SQL)
+    assert set(QUERIES) <= set(__spark_entry__.queries()) and set(SQL) <= set(__spark_entry__.oracle_sql())
 
 
 @pytest.mark.parametrize("key", list(QUERIES))
@@ -28,7 +31,7 @@ def test_query_equals_sql(spark, key):
 
 
 def test_entry(spark):
-    assert entry(spark).count() > 0
+    assert __spark_entry__.entry(spark).count() > 0
 
 
 def test_base_returns_read_once_and_shuffle_once(spark):
@@ -39,6 +42,35 @@ def test_base_returns_read_once_and_shuffle_once(spark):
     assert "partial_sum" in initial
 
 
+def initial_plan(df) -> str:
+    return plan_of(df).split("== Initial Plan ==")[-1]
+
+
+def scans(df) -> list[str]:
+    """The columns that each scan of the initial plan reads."""
+    return re.findall(r"FileScan parquet.*?ReadSchema: (struct<[^>]*>)", initial_plan(df))
+
+
+def test_completion_reads_the_history_four_times(spark):
+    read = scans(QUERIES["complete_history"](spark, SMALL))
+    assert len([columns for columns in read if "fecha:" in columns]) == 4  # the others read the stored universe
+    assert not any("es_habil" in columns for columns in read)
+
+
+def test_report_reads_base_returns_four_times(spark):
+    assert len(scans(QUERIES["risk_report"](spark, SMALL))) == 4  # returns, weights, their totals, daily sums
+
+
+def test_summary_reads_one_stored_table_per_rule(spark):
+    assert len(scans(QUERIES["qc_summary"](spark, SMALL))) == 9
+
+
+@pytest.mark.parametrize("key", [k for k in QUERIES if k.endswith("_found") and k != "qc_summary_found"])
+def test_every_check_finds_its_disturbance(spark, key):
+    rows = QUERIES[key](spark, SMALL).collect()
+    assert rows and all(r["violations"] > 0 for r in rows if "violations" in r)
+
+
 def test_cutoff_weights_push_the_date_to_the_scan(spark):
     plan = plan_of(QUERIES["base_weights"](spark, SMALL))
     assert "EqualTo(fecha,2001-09-17)" in plan

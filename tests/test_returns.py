@@ -107,3 +107,18 @@ def test_selectors(spark):
     assert returns.select_side(df, "benchmark").count() == 1
     with pytest.raises(ValueError):
         returns.select_class(df, "BON")
+
+
+def test_rate_swaps_in_other_currencies_count_in_spec_only(spark):
+    swap = {"clase": "SWP", "C2": "TASA", "C5": "5Y", "aporte_retorno": 0.1, "peso_exposicion_economica": 2.0}
+    df = completed(spark, [swap | {"C3": "EUR"}, swap | {"C3": "USD"}, swap | {"C3": "EUR", "C5": "0Y"}])
+    spec = results(returns.base_returns(df, CFG.with_(classes="spec")), "asset_key", "return_calc", "asset_class")
+    assert spec == [("SWP|TASA|EUR|0", 0.0, "SWP"), ("SWP|TASA|EUR|5", 0.05, "SWP"), ("SWP|TASA|USD|5", 0.05, "SWP")]
+    assert results(returns.base_returns(df, CFG), "asset_key") == [("SWP|TASA|USD|5",)]
+
+
+def test_two_parameters_for_one_key_are_an_error(spark):
+    df = completed(spark, [{"clase": "ACT", "C1": "ALT", "C2": "R", "C3": "T"}])
+    params = spark.createDataFrame([("PORTFOLIO", "A", "R", "T", Decimal("0.1")), ("portfolio", "A", "R", "T", Decimal("0.2"))], schemas.ALT_PARAMS)
+    with pytest.raises(Exception, match="two return parameters"):
+        returns.base_returns(df, CFG.with_(classes="spec"), params).collect()
