@@ -7,6 +7,7 @@ in place. Nothing is shuffled, whatever pre-tokens the texts hold.
 
 from __future__ import annotations
 
+from collections import Counter as Counted
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -29,27 +30,21 @@ class CountConfig:
     entries: int = 50_000
     entry_bytes: int = 40
     sample_documents: int = 2_000
+    sample_bytes: int = 20_000
 
 
 def frequent_lengths(docs: DataFrame, vocab, config: CountConfig) -> tuple[bytes, bytes]:
-    """The most frequent pre-tokens of a bounded sample, joined by zero bytes, and a byte for each one's length."""
+    """The most frequent pre-tokens of a bounded sample, joined by zero bytes, and a byte for each one's length.
 
-    def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = encoder(vocab.value)
-        for batch in batches:
-            for group in groups([t or "" for t in batch.column("text").to_pylist()]):
-                tokens = pa.array([t for text in group for t in own.pre_tokens(text)], pa.string()).value_counts()
-                yield pa.RecordBatch.from_arrays([tokens.field("values"), tokens.field("counts")], names=["token", "n"])
-
-    sample = docs.select("text").limit(config.sample_documents)
-    top = (
-        sample.mapInArrow(split, "token string, n bigint")
-        .filter((F.octet_length("token") <= config.entry_bytes) & ~F.contains("token", F.lit("\0")))
-        .groupBy("token").agg(F.sum("n").alias("n"))
-        .orderBy(F.desc("n"), "token").limit(config.entries)
-    )
-    tokens = [row.token for row in top.select("token").collect()]  # at most ``entries``
-    own = Encoder(vocab.value)
+    The sample is the first rows that come, each of bounded size: a few partitions are read, nothing is shuffled,
+    and the driver gets ``sample_documents`` x ``sample_bytes`` at most.
+    """
+    own, counts = Encoder(vocab.value), Counted()
+    short = F.octet_length("text") <= config.sample_bytes
+    for row in docs.select("text").filter(short).limit(config.sample_documents).collect():
+        counts.update(own.pre_tokens(row.text))
+    usable = [t for t in counts if len(t.encode()) <= config.entry_bytes and "\0" not in t]
+    tokens = sorted(usable, key=lambda t: (-counts[t], t))[: config.entries]
     ids = {**own.encode_tokens(t for t in tokens if t not in own.special_ids), **own.special_ids}
     return "\0".join(tokens).encode(), bytes(len(ids[t]) // 4 for t in tokens)
 
