@@ -38,18 +38,24 @@ hosts AS (
          string_split(regexp_replace(host, ':[0-9]*$', ''), '.') AS labels
   FROM split LEFT JOIN outcome ON page_id = doc_id GROUP BY host),
 named AS (SELECT *, array_to_string(labels[-2:], '.') AS domain, labels[-1] AS suffix FROM hosts),
-overall AS (SELECT (sum(bad) + 1) / (sum(seen) + 2) AS prior FROM hosts),
-suffixes AS (SELECT suffix, sum(bad) AS bad, sum(seen) AS seen, any_value(prior) AS prior FROM named, overall GROUP BY suffix),
+overall AS (SELECT (sum(bad) + 1) / (sum(seen) + 2) AS prior, sum(seen) + 2 AS support FROM hosts),
+suffixes AS (SELECT suffix, sum(bad) AS bad, sum(seen) AS seen, any_value(prior) AS prior,
+                    any_value(support) AS support FROM named, overall GROUP BY suffix),
 s_size AS ({strength('suffixes')}),
-s_mean AS (SELECT suffix, (bad + size * prior) / (seen + size) AS mean FROM suffixes, s_size),
+s_mean AS (
+  SELECT suffix, (bad + least(size, support) * prior) / (seen + least(size, support)) AS mean, seen + least(size, support) AS support
+  FROM suffixes, s_size),
 domains AS (
-  SELECT domain, suffix, sum(bad) AS bad, sum(seen) AS seen, any_value(mean) AS prior
-  FROM named JOIN s_mean USING (suffix) GROUP BY domain, suffix),
+  SELECT domain, suffix, sum(bad) AS bad, sum(seen) AS seen, any_value(mean) AS prior,
+         any_value(support) AS support FROM named JOIN s_mean USING (suffix) GROUP BY domain, suffix),
 d_size AS ({strength('domains')}),
-d_mean AS (SELECT domain, suffix, (bad + size * prior) / (seen + size) AS mean FROM domains, d_size),
-priors AS (SELECT host, bad, seen, mean AS prior FROM named JOIN d_mean USING (domain, suffix)),
+d_mean AS (
+  SELECT domain, suffix, (bad + least(size, support) * prior) / (seen + least(size, support)) AS mean,
+         seen + least(size, support) AS support FROM domains, d_size),
+priors AS (SELECT host, bad, seen, mean AS prior, support FROM named JOIN d_mean USING (domain, suffix)),
 h_size AS ({strength('priors')}),
-posterior AS (SELECT host, seen, bad + size * prior AS a, seen - bad + size * (1 - prior) AS b FROM priors, h_size),
+posterior AS (
+  SELECT host, seen, bad + least(size, support) * prior AS a, seen - bad + least(size, support) * (1 - prior) AS b FROM priors, h_size),
 bounds AS (SELECT host, seen, a / (a + b) - {config.deviations} * sqrt(a * b / ((a + b) * (a + b) * (a + b + 1))) AS bound FROM posterior),
 rules AS (SELECT * FROM (VALUES {fits}) AS r(verdict, rule_host, rule_path)),
 best AS (

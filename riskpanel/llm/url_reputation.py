@@ -3,7 +3,7 @@
 Labelled outcomes of pages are counted per host, registered domain and suffix. At each level
 the rate of bad pages has a beta prior around the rate of the level above, and the strength of
 that prior is fitted to how much the groups of the level really differ (beta-binomial
-moments). A host with few labels is judged by its domain, a domain with few by its suffix. A
+moments), but never more than the pages behind the level above. A host with few labels is judged by its domain, a domain with few by its suffix. A
 page is blocked if even the lower bound of its host's posterior rate is above a limit. Rules of
 an operator go first.
 """
@@ -51,7 +51,7 @@ class ReputationConfig:
 
     rules: tuple[Rule, ...] = RULES
     limit: float = 0.3
-    deviations: float = 1.645
+    deviations: float = 1.96
     least: float = 2.0
     most: float = 1000.0
 
@@ -93,10 +93,13 @@ def strength(groups: DataFrame, config: ReputationConfig) -> float:
 
 
 def shrunk(groups: DataFrame, size: float) -> DataFrame:
-    """Posterior of each group: the prior counts as ``size`` pages at its rate."""
-    return groups.withColumn("alpha", F.col("bad") + size * F.col("prior")).withColumn(
-        "beta", F.col("seen") - F.col("bad") + size * (1 - F.col("prior"))
-    ).withColumn("mean", F.col("alpha") / (F.col("alpha") + F.col("beta")))
+    """Posterior of each group: the prior counts as ``size`` pages at its rate, or as many as support it."""
+    return (
+        groups.withColumn("size", F.least(F.lit(size), F.col("support")))
+        .withColumn("alpha", F.col("bad") + F.col("size") * F.col("prior"))
+        .withColumn("beta", F.col("seen") - F.col("bad") + F.col("size") * (1 - F.col("prior")))
+        .withColumn("mean", F.col("alpha") / (F.col("alpha") + F.col("beta")))
+    )
 
 
 def reputations(pages: DataFrame, config: ReputationConfig) -> DataFrame:
@@ -108,11 +111,13 @@ def reputations(pages: DataFrame, config: ReputationConfig) -> DataFrame:
 
     total = hosts.agg(F.sum("bad").alias("bad"), F.sum("seen").alias("seen")).first()
     overall = ((total.bad or 0) + 1) / ((total.seen or 0) + 2)
-    suffixes = level("suffix").withColumn("prior", F.lit(overall))
+    support = F.lit((total.seen or 0) + 2.0)
+    suffixes = level("suffix").withColumns({"prior": F.lit(overall), "support": support})
     suffixes = stored(shrunk(suffixes, strength(suffixes, config)), "suffixes")
-    domains = level("domain", "suffix").join(suffixes.select("suffix", F.col("mean").alias("prior")), "suffix")
+    above = [F.col("mean").alias("prior"), (F.col("alpha") + F.col("beta")).alias("support")]
+    domains = level("domain", "suffix").join(suffixes.select("suffix", *above), "suffix")
     domains = stored(shrunk(domains, strength(domains, config)), "domains")
-    priors = domains.select("domain", "suffix", F.col("mean").alias("prior"))
+    priors = domains.select("domain", "suffix", *above)
     known = stored(splittable_join(hosts, priors, ["domain", "suffix"]), "priors")
     size = F.col("alpha") + F.col("beta")
     spread = F.sqrt(F.col("alpha") * F.col("beta") / (size * size * (size + 1)))

@@ -25,7 +25,7 @@ def test_offsets_point_at_the_removed_text(spark):
     assert len(rows) == 3 and {r.kept_doc_id for r in rows} == {1}
     got = {r.doc_id: (r.text, r.n_chars) for r in remove_repeats(docs_of(spark, docs)).collect()}
     assert got[1] == (docs[0][1], len(docs[0][1]))
-    assert got[2] == ("日本 other\n\nend", 14)
+    assert got[2] == ("日本 other\n\nend", 13)
     assert got[3][0] == f"mine {text(6, 30)}"
 
 

@@ -40,21 +40,24 @@ def plain(pages: list[tuple], outcomes: dict, config: ReputationConfig = Reputat
             out[key(h)][1] += seen[h]
         return out
 
-    def posterior(groups, prior):
+    def posterior(groups, prior, support):
         chance = sum(prior[g] * (1 - prior[g]) for g, (_, n) in groups.items() if n)
         spread = sum(n * (b / n - prior[g]) ** 2 for g, (b, n) in groups.items() if n)
         room = sum((n - 1) * prior[g] * (1 - prior[g]) for g, (_, n) in groups.items() if n)
         size = config.most if not room or spread <= chance else min(config.most, max(config.least, room / (spread - chance) - 1))
-        return {g: (b + size * prior[g], n - b + size * (1 - prior[g])) for g, (b, n) in groups.items()}
+        held = {g: min(size, support[g]) for g in groups}
+        return {g: (b + held[g] * prior[g], n - b + held[g] * (1 - prior[g])) for g, (b, n) in groups.items()}
 
     overall = (sum(bad.values()) + 1) / (sum(seen.values()) + 2)
     suffixes = grouped(lambda h: levels(h)[1])
-    top = {s: a / (a + b) for s, (a, b) in posterior(suffixes, dict.fromkeys(suffixes, overall)).items()}
+    top = posterior(suffixes, dict.fromkeys(suffixes, overall), dict.fromkeys(suffixes, sum(seen.values()) + 2))
+    rate = lambda ab: ab[0] / sum(ab)
     domains = grouped(levels)
-    middle = {d: a / (a + b) for d, (a, b) in posterior(domains, {d: top[d[1]] for d in domains}).items()}
+    middle = posterior(domains, {d: rate(top[d[1]]) for d in domains}, {d: sum(top[d[1]]) for d in domains})
     hosts = {h: (bad[h], seen[h]) for h in seen}
     out = {}
-    for h, (a, b) in posterior(hosts, {h: middle[levels(h)] for h in hosts}).items():
+    above = {h: middle[levels(h)] for h in hosts}
+    for h, (a, b) in posterior(hosts, {h: rate(above[h]) for h in hosts}, {h: sum(above[h]) for h in hosts}).items():
         n = a + b
         out[h] = (seen[h], a / n, a / n - config.deviations * math.sqrt(a * b / (n * n * (n + 1))))
     return out
