@@ -101,6 +101,7 @@ class Machine:
     def train(self, rows: list[tuple[int, np.ndarray, np.ndarray]]) -> None:
         """Adaptive gradient steps on (label, words, statistics); without rows the score is 0.5."""
         if not rows:
+            self.vector[:] = 0
             return
         table = np.array([s for _, _, s in rows])
         self.centre, self.spread = table.mean(axis=0), table.std(axis=0) + 1e-3

@@ -74,10 +74,12 @@ def test_every_stage_on_what_the_one_before_kept(staged):
     for _, text, source in cut:
         sizes[source] += len(brute.words(text))
     assert set(mixed) <= set(cut) and max(Counter(mixed).values()) <= 2
-    targets, taken = brute.targets(sizes), Counter()
-    for _, text, source in mixed:
-        taken[source] += len(brute.words(text))
-    assert all(targets[s] - 150 <= taken[s] <= targets[s] for s in sizes)
+    targets, copies = brute.targets(sizes), Counter(mixed)
+    for source, target in targets.items():
+        own = [(len(brute.words(d[1])), copies[d]) for d in cut if d[2] == source]
+        taken, whole = sum(n * c for n, c in own), int(target / sizes[source] + 1e-9)
+        left_out = [n for n, c in own if n and c == whole < 2]
+        assert taken <= target + 1e-6 and (not left_out or min(left_out) > int(target) - taken)  # nothing left fits
 
     def digests(text: str) -> tuple:
         ids = LIBRARY.encode(text, add_special_tokens=False).ids
