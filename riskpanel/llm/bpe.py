@@ -29,9 +29,9 @@ PATTERN = (
 
 NONE = np.int64(1) << np.int64(60)
 LONG = 64  # symbols from which a pre-token gets a tree of its own
-CACHED = 300_000  # entries of a worker's cache
+CACHED = 100_000  # entries of a worker's cache
 CACHED_BYTES = 64  # longest pre-token kept there
-GROUP = 1_000_000  # characters of text worked on at a time
+GROUP = 500_000  # characters of text worked on at a time
 
 
 def byte_letters() -> list[str]:

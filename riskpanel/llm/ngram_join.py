@@ -43,8 +43,8 @@ class JoinConfig:
 
     width: int = 5
     percent: int = 75
-    chunk_shingles: int = 1_500_000
-    fragment_shingles: int = 4_000_000
+    chunk_shingles: int = 750_000
+    fragment_shingles: int = 1_500_000
     segments: int = 8
     pairs_per_bucket: int = 20_000
     sketches: int = 4

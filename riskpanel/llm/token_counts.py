@@ -52,7 +52,7 @@ def frequent_lengths(docs: DataFrame, vocab, config: CountConfig) -> tuple[bytes
 class Counter:
     """Counts tokens with the broadcast table and a cache of bounded size."""
 
-    ROOM = 300_000
+    ROOM = 100_000
 
     def __init__(self, content: str, table: tuple[bytes, bytes]) -> None:
         self.encoder = encoder(content)
