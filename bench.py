@@ -2,7 +2,8 @@
 
 BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (8) and BENCH_RUNS (5) set the data,
 the cores and the number of warm runs per query, of which the median counts.
-``daily_chain`` is one run of the whole chain, from the given tables to stored base returns.
+``daily_chain`` is one run of the whole chain, from the given tables to stored base returns, and
+``daily_run`` one of the stored daily run with all result tables. ``panel_rows`` says how large the panel is.
 """
 
 from __future__ import annotations
@@ -10,9 +11,10 @@ from __future__ import annotations
 import json
 import os
 import statistics
+import tempfile
 import time
 
-from riskpanel.catalog.inputs import Inputs
+from riskpanel.catalog.inputs import Inputs, inputs
 from riskpanel.catalog.queries import queries
 from riskpanel.session import local_session
 
@@ -29,7 +31,7 @@ def timed(action) -> float:
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     runs = int(os.environ.get("BENCH_RUNS", "5"))
-    spark = local_session("bench")
+    spark = local_session("bench", scratch=tempfile.mkdtemp(prefix="bench-"))
     registered = queries()
 
     def run(key: str) -> None:
@@ -45,6 +47,7 @@ def main() -> None:
         run(key)
         seconds[key] = statistics.median(timed(lambda: run(key)) for _ in range(runs))
     seconds["daily_chain"] = timed(chain)
+    seconds["daily_run"] = timed(lambda: run("daily_run"))
     print(
         json.dumps(
             {
@@ -53,6 +56,7 @@ def main() -> None:
                 "unit": "sec",
                 "queries": {key: round(value, 3) for key, value in seconds.items()},
                 "sf": os.path.basename(sf_dir.rstrip("/")).removeprefix("sf"),
+                "panel_rows": inputs(spark, sf_dir).panel.count(),
                 "cores": spark.sparkContext.defaultParallelism,
                 "runs": runs,
             }
