@@ -7,6 +7,8 @@ from uuid import uuid4
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from riskpanel.session import shared_folder
+
 # Fixed value: what separates words, as a Java class. Everything else belongs to a word.
 SPACE = r"[\x20\x09-\x0D]"
 
@@ -14,17 +16,9 @@ SPACE = r"[\x20\x09-\x0D]"
 BROADCAST_ROWS = 1_000_000
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """A new folder that driver and executors share: below spark.checkpoint.dir, or the warehouse where that is unset."""
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        base = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/scratch"
-    return f"{base.rstrip('/')}/llm-{uuid4().hex}"
-
-
 def stored(df: DataFrame, name: str) -> DataFrame:
     """``df`` written to the shared folder and read again: a lost executor repeats tasks, not earlier steps."""
-    path = f"{shared_folder(df.sparkSession)}/{name}"
+    path = f"{shared_folder(df.sparkSession)}/llm-{uuid4().hex}/{name}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
@@ -43,10 +37,10 @@ def lower_ascii(text: Column) -> Column:
 
 
 def join_small(large: DataFrame, small: DataFrame, keys: list[str], how: str) -> DataFrame:
-    """Equi-join in which ``small`` (narrow, already stored) is broadcast if its counted rows allow it.
+    """Equi-join in which ``small`` (narrow and stored, so cheap to count) is broadcast if its rows allow it.
 
     Beyond that bound both sides are shuffled; adaptive execution splits hot keys.
     """
-    if small.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
+    if small.count() <= BROADCAST_ROWS:
         small = F.broadcast(small)
     return large.join(small, keys, how)
