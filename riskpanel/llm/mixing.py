@@ -10,6 +10,7 @@ likelier in it, which is what spares the mix a long tail of fragments.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -21,7 +22,8 @@ from riskpanel.llm.common import join_small, stored, words
 class MixConfig:
     """``share`` of all words to take; ``cap``: most copies of a document; ``weights`` repeat over the sources.
 
-    ``reach``: so many documents from the first one that does not fit are still tried, in order, for the last gap.
+    ``reach``: so many documents from the first one that does not fit are tried in one pass over a source; passes
+    go on until nothing left fits, so it changes no result.
     """
 
     share: float = 1.5
@@ -93,68 +95,97 @@ def ranked(rows: DataFrame, targets: DataFrame, config: MixConfig) -> DataFrame:
     )
 
 
-def boundaries(keyed: DataFrame, config: MixConfig) -> DataFrame:
-    """Per source the bucket in which the quota runs out, the words left there, and the last bucket to look at."""
-    bucketed = keyed.filter("rank_key IS NOT NULL").groupBy("source", "bucket", "quota").agg(
+def boundaries(pool: DataFrame, config: MixConfig) -> DataFrame:
+    """Per source the bucket in which what is left runs out, the words left there, and the last bucket of this pass.
+
+    ``pool``: documents not decided yet, none larger than the ``left`` of its source. No row: all of them fit.
+    """
+    bucketed = pool.groupBy("source", "bucket", "left").agg(
         F.sum("size").alias("bucket_words"), F.count(F.lit(1)).alias("bucket_docs")
     )
     upto = Window.partitionBy("source").orderBy("bucket")
     summed = bucketed.withColumns(
         {"words_upto": F.sum("bucket_words").over(upto), "docs_upto": F.sum("bucket_docs").over(upto)}
-    ).withColumn("over", F.col("words_upto") > F.col("quota"))
+    ).withColumn("over", F.col("words_upto") > F.col("left"))
     first = summed.filter("over").groupBy("source").agg(
-        F.min_by(F.struct("bucket", (F.col("quota") - F.col("words_upto") + F.col("bucket_words")).alias("left"),
+        F.min_by(F.struct("bucket", (F.col("left") - F.col("words_upto") + F.col("bucket_words")).alias("left"),
                           "docs_upto"), "bucket").alias("first")
     ).select("source", "first.*")
     ends = summed.alias("s").join(first.alias("f"), F.col("s.source").eqNullSafe(F.col("f.source"))).filter(
         "s.docs_upto - s.bucket_docs < f.docs_upto + " + str(config.reach)
     )
-    return ends.groupBy(F.col("f.source").alias("source"), F.col("f.bucket").alias("first_bucket"), "left").agg(
+    return ends.groupBy(F.col("f.source").alias("source"), F.col("f.bucket").alias("first_bucket"), "f.left").agg(
         F.max("s.bucket").alias("last_bucket")
     )
 
 
-def fill(tail: DataFrame, config: MixConfig) -> DataFrame:
-    """(doc_id, twin, source, extra) for the few buckets where the quota runs out: documents in order, if they fit.
+def fill(tail: DataFrame) -> DataFrame:
+    """(source, last_bucket, left, docs, extra) of the few buckets of a pass: documents in order, if they fit.
 
     A source gathers the documents of these buckets only, about rows_per_bucket + reach.
     """
-    listed = tail.groupBy("source", "left").agg(
+    listed = tail.groupBy("source", "last_bucket", "left").agg(
         F.sort_array(F.collect_list(F.struct("rank_key", "doc_id", "size", "twin"))).alias("docs")
     )
     step = (
-        "aggregate(docs, struct(left AS left, CAST(NULL AS INT) AS missed, 0 AS at, CAST(array() AS ARRAY<INT>) AS extra), "
-        "(a, d) -> CASE WHEN d.size <= a.left AND (a.missed IS NULL OR a.at < a.missed + {reach}) "
-        "THEN struct(a.left - d.size AS left, a.missed AS missed, a.at + 1 AS at, concat(a.extra, array(1)) AS extra) "
-        "ELSE struct(a.left AS left, coalesce(a.missed, a.at) AS missed, a.at + 1 AS at, concat(a.extra, array(0)) AS extra) END, "
-        "a -> a.extra)"
-    ).format(reach=config.reach)
-    return listed.withColumn("extra", F.expr(step)).select(
-        "source", F.explode(F.arrays_zip("docs", "extra")).alias("row")
-    ).select("row.docs.doc_id", "row.docs.twin", "source", "row.extra")
+        "aggregate(docs, struct(left AS left, CAST(array() AS ARRAY<INT>) AS extra), "
+        "(a, d) -> CASE WHEN d.size <= a.left THEN struct(a.left - d.size AS left, concat(a.extra, array(1)) AS extra) "
+        "ELSE struct(a.left AS left, concat(a.extra, array(0)) AS extra) END)"
+    )
+    return listed.withColumn("end", F.expr(step)).select("source", "last_bucket", "end.left", "docs", "end.extra")
+
+
+def passes(keyed: DataFrame, targets: DataFrame, config: MixConfig) -> tuple[DataFrame, DataFrame]:
+    """(source, passes) and (doc_id, twin, extra) of the documents that were looked up.
+
+    Each pass takes a source's buckets up to the one where what is left runs out, fills that one and a few more in
+    order, and leaves the later ones to the next, which sees only documents that still fit. A pass is a scan of
+    narrow rows. It holds ``after`` and ``last``, its buckets, ``first``, from where documents are looked up, and
+    ``left`` at its start.
+    """
+    done, looked_up = [], []
+    state = targets.select("source", F.lit(-1).cast("long").alias("after"), F.col("quota").alias("left"))
+    while True:
+        pool = keyed.join(state.withColumnRenamed("source", "_source"), F.col("source").eqNullSafe(F.col("_source")))
+        pool = pool.drop("_source").filter("rank_key IS NOT NULL AND bucket > after AND size <= left")
+        limits = stored(boundaries(pool, config), "limits").withColumnsRenamed({"source": "_source", "left": "_left"})
+        done.append(
+            state.join(limits, state["source"].eqNullSafe(limits["_source"]), "left").select(
+                "source", F.struct("after", F.col("first_bucket").alias("first"), F.col("last_bucket").alias("last"), "left").alias("pass")
+            )
+        )
+        if limits.isEmpty():
+            break
+        tail = pool.drop("left").join(limits, F.col("source").eqNullSafe(F.col("_source"))).withColumnRenamed("_left", "left")
+        filled = stored(fill(tail.filter("bucket BETWEEN first_bucket AND last_bucket")), "filled")
+        looked_up.append(filled.select(F.explode(F.arrays_zip("docs", "extra")).alias("row")).select(
+            "row.docs.doc_id", "row.docs.twin", "row.extra"
+        ))
+        state = filled.select("source", F.col("last_bucket").alias("after"), "left")
+    every = reduce(DataFrame.unionAll, done).groupBy("source").agg(F.collect_list("pass").alias("passes"))
+    none = keyed.filter("false").select("doc_id", "twin", F.lit(0).alias("extra"))
+    return stored(every, "passes"), stored(reduce(DataFrame.unionAll, looked_up, none), "looked_up")
 
 
 def decide(sizes: DataFrame, rows: DataFrame, config: MixConfig) -> DataFrame:
     """``rows`` (source, doc_id, size, twin and any others) with source_size, target and ``copies``.
 
-    ``sizes`` holds the same documents, stored. Everything below the bucket where a source's quota runs out is
-    taken, everything above is not, and the documents in between are looked up.
+    ``sizes`` holds the same documents, stored. What fits below the bucket where a pass runs out is taken, and the
+    documents from there to its end are looked up.
     """
     targets = stored(source_targets(sizes, config), "targets")
-    keyed = ranked(sizes, targets, config)
-    limits = stored(boundaries(keyed, config), "limits")
-
-    def bounded(df: DataFrame) -> DataFrame:
-        return df.join(limits, df["source"].eqNullSafe(limits["source"]), "left").drop(limits["source"])
-
-    tail = bounded(keyed).filter("bucket BETWEEN first_bucket AND last_bucket")
-    filled = stored(fill(tail, config), "filled").groupBy("doc_id", "twin").agg(F.max("extra").alias("extra"))
-    placed = bounded(ranked(rows, targets, config)).withColumn("_id", F.coalesce(F.col("doc_id"), F.lit(-1)))
+    limits, filled = passes(ranked(sizes, targets, config), targets, config)
+    filled = filled.groupBy("doc_id", "twin").agg(F.max("extra").alias("extra"))
+    placed = ranked(rows, targets, config)
+    placed = placed.join(limits, placed["source"].eqNullSafe(limits["source"]), "left").drop(limits["source"])
+    placed = placed.withColumn("_id", F.coalesce(F.col("doc_id"), F.lit(-1)))
     filled = filled.withColumn("_id", F.coalesce(F.col("doc_id"), F.lit(-1))).drop("doc_id")
-    found = join_small(placed, filled, ["_id", "twin"], "left")
-    # without a boundary the quota holds all that can be sampled
-    extra = F.when(F.col("rank_key").isNull(), 0).when(
-        F.col("first_bucket").isNull() | (F.col("bucket") < F.col("first_bucket")), 1
+    found = join_small(placed, filled, ["_id", "twin"], "left").withColumn(
+        "pass", F.expr("filter(passes, p -> bucket > p.after AND (p.last IS NULL OR bucket <= p.last))[0]")
+    )
+    # beyond the last pass nothing fits; a pass without a boundary takes all that fits at its start
+    extra = F.when(F.col("rank_key").isNull() | F.col("pass").isNull() | (F.col("size") > F.col("pass.left")), 0).when(
+        F.col("pass.first").isNull() | (F.col("bucket") < F.col("pass.first")), 1
     ).otherwise(F.coalesce("extra", F.lit(0)))
     return found.withColumn("copies", (F.coalesce("whole", F.lit(0)) + extra).cast("long"))
 
@@ -163,8 +194,8 @@ def mix_sources(docs: DataFrame, config: MixConfig = MixConfig()) -> DataFrame:
     """One row per document: doc_id, size, source_size, target and taken, the words the mix takes of it.
 
     Null text: size 0, nothing taken. Null source: a source, last in order. Null ids share one random number.
-    Equal rows share a decision. Empty table, or only empty texts: targets 0. A source ends within one small
-    document of its target, or above nothing left to fit. Only doc_id, text and source are read.
+    Equal rows share a decision. Empty table, or only empty texts: targets 0. A source ends where no
+    document left out fits below its target. Only doc_id, text and source are read.
     """
     sizes = stored(sized(docs.select("doc_id", "text", "source")).drop("text"), "sizes")
     return decide(sizes, sizes, config).select(

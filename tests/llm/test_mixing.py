@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import hashlib
+import math
 from collections import Counter
 
 import pytest
@@ -56,6 +58,26 @@ def test_many_buckets_and_a_short_reach(spark):
     assert all(targets[s] - 10 <= taken[s] <= targets[s] for s in sizes)
 
 
+def test_a_document_above_the_quota_costs_nothing(spark):
+    docs = [(i, text(i, 4), "a") for i in range(1, 5001)] + [(5003, text(0, 10_000), "a")]
+    config = MixConfig(share=0.25)
+    got = mix_sources(docs_of(spark, docs), config).collect()
+    assert {r.target for r in got} == {7500.0} and sum(r.taken for r in got) == 7500
+    assert Counter(map(tuple, got)) == Counter(map(tuple, mix_sources(docs_of(spark, docs), MixConfig(share=0.25, reach=1)).collect()))
+    plain, left = {}, 7500  # the same order, one document after the other
+    mean = 30_000 / 5001
+    for i, body, _ in docs:
+        u = (int(hashlib.md5(f"mix:{i}".encode()).hexdigest()[:13], 16) + 0.5) / 2**52
+        plain[i] = u / (1 - u) / (0.25 / 0.75 * math.sqrt(len(brute.words(body)) / mean))
+    taken = set()
+    for i in sorted(plain, key=plain.get):
+        size = 10_000 if i == 5003 else 4
+        if size <= left:
+            left -= size
+            taken.add(i)
+    assert {r.doc_id for r in got if r.taken} == taken
+
+
 @settings(max_examples=12, deadline=None)
 @given(st.dictionaries(st.sampled_from(["a", "B", "é", "z", None]), st.integers(0, 1000), min_size=1))
 def test_targets_equal_sharing_and_resharing(spark, sizes):
