@@ -3,12 +3,19 @@
 Every line of enough words is normalised and digested; equal digests are grouped over the whole
 corpus; the occurrence that ranks first, by document id and place, stays and the others go.
 Places are offsets in the original text, so a removal can be checked or undone.
+
+With ``passage_words`` any run of so many words goes that an earlier place holds, wherever it begins or ends.
 """
 
 from __future__ import annotations
 
+import re
+from collections.abc import Iterator
 from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -18,9 +25,13 @@ from riskpanel.llm.common import SPACE, join_small, stored
 
 @dataclass(frozen=True)
 class UnitConfig:
-    """Lines of fewer than ``least_words`` words are never removed: headings and short sentences repeat by nature."""
+    """Lines of fewer than ``least_words`` words are never removed: headings and short sentences repeat by nature.
+
+    ``passage_words``: shortest repeated run that ``remove_repeats`` cuts beside the lines; 0 for lines only.
+    """
 
     least_words: int = 20
+    passage_words: int = 0
 
 
 def normalised(line: Column) -> Column:
@@ -75,8 +86,15 @@ def repeated_units(docs: DataFrame, config: UnitConfig = UnitConfig()) -> DataFr
 def remove_repeats(docs: DataFrame, config: UnitConfig = UnitConfig()) -> DataFrame:
     """``docs`` with the repeated lines cut out and n_chars, where there is such a column, as the text is then.
 
-    A document that loses every line keeps its row, with an empty text.
+    A document that loses every line keeps its row, with an empty text. With ``passage_words`` the repeated
+    passages of what is left go too.
     """
+    whole = remove_lines(docs, config)
+    return remove_passages(stored(whole, "lines_cut"), config.passage_words) if config.passage_words else whole
+
+
+def remove_lines(docs: DataFrame, config: UnitConfig) -> DataFrame:
+    """``docs`` with the repeated lines cut out."""
     cut = stored(repeated_units(docs, config).select("doc_id", "twin", "unit"), "cut")
     # the lines of one document: bounded by its text; repeated rows of an id and text name the same lines
     by_doc = stored(cut.groupBy("doc_id", "twin").agg(F.collect_set("unit").alias("_cut")), "by_doc")
@@ -89,7 +107,11 @@ def remove_repeats(docs: DataFrame, config: UnitConfig = UnitConfig()) -> DataFr
     joined = join_small(keyed, by_doc, ["_key", "_twin"], "left")
     kept = F.filter(F.split("_text", "\n"), lambda line, i: ~F.array_contains("_cut", i))
     text = F.when(F.col("_cut").isNull(), F.col("_text")).otherwise(F.array_join(kept, "\n"))
-    out = joined.withColumn("_new", text)
+    return replaced(joined.withColumn("_new", text), docs)
+
+
+def replaced(joined: DataFrame, docs: DataFrame) -> DataFrame:
+    """The columns of ``docs`` from ``doc``, with the text ``_new`` and its length where ``_cut`` is set."""
 
     def column(name: str) -> Column:
         if name == "text":
@@ -99,4 +121,104 @@ def remove_repeats(docs: DataFrame, config: UnitConfig = UnitConfig()) -> DataFr
             return F.when(F.col("_cut").isNull(), F.col("doc.n_chars")).otherwise(F.length("_new").cast(kind)).alias(name)
         return F.col(f"doc.`{name}`").alias(name)
 
-    return out.select(*[column(c) for c in docs.columns])
+    return joined.select(*[column(c) for c in docs.columns])
+
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+GOLDEN = np.uint64(0x9E3779B97F4A7C15)
+WINDOWS = "doc_id bigint, twin bigint, anchor bigint, first int, digests array<bigint>"
+
+
+def grams(w: np.ndarray, width: int) -> np.ndarray:
+    """A digest of every ``width`` consecutive words."""
+    h = w[: len(w) - width + 1].copy()
+    for i in range(1, width):
+        h = h * GOLDEN + w[i : len(w) - width + 1 + i]
+    h = (h ^ (h >> np.uint64(33))) * np.uint64(0xFF51AFD7ED558CCD)
+    return h ^ (h >> np.uint64(33))
+
+
+def windows(text: str, width: int) -> Iterator[tuple[int, int, np.ndarray]]:
+    """(anchor, first window, digests) of runs of windows that share their least digest of half the width.
+
+    The anchor of a window depends on its words only, so equal windows have equal anchors.
+    """
+    found = WORD.findall(text)
+    if len(found) < width:
+        return
+    w = np.fromiter((xxhash.xxh3_64_intdigest(x.lower().encode()) for x in found), np.uint64, len(found))
+    half = grams(w, max(1, width // 2))
+    least = np.lib.stride_tricks.sliding_window_view(half, len(half) - (len(w) - width)).argmin(axis=1)
+    at = least + np.arange(len(least))
+    digests = grams(w, width).view(np.int64)
+    begin = np.flatnonzero(np.concatenate(([True], at[1:] != at[:-1])))
+    for a, b in zip(begin, np.append(begin[1:], len(at))):
+        yield int(half[at[a]].view(np.int64)), int(a), digests[a:b]
+
+
+def repeated_windows(docs: DataFrame, width: int) -> DataFrame:
+    """(doc_id, twin, word): windows of ``width`` words that an earlier place holds, by the number of their first word.
+
+    Rank is by doc_id, null last, then twin and word. Within a text a window must not overlap the one kept, so of
+    one word repeated on and on the first ``width`` stay. Digests of 64 bits are compared, not texts.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        types = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.list_(pa.int64())]
+        for batch in batches:
+            for start in range(0, batch.num_rows, 200):
+                part = batch.slice(start, 200)
+                rows = [
+                    (i, twin, *row) for i, twin, text in zip(*(c.to_pylist() for c in part.columns)) for row in windows(text or "", width)
+                ]
+                columns = zip(*rows) if rows else [()] * 5
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(c, t) for c, t in zip(columns, types)], ["doc_id", "twin", "anchor", "first", "digests"]
+                )
+
+    # rows that repeat an id and its text are one document, as for lines: the first place is the same for all
+    found = stored(docs.select("doc_id", F.xxhash64("text").alias("twin"), "text").mapInArrow(run, WINDOWS), "windows")
+    shared = found.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
+    near = stored(splittable_join(found, shared, ["anchor"]).select(
+        "doc_id", "twin", "first", F.posexplode("digests").alias("pos", "digest")
+    ).select("doc_id", "twin", (F.col("first") + F.col("pos")).alias("word"), "digest"), "near")
+    place = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "twin", "word")
+    first = near.groupBy("digest").agg(F.min(place).alias("kept"), F.count(F.lit(1)).alias("n")).filter("n > 1")
+    own = F.col("doc_id").eqNullSafe(F.col("kept.doc_id")) & (F.col("twin") == F.col("kept.twin"))
+    return splittable_join(near, first.drop("n"), ["digest"]).filter(
+        ~own | (F.col("word") >= F.col("kept.word") + width)
+    ).select("doc_id", "twin", "word")
+
+
+def cut_windows(text: str, starts: list[int], width: int) -> str:
+    """``text`` without the words of these windows; where words remain on both sides, one gap stays between them.
+
+    That is the gap before a passage that begins its line, and the one after it otherwise.
+    """
+    spans = [m.span() for m in WORD.finditer(text)]
+    out, at, i, starts = [], 0, 0, sorted(starts)
+    while i < len(starts):
+        a, b = starts[i], starts[i] + width
+        while i < len(starts) and starts[i] <= b:
+            b = starts[i] + width
+            i += 1
+        before = spans[a - 1][1] if a else 0
+        after = spans[b][0] if b < len(spans) else len(text)
+        lead = a == 0 or "\n" in text[before : spans[a][0]]
+        out.append(text[at : spans[a][0] if lead else before])
+        at = after if lead else spans[b - 1][1]
+    return "".join(out) + text[at:]
+
+
+def remove_passages(docs: DataFrame, width: int = 50) -> DataFrame:
+    """``docs`` without every run of ``width`` words or more that an earlier place holds."""
+    cut = stored(repeated_windows(docs, width), "repeated")
+    by_doc = stored(cut.groupBy("doc_id", "twin").agg(F.collect_set("word").alias("_cut")), "by_doc")
+    by_doc = by_doc.select(F.coalesce("doc_id", F.lit(-1)).alias("_key"), F.col("twin").alias("_twin"), "_cut")
+    keyed = docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"),
+        F.coalesce("doc_id", F.lit(-1)).alias("_key"), F.xxhash64("text").alias("_twin"), F.col("text").alias("_text"),
+    )
+    joined = join_small(keyed, by_doc, ["_key", "_twin"], "left")
+    new = F.udf(lambda text, starts: text if starts is None else cut_windows(text, starts, width), "string")
+    return replaced(joined.withColumn("_new", new("_text", "_cut")), docs)

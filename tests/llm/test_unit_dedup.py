@@ -48,3 +48,42 @@ def test_awkward_rows(spark):
 
 def test_empty(spark):
     assert repeated_units(empty_docs(spark)).count() == 0 and remove_repeats(empty_docs(spark)).count() == 0
+
+
+def test_passages_inside_and_across_lines(spark):
+    one, two = text(40, 54), text(41, 27) + "\n" + text(42, 27)
+    docs = [
+        (1, f"{text(50, 30)} {one} {text(51, 9)}\n{text(52, 5)} {two} {text(53, 8)}"),
+        (2, f"own {one.upper()} words\nlast"),  # inside a line
+        (3, f"first\nown {two.replace(chr(10), ' ' + chr(10))} end"),  # over a line end, whole lines differ
+        (4, f"head\n{text(41, 27)}\n{text(42, 27)}\ntail {text(40, 49)}"),  # 49 words of it stay
+        (5, ("junk " * 200).strip()),
+        (6, None),
+    ]
+    assert repeated_units(docs_of(spark, docs)).count() == 0
+    lines = {r.doc_id: r.text for r in remove_repeats(docs_of(spark, docs)).collect()}
+    assert lines == dict(docs)
+    got = {r.doc_id: (r.text, r.n_chars) for r in remove_repeats(docs_of(spark, docs), UnitConfig(passage_words=50)).collect()}
+    assert got[1][0] == docs[0][1] and got[6][0] is None
+    assert got[2] == ("own words\nlast", 14)
+    assert got[3] == ("first\nown end", 13)
+    assert got[4][0] == f"head\ntail {text(40, 49)}"
+    assert got[5][0].split() == ["junk"] * 50
+    awkward = remove_repeats(edge_docs(spark), UnitConfig(passage_words=50))
+    assert awkward.columns == edge_docs(spark).columns and awkward.count() == len(EDGES)
+    assert remove_repeats(empty_docs(spark), UnitConfig(passage_words=50)).count() == 0
+
+
+def test_no_repeated_passage_is_left_in_the_smallest_tables(spark):
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
+
+    def repeats(df):
+        seen, n = {}, 0
+        for r in sorted(df.collect(), key=lambda r: r.doc_id):
+            found = [w.lower() for w in brute.words(r.text)]
+            for key in {tuple(found[i : i + 50]) for i in range(len(found) - 49)}:
+                n += seen.setdefault(key, r.doc_id) != r.doc_id
+        return n
+
+    assert repeats(remove_repeats(docs)) > 0
+    assert repeats(remove_repeats(docs, UnitConfig(passage_words=50))) == 0
