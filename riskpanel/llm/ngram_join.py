@@ -449,14 +449,27 @@ def ngram_join(docs: DataFrame, config: JoinConfig = JoinConfig()) -> DataFrame:
 
 
 def keep_first_of_each(docs: DataFrame, config: JoinConfig = JoinConfig()) -> DataFrame:
-    """``docs`` without the documents that are not the smallest id of their component; rows of null ids stay.
+    """``docs`` without the documents that are not the smallest id of their component.
 
-    Of rows that repeat an id, one stays.
+    Of rows that repeat an id and its text, one stays. Other rows that repeat an id, and rows of null ids, which come
+    last, are documents of their own, so only a row that is linked itself goes.
     """
+    unnamed = docs.filter("doc_id IS NULL").limit(1).count()
+    if unnamed or docs.groupBy("doc_id").count().filter("count > 1").limit(1).count():
+        return keep_first_rows(docs, config)
     joined = stored(ngram_join(docs, config), "joined")
     dropped = joined.filter("doc_id <> component_id").select("doc_id").distinct()
-    kept = join_small(docs, stored(dropped, "dropped"), ["doc_id"], "left_anti")
-    if joined.filter("doc_id IS NOT NULL").groupBy("doc_id").count().filter("count > 1").limit(1).count():
-        named = kept.filter("doc_id IS NOT NULL").dropDuplicates(["doc_id"])
-        kept = named.unionByName(kept.filter("doc_id IS NULL"))
-    return kept
+    return join_small(docs, stored(dropped, "dropped"), ["doc_id"], "left_anti")
+
+
+def keep_first_rows(docs: DataFrame, config: JoinConfig) -> DataFrame:
+    """The same by row: rows are numbered in order of id and joined by their numbers."""
+    rows = docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"), "doc_id", "text", F.xxhash64("text").alias("twin")
+    )
+    once = rows.filter("doc_id IS NOT NULL").dropDuplicates(["doc_id", "twin"]).unionAll(rows.filter("doc_id IS NULL"))
+    ordered = once.orderBy(F.col("doc_id").asc_nulls_last(), "twin")
+    placed = stored(ordered.withColumn("row", F.monotonically_increasing_id()), "placed")
+    joined = stored(ngram_join(placed.select(F.col("row").alias("doc_id"), "text"), config), "joined")
+    dropped = joined.filter("doc_id <> component_id").select(F.col("doc_id").alias("row"))
+    return join_small(placed, stored(dropped, "dropped"), ["row"], "left_anti").select("doc.*")

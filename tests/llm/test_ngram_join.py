@@ -94,3 +94,10 @@ def test_components(spark):
 def test_equal_texts_and_no_others(spark):
     docs = [(i, text(i % 3, 50)) for i in range(12)]
     assert found(ngram_join(docs_of(spark, docs))) == {i: (46, i % 3) for i in range(12)}
+
+
+def test_only_the_linked_row_of_an_id_goes(spark):
+    a, b, c = text(60, 60), text(61, 60), text(62, 60)
+    docs = [(1, a), (2, a), (2, b), (3, b), (4, c), (4, c), (4, None), (None, c), (None, text(63, 60)), (None, text(63, 60))]
+    kept = sorted(((r.doc_id, r.text) for r in keep_first_of_each(docs_of(spark, docs)).collect()), key=str)
+    assert kept == sorted([(1, a), (2, b), (4, c), (4, None), (None, text(63, 60))], key=str)
