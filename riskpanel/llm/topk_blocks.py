@@ -106,7 +106,7 @@ def cut_ranges(config: SearchConfig) -> Callable:
                 part = batch.slice(at, config.range_vectors)
                 ids = np.array(part.column("vec_id").to_pylist(), np.int64)
                 rows = padded(part.column("components").to_pylist())
-                name = int(np.int64(ids[0]) ^ np.int64(part.column("row")[0].as_py() << 20))
+                name = part.column("row")[0].as_py()  # unique, since a row is in one range
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([name]), pa.array([len(ids)]), pa.array([rows.shape[1]]), pa.array([ids.tobytes()]), pa.array([rows.tobytes()])],
                     names=["range", "n", "width", "ids", "vectors"],

@@ -2,9 +2,10 @@ from __future__ import annotations
 
 import random
 
+import pyarrow as pa
 import pytest
 
-from riskpanel.llm.topk_blocks import SearchConfig, top_k
+from riskpanel.llm.topk_blocks import SearchConfig, cut_ranges, top_k
 from tests.llm import brute
 from tests.llm.frames import SMALL, rows_of
 
@@ -58,3 +59,10 @@ def test_empty(spark):
     assert top_k(frame(spark, [])).count() == 0
     assert top_k(frame(spark, [(1, [1.0])])).count() == 0
     assert top_k(frame(spark, [(20, [1.0])])).count() == 0
+
+
+def test_ranges_of_many_partitions_have_names_of_their_own():
+    rows = [(1024 << 33) + i for i in range(5)]
+    batch = pa.RecordBatch.from_pydict({"vec_id": [1] * 5, "components": [[1.0]] * 5, "row": rows})
+    names = [n for b in cut_ranges(SearchConfig(range_vectors=2))(iter([batch])) for n in b.column("range").to_pylist()]
+    assert names == rows[::2]
