@@ -1,11 +1,13 @@
 """Equivalent DuckDB SQL of the queries that SQL can express, written in another shape than the operators.
 
-Not here: the classifier (trained), byte-pair encoding, and checksums (DuckDB has no CRC-32). These are held
-against plain versions, the library and held-out labels in tests/llm.
+Not here: the classifier and the network (trained), byte-pair encoding, and checksums (DuckDB has no CRC-32). These are
+held against plain versions, the library and held-out labels in tests/llm.
 """
 
 from __future__ import annotations
 
+from riskpanel.llm.collocations import PhraseConfig
+from riskpanel.llm.lloyd import LloydConfig
 from riskpanel.llm.mixing import MixConfig
 from riskpanel.llm.quality_rules import MEASURES, RuleConfig
 from riskpanel.llm.unit_dedup import UnitConfig
@@ -188,6 +190,69 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_li
        NOT base_failed AND row NOT IN (SELECT row FROM rejected) AS kept FROM stats"""
 
 
+def centroid_clusters(config: LloydConfig = LloydConfig()) -> str:
+    """Rounds one after another; every vector meets every centroid."""
+
+    def nearest(r: int) -> str:
+        return f"""
+found{r} AS (
+  SELECT row, arg_min(cluster, (d, cluster)) AS cluster, min(d) AS distance
+  FROM (SELECT row, cluster, list_sum(list_transform(list_zip(v.w, c.w), lambda p: (p[1] - p[2]) * (p[1] - p[2]))) AS d
+        FROM kept AS v, c{r} AS c) GROUP BY row)"""
+
+    def moved(r: int) -> str:
+        return f"""
+sums{r} AS (
+  SELECT cluster, i, sum(w[i]) AS s, count(*) AS n FROM kept JOIN found{r} USING (row), range(1, {config.width + 1}) AS t(i) GROUP BY cluster, i),
+means{r} AS (SELECT cluster, list((s - ((s % n) + n) % n) // n ORDER BY i) AS w FROM sums{r} GROUP BY cluster),
+c{r + 1} AS (SELECT c.cluster, coalesce(m.w, c.w) AS w FROM c{r} AS c LEFT JOIN means{r} AS m USING (cluster))"""
+
+    rounds = ",".join(nearest(r) + "," + moved(r) for r in range(config.rounds))
+    last = config.rounds
+    return f"""
+WITH kept AS (
+  SELECT row_number() OVER () AS row, vec_id,
+         list_transform(embedding, lambda x: CAST(floor({config.scale} * CAST(x AS DOUBLE)) AS HUGEINT)) AS w
+  FROM embeddings
+  WHERE len(embedding) = {config.width} AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = {config.width}),
+c0 AS (
+  SELECT row_number() OVER (ORDER BY sha256('{config.salt}:' || vec_id) NULLS LAST, w) - 1 AS cluster, w FROM kept
+  QUALIFY cluster < {config.clusters}),{rounds},{nearest(last)},
+inertias AS (SELECT cluster, sum(distance) AS cluster_inertia FROM found{last} GROUP BY cluster)
+SELECT vec_id, CAST(cluster AS INTEGER) AS cluster, CAST(distance AS BIGINT) AS distance, CAST(cluster_inertia AS BIGINT) AS cluster_inertia,
+       CAST((SELECT sum(distance) FROM found{last}) AS BIGINT) AS inertia, sha256(array_to_string(centre, ',')) AS centroid_sha256
+FROM found{last} JOIN kept USING (row) JOIN inertias USING (cluster) JOIN (SELECT cluster, w AS centre FROM c{last}) USING (cluster)"""
+
+
+def collocations(config: PhraseConfig = PhraseConfig()) -> str:
+    cuts = ", ".join(f"{k}" for k in range(1, config.longest))
+    return rf"""
+WITH texts AS (SELECT coalesce(lang, 'und') AS lang, {LOWER.format("coalesce(text, '')")} AS text FROM documents),
+pieces AS (SELECT lang, unnest(string_split_regex(text, '[.,;:!?\x0A-\x0D]')) AS piece FROM texts),
+spelled AS (SELECT lang, list_filter(string_split_regex(piece, '[\x20\x09]+'), lambda w: w <> '') AS w FROM pieces),
+grams AS (
+  SELECT lang, m, array_to_string(w[i:i + m - 1], ' ') AS phrase
+  FROM (SELECT lang, w, m, unnest(range(1, len(w) - m + 2)) AS i FROM spelled, range(1, {config.longest + 1}) AS t(m))),
+f AS (SELECT lang, phrase, any_value(m) AS m, count(*) AS f FROM grams GROUP BY lang, phrase),
+totals AS (SELECT lang, sum(f) AS n FROM f WHERE m = 1 GROUP BY lang),
+candidates AS (SELECT lang, phrase, m, f AS a, string_split(phrase, ' ') AS w FROM f WHERE m >= 2 AND f >= {config.least}),
+cuts AS (
+  SELECT c.lang, c.phrase, k, a, x.f AS l, y.f AS r, CAST(n AS HUGEINT) AS n, 1000::HUGEINT * a * n // (x.f::HUGEINT * y.f) AS score
+  FROM candidates AS c JOIN (SELECT unnest([{cuts}]) AS k) ON k < m JOIN totals USING (lang)
+  JOIN f AS x ON x.lang = c.lang AND x.phrase = array_to_string(w[1:k], ' ')
+  JOIN f AS y ON y.lang = c.lang AND y.phrase = array_to_string(w[k + 1:], ' ')),
+lowest AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+inner_parts AS (
+  SELECT c.lang, array_to_string(w[i:i + s - 1], ' ') AS phrase, max(a) AS longer
+  FROM (SELECT lang, w, m, a, s, unnest(range(1, m - s + 2)) AS i FROM candidates, range(2, {config.longest}) AS t(s) WHERE s < m) AS c GROUP BY ALL),
+kept AS (
+  SELECT * FROM lowest AS l WHERE NOT EXISTS (
+    SELECT 1 FROM inner_parts AS p WHERE p.lang = l.lang AND p.phrase = l.phrase AND 100 * p.longer >= 100 * l.a))
+SELECT lang, CAST(row_number() OVER best AS BIGINT) AS rank, phrase, CAST(a AS BIGINT) AS a, CAST(l AS BIGINT) AS l, CAST(r AS BIGINT) AS r,
+       CAST(n AS BIGINT) AS n, CAST(score AS BIGINT) AS score
+FROM kept WINDOW best AS (PARTITION BY lang ORDER BY score DESC, a DESC, encode(phrase)) QUALIFY rank <= {config.top}"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "op1_url_reputation": url_reputation(),
@@ -196,4 +261,6 @@ def oracle_sql() -> dict[str, str]:
         "op5_ngram_join": ngram_join(),
         "op6_source_mixing": source_mixing(),
         "op10_quality_rules": quality_rules(),
+        "op12_collocations": collocations(),
+        "op13_sharded_lloyd": centroid_clusters(),
     }

@@ -8,7 +8,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from riskpanel.llm.bpe import encoding_digests
+from riskpanel.llm.collocations import top_phrases
 from riskpanel.llm.common import table
+from riskpanel.llm.language_gru import identify
+from riskpanel.llm.lloyd import cluster_report
 from riskpanel.llm.mixing import mix_sources
 from riskpanel.llm.ngram_join import ngram_join
 from riskpanel.llm.oracle import oracle_sql
@@ -66,10 +69,23 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op11_language_gru(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return identify(table(spark, sf_dir, "documents"))
+
+
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return top_phrases(table(spark, sf_dir, "documents"))
+
+
+def op13_sharded_lloyd(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cluster_report(table(spark, sf_dir, "embeddings"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     registered = (
         op1_url_reputation, op2_quality_machine, op3_line_dedup, op4_block_top_k, op5_ngram_join,
         op6_source_mixing, op7_bpe_round_trip, op8_token_counts, op9_jump_sharding, op10_quality_rules,
+        op11_language_gru, op12_collocations, op13_sharded_lloyd,
     )
     return {query.__name__: query for query in registered}
 

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import hashlib
 import math
 import re
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -126,3 +127,61 @@ def url_parts(url: str | None) -> tuple[str, str]:
     return lower(host), re.match(r"[^?#]*", rest[len(host) :]).group()
 
 
+def clusters(vectors: list[tuple], k: int = 16, rounds: int = 3, width: int = 64) -> list[tuple]:
+    """(vec_id, cluster, distance, cluster_inertia, inertia, centroid) of every vector that can be clustered."""
+    kept = [
+        (i, [math.floor(64 * x) if abs(64 * x) < 2.0**53 else 64 * int(x) for x in v])
+        for i, v in vectors
+        if v is not None and len(v) == width and all(x is not None and math.isfinite(x) for x in v)
+    ]
+
+    def digest(i: int | None) -> tuple:
+        return (i is None, hashlib.sha256(f"1:{i}".encode()).hexdigest() if i is not None else "")
+
+    centroids = [v for _, v in sorted(kept, key=lambda r: (digest(r[0]), r[1]))[:k]]
+
+    def assign() -> list[tuple[int, int]]:
+        found = []
+        for _, v in kept:
+            d = [sum((a - b) ** 2 for a, b in zip(v, c)) for c in centroids]
+            found.append((d.index(min(d)), min(d)))
+        return found
+
+    for _ in range(rounds):
+        own = [c for c, _ in assign()]
+        for c in set(own):
+            rows = [v for (_, v), o in zip(kept, own) if o == c]
+            centroids[c] = [sum(x) // len(rows) for x in zip(*rows)]
+    found = assign()
+    inertia = Counter()
+    for c, d in found:
+        inertia[c] += d
+    return [(i, c, d, inertia[c], sum(inertia.values()), centroids[c]) for (i, _), (c, d) in zip(kept, found)]
+
+
+def collocations(docs: list[tuple], least: int, top: int, longest: int = 5) -> list[tuple]:
+    """(lang, rank, phrase, a, l, r, n, score), from all n-grams in one table."""
+    f, n = defaultdict(Counter), Counter()
+    for lang, text in docs:
+        lang = "und" if lang is None else lang
+        for piece in re.split(r"[.,;:!?\x0A-\x0D]", lower(text or "")):
+            found = re.findall(r"[^\x20\x09]+", piece)
+            n[lang] += len(found)
+            for m in range(1, longest + 1):
+                f[lang].update(tuple(found[i : i + m]) for i in range(len(found) - m + 1))
+    out = []
+    for lang, counts in f.items():
+        frequent = {g: a for g, a in counts.items() if len(g) > 1 and a >= least}
+        covered = {
+            g[i : i + m] for g, a in frequent.items() for m in range(2, len(g)) for i in range(len(g) - m + 1)
+            if 100 * a >= 100 * counts[g[i : i + m]]
+        }
+        rows = []
+        for g, a in frequent.items():
+            if g not in covered:
+                cuts = [(1000 * a * n[lang] // (counts[g[:k]] * counts[g[k:]]), k) for k in range(1, len(g))]
+                score, k = min(cuts)
+                rows.append((" ".join(g), a, counts[g[:k]], counts[g[k:]], n[lang], score))
+        rows.sort(key=lambda r: (-r[5], -r[1], r[0].encode()))
+        out += [(lang, rank, *row) for rank, row in enumerate(rows[:top], 1)]
+    return sorted(out)

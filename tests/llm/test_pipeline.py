@@ -23,7 +23,7 @@ def test_stages_are_the_given_ones_in_order():
     assert [name for name, _ in corpus_pipeline.STAGES] == [
         "quality rules", "n-gram Jaccard join", "substring dedup", "mixing sources", "BPE encoding and decoding",
     ]
-    assert len(queries()) == 10 and set(oracle_sql()) <= set(queries())
+    assert len(queries()) == 13 and set(oracle_sql()) <= set(queries())
 
 
 def as_rows(df) -> list[tuple]:
