@@ -48,6 +48,7 @@ COLUMNS: dict[str, str] = {
     # sources and sinks
     "incremental_extract": f"{_PANEL} year:i month:i",
     "staging_idempotent": "year:i month:i total:i dates:i sum_exposure:f",
+    "staging_reconcile": "fecha:d total:i sum_return:f sum_exposure:f",
     "snapshot_read": f"corte:d {_PANEL}",
     "snapshot_replace": "corte:d tipo_fondo:s total:i",
     "audit_counts": "table:s total:i",
@@ -64,6 +65,7 @@ COLUMNS: dict[str, str] = {
     "return_origin": f"fecha:d {_UNIVERSE} retorno:f origen_completado:s",
     "special_rules": f"{_PANEL}",
     "complete_history": f"fecha:d {_UNIVERSE} {_MEASURES} origen_completado:s jerarquia_usada:i",
+    "complete_history_incremental": f"fecha:d {_UNIVERSE} {_MEASURES} origen_completado:s jerarquia_usada:i",
     "imputation_coverage": "origen_completado:s jerarquia_usada:i total:i",
     # base returns
     "returns_mon": _BASE,
@@ -111,6 +113,11 @@ COLUMNS: dict[str, str] = {
     "var_covariance": _VAR,
     "var_covariance_no_deriv": _VAR,
     "covariance_product": f"{_KEY} asset_key:s gross_weight:f cov_with_portfolio:f variance_share:f",
+    # every date as a cutoff
+    "risk_history": (
+        f"{_KEY} days:i avg_active_return:f daily_tracking_error:f te_ex_ante:f var_95_1d:f var_95_252d:f beta_days:i "
+        "beta_ex_ante:f"
+    ),
     # report and quality
     "risk_report": (
         f"{_KEY} te_with_derivatives:f te_without_derivatives:f var_95_1d:f var_95_1d_covariance:f beta_ex_ante:f"

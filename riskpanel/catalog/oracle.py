@@ -417,6 +417,28 @@ _CTES["series_weighted_window"] = _latest("series_weighted")
 
 
 
+# Every date as a cutoff of its own.
+_CTES["rolling_delta"] = """
+  SELECT fecha AS corte, fund_type, asset_key,
+         coalesce(sum(w) FILTER (manager = 'PORTFOLIO'), 0.0) - coalesce(sum(w) FILTER (manager = 'BENCHMARK'), 0.0) AS delta_weight
+  FROM (SELECT *, CASE WHEN abs(total) < 1e-12 THEN 0.0 ELSE weight_calc / total END AS w
+        FROM (SELECT *, sum(weight_calc) OVER (PARTITION BY fecha, fund_type, manager) AS total
+              FROM base_observed WHERE manager IN ('PORTFOLIO', 'BENCHMARK')))
+  GROUP BY ALL"""
+_CTES["rolling_daily"] = """
+  SELECT d.corte, d.fund_type, c.fecha, sum(delta_weight * return_calc) AS r_diff
+  FROM rolling_delta d JOIN comparables_observed c
+    ON c.fund_type = d.fund_type AND c.asset_key = d.asset_key AND c.fecha <= d.corte
+  GROUP BY d.corte, d.fund_type, c.fecha"""
+_CTES["rolling_recent"] = _latest("rolling_daily")
+_CTES["rolling_te"] = _te("rolling_recent")
+_CTES["rolling_series"] = """
+  SELECT t.corte, t.fund_type, s.fecha, s.r_portfolio, s.r_benchmark
+  FROM rolling_te t JOIN series_observed s ON s.fund_type = t.fund_type AND s.fecha <= t.corte"""
+_CTES["rolling_series_window"] = _latest("rolling_series")
+_CTES["rolling_beta"] = _beta("rolling_series_window")
+
+
 _BODIES: dict[str, str] = {
     "incremental_extract": (
         "SELECT *, year(fecha) AS year, month(fecha) AS month FROM panel WHERE fecha > DATE '2001-08-14'"
@@ -425,6 +447,9 @@ _BODIES: dict[str, str] = {
         "SELECT year(fecha) AS year, month(fecha) AS month, count(*) AS total, count(DISTINCT fecha) AS dates, "
         "sum(peso_exposicion_economica) AS sum_exposure FROM panel GROUP BY 1, 2"
     ),
+    "staging_reconcile": (
+        "SELECT fecha, count(*) AS total, sum(retorno) AS sum_return, sum(peso_exposicion_economica) AS sum_exposure FROM panel GROUP BY fecha"
+    ),
     "snapshot_read": "SELECT * FROM other_history",
     "snapshot_replace": (
         "SELECT DATE '2001-09-14' AS corte, tipo_fondo, count(*) AS total FROM history GROUP BY tipo_fondo "
@@ -445,6 +470,7 @@ _BODIES: dict[str, str] = {
     "return_origin": "SELECT * FROM with_origin",
     "special_rules": _RULED + "panel",
     "complete_history": "SELECT * FROM completed",
+    "complete_history_incremental": "SELECT * FROM completed",
     "imputation_coverage": "SELECT origen_completado, jerarquia_usada, count(*) AS total FROM completed GROUP BY 1, 2",
     "returns_mon": _mon("observed"),
     "returns_swp": _swp("observed"),
@@ -491,6 +517,10 @@ _BODIES: dict[str, str] = {
         "sum(wj * cov) AS cov_with_portfolio, any_value(wi) * sum(wj * cov) AS variance_share "
         "FROM pairs GROUP BY corte, fund_type, asset_i"
     ),
+    "risk_history": (
+        "SELECT t.*, 1.6449 * daily_tracking_error AS var_95_1d, 1.6449 * sqrt(252.0) * daily_tracking_error AS var_95_252d, "
+        "b.days AS beta_days, b.beta_ex_ante FROM rolling_te t LEFT JOIN rolling_beta b USING (corte, fund_type)"
+    ),
     "risk_report": (
         "SELECT te.corte, te.fund_type, te.te_ex_ante AS te_with_derivatives, "
         "te_bare.te_ex_ante AS te_without_derivatives, 1.6449 * te.daily_tracking_error AS var_95_1d, "

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from riskpanel.catalog.columns import COLUMNS, present
 from riskpanel.catalog.inputs import CONFIG, CUTOFF, Inputs, inputs
-from riskpanel.operators import history, imputation, metrics, quality, returns, staging, weights
+from riskpanel.operators import changes, history, imputation, incremental, metrics, quality, returns, rolling, staging, weights
 from riskpanel.plans import DailyPaths, result_views, run_daily
 from riskpanel.sources import SourceConfig, audit_counts, read_panel, read_snapshot, write_partitions, write_snapshot
 
@@ -30,6 +30,9 @@ NORMALIZED = CONFIG.with_(beta_weighting="normalized")
 FIRST_LOAD_END = date(2001, 8, 14)
 OTHER_CUTOFF = "2001-09-14"
 
+# Days on which the panel of an earlier run lacked rows, had other returns, and had rows that are gone; and a day that is gone.
+LATE_DAY, CORRECTED_DAY, REMOVED_DAY, DROPPED_DAY = "2001-06-15", "2001-07-03", "2001-08-02", "2001-11-30"
+
 # One number per result table that the daily run is compared by.
 CHECKSUMS = {
     "te_retornos_base": "contribution_calc",
@@ -98,6 +101,49 @@ def _snapshot_replace(i: Inputs) -> DataFrame:
     return i.spark.read.parquet(root).groupBy("corte", "tipo_fondo").agg(F.count("*").alias("total"))
 
 
+def _kept(i: Inputs, name: str, df: DataFrame) -> DataFrame:
+    path = i.path(f"{name}-{uuid4().hex}")
+    df.write.parquet(path)
+    return i.spark.read.schema(df.schema).parquet(path)
+
+
+def _panel_before(i: Inputs) -> DataFrame:
+    """The panel before late rows and a correction came in, and with rows and a day that the source has dropped since."""
+    now = i.panel.drop("corte")
+    corrected = f"fecha = DATE'{CORRECTED_DAY}'"
+    then = now.filter(f"NOT (fecha = DATE'{LATE_DAY}' AND tipo_fondo = 'F1')").withColumn(
+        "retorno", F.expr(f"CASE WHEN {corrected} THEN retorno * 2 ELSE retorno END")
+    )
+    dropped = now.filter(f"fecha = DATE'{REMOVED_DAY}'").withColumn("nemotecnico", F.concat("nemotecnico", F.lit("-X")))
+    day = dropped.withColumn("fecha", F.lit(DROPPED_DAY).cast("date"))
+    return then.unionByName(dropped).unionByName(day)
+
+
+def _staging_reconcile(i: Inputs) -> DataFrame:
+    staged = i.path(f"staging-{uuid4().hex}")
+    write_partitions(staging.with_partitions(_panel_before(i)), staged, staging.PARTITIONS)
+    staging.staging_reconcile(i.spark, SourceConfig(path=_source_path(i)), staged, "2001-01-01", "2001-12-31")
+    return read_panel(i.spark, staged).groupBy("fecha").agg(
+        F.count(F.lit(1)).alias("total"), F.sum("retorno").alias("sum_return"), F.sum("peso_exposicion_economica").alias("sum_exposure")
+    )
+
+
+def _completed_incrementally(i: Inputs) -> DataFrame:
+    """The completed history from a run for an earlier cutoff, over the panel as it was then."""
+    before = _kept(i, "panel-before", _panel_before(i))
+    real = _kept(i, "real-before", history.real_history(before, OTHER_CUTOFF))
+    universe = _kept(i, "universe-before", history.active_universe(real, OTHER_CUTOFF))
+    completed = imputation.complete_history(real, i.calendar, OTHER_CUTOFF, universe=universe)
+    previous = incremental.PreviousRun(
+        _kept(i, "completed-before", completed), universe, _kept(i, "sums-before", imputation.finest_sums(real)),
+        _kept(i, "digests-before", changes.day_digests(before)),
+    )
+    digests = _kept(i, "digests", changes.day_digests(i.panel))
+    return incremental.complete_history_incremental(
+        i.panel, i.calendar, CUTOFF, previous, digests, universe=i.universe
+    ).completed
+
+
 def _matched(i: Inputs) -> DataFrame:
     return imputation.match_real(i.universe, imputation.business_days(i.calendar, CUTOFF), i.real)
 
@@ -171,6 +217,7 @@ def _view(i: Inputs, name: str) -> DataFrame:
 _QUERIES: dict[str, Callable[[Inputs], DataFrame]] = {
     "incremental_extract": _incremental_extract,
     "staging_idempotent": _staging_idempotent,
+    "staging_reconcile": _staging_reconcile,
     "snapshot_read": _snapshot_read,
     "snapshot_replace": _snapshot_replace,
     "audit_counts": lambda i: audit_counts({n: i.tables[n] for n in ("te_pesos_base", "te_exante_resumen")}, CUTOFF),
@@ -187,6 +234,7 @@ _QUERIES: dict[str, Callable[[Inputs], DataFrame]] = {
     "return_origin": lambda i: imputation.return_origin(_imputed(i)),
     "special_rules": lambda i: imputation.special_rules(i.panel),
     "complete_history": lambda i: imputation.complete_history(i.real, i.calendar, CUTOFF, universe=i.universe),
+    "complete_history_incremental": _completed_incrementally,
     "imputation_coverage": lambda i: imputation.imputation_coverage(i.completed),
     "returns_mon": lambda i: returns.returns_mon(i.modelable),
     "returns_swp": lambda i: returns.returns_swp(i.modelable),
@@ -229,6 +277,7 @@ _QUERIES: dict[str, Callable[[Inputs], DataFrame]] = {
     "var_covariance": lambda i: _covariance(metrics.var_covariance, i.base, CONFIG),
     "var_covariance_no_deriv": lambda i: _covariance(metrics.var_covariance, i.base, BARE),
     "covariance_product": lambda i: _covariance(metrics.covariance_product, i.base, CONFIG),
+    "risk_history": lambda i: rolling.risk_history(_observed_base(i), CONFIG),
     "risk_report": lambda i: metrics.risk_report(i.base, CONFIG),
     **{f"qc_{name}": _check(name) for name in quality.CHECKS},
     "qc_summary": lambda i: quality.qc_summary(i.tables, CONFIG),

@@ -108,21 +108,19 @@ def match_real(universe: DataFrame, days: DataFrame, real: DataFrame) -> DataFra
     return _marked(_observed(universe, values, real).unionByName(_gaps(universe, values, real)))
 
 
-def hierarchy_means(real: DataFrame, chain: list[str] | None = None) -> DataFrame:
-    """Mean return per day at each prefix of ``chain``; level 1 is the full chain.
-
-    Sums and counts are formed at the finest level first, so the roll-up multiplies
-    distinct classifications and not panel rows. It groups by the prefix as one array: the
-    length tells the level, also where a classification is null, and generated code stays
-    small enough to be compiled, which nine grouping sets over nine columns does not.
-    """
-    chain = chain or schemas.HIERARCHY
-    size = len(chain)
-    finest = (
+def finest_sums(real: DataFrame, chain: list[str] | None = None) -> DataFrame:
+    """(fecha, path, total, n): sum and number of the returns of each day and full classification."""
+    return (
         real.filter(F.col("retorno").isNotNull())
-        .groupBy("fecha", F.array(*chain).alias("path"))
+        .groupBy("fecha", F.array(*(chain or schemas.HIERARCHY)).alias("path"))
         .agg(F.sum("retorno").alias("total"), F.count("retorno").alias("n"))
     )
+
+
+def rolled_up(finest: DataFrame, chain: list[str] | None = None) -> DataFrame:
+    """The means at every prefix of the paths of ``finest_sums``."""
+    chain = chain or schemas.HIERARCHY
+    size = len(chain)
     return (
         finest.withColumn("length", F.explode(F.sequence(F.lit(1), F.lit(size))))
         .groupBy("fecha", F.slice("path", F.lit(1), F.col("length")).alias("prefix"))
@@ -137,6 +135,17 @@ def hierarchy_means(real: DataFrame, chain: list[str] | None = None) -> DataFram
     )
 
 
+def hierarchy_means(real: DataFrame, chain: list[str] | None = None) -> DataFrame:
+    """Mean return per day at each prefix of ``chain``; level 1 is the full chain.
+
+    Sums and counts are formed at the finest level first, so the roll-up multiplies
+    distinct classifications and not panel rows. It groups by the prefix as one array: the
+    length tells the level, also where a classification is null, and generated code stays
+    small enough to be compiled, which nine grouping sets over nine columns does not.
+    """
+    return rolled_up(finest_sums(real, chain), chain)
+
+
 def _search_levels(requests: DataFrame, means: DataFrame, size: int) -> DataFrame:
     """First level with a mean, for each (fecha, path) of ``requests``.
 
@@ -212,16 +221,25 @@ def complete_history(
     may be asked for follows from universe and days, so nothing is matched twice.
     """
     days = day_values(business_days(calendar, corte, n))
-    universe = active_universe(real, corte) if universe is None else universe
+    return complete_days(real, days, active_universe(real, corte) if universe is None else universe)
+
+
+def complete_days(real: DataFrame, days: list[date], universe: DataFrame) -> DataFrame:
+    """``universe`` on the given days, completed from what ``real`` holds of them."""
     chain = schemas.HIERARCHY
     with_return = _in_window(real, days).filter("retorno IS NOT NULL")
     without = _in_window(real, days).filter("retorno IS NULL")
     missing = _observed(universe, days, without).unionByName(_gaps(universe, days, real))
     paths = universe.select(F.array(*chain).alias("path")).distinct()
     requests = paths.withColumn("fecha", F.explode(_day_array(days)))
-    filled = _filled(
-        _marked(_observed(universe, days, with_return)), _marked(missing), requests, hierarchy_means(with_return), chain
+    return finished(
+        _marked(_observed(universe, days, with_return)), _marked(missing), requests, hierarchy_means(with_return)
     )
+
+
+def finished(known: DataFrame, missing: DataFrame, requests: DataFrame, means: DataFrame) -> DataFrame:
+    """Observed rows and filled ones, with origin and special rules."""
+    filled = _filled(known, missing, requests, means, schemas.HIERARCHY)
     return special_rules(return_origin(filled)).select(*schemas.COMPLETED.fieldNames())
 
 
