@@ -6,14 +6,15 @@ from uuid import uuid4
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, BinaryType, DataType, StringType, StructType
 
 from riskpanel.session import shared_folder
 
 # Fixed value: what separates words, as a Java class. Everything else belongs to a word.
 SPACE = r"[\x20\x09-\x0D]"
 
-#: A side of at most so many rows of a few numbers each (some 100 MB) may be broadcast.
-BROADCAST_ROWS = 1_000_000
+#: A side whose rows take at most so many bytes may be broadcast.
+BROADCAST_BYTES = 64_000_000
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
@@ -36,11 +37,38 @@ def lower_ascii(text: Column) -> Column:
     return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
+#: Null ids rank last.
+LAST_ID = (1 << 63) - 1
+
+
+def document_keys(*also: Column) -> tuple[Column, Column]:
+    """(id, twin) of a row with doc_id and text, never null: null ids differ from all others by the lowest bit of ``twin``.
+
+    ``twin`` tells texts of one id apart, and what else is given.
+    """
+    unnamed = F.col("doc_id").isNull()
+    twin = F.xxhash64(F.col("text"), *also).bitwiseAND(F.lit(-2)).bitwiseOR(unnamed.cast("bigint"))
+    return F.coalesce(F.col("doc_id").cast("bigint"), F.lit(LAST_ID)), twin
+
+
+def value_bytes(column: Column, kind: DataType) -> Column:
+    """About what a value takes in memory."""
+    if isinstance(kind, (StringType, BinaryType)):
+        return F.coalesce(F.octet_length(column), F.lit(0)).cast("bigint") + 16
+    if isinstance(kind, ArrayType):
+        one = F.transform(column, lambda x: value_bytes(x, kind.elementType))
+        return F.coalesce(F.aggregate(one, F.lit(16).cast("bigint"), lambda a, b: a + b), F.lit(16).cast("bigint"))
+    if isinstance(kind, StructType):
+        return sum((value_bytes(column.getField(f.name), f.dataType) for f in kind.fields), F.lit(16).cast("bigint"))
+    return F.lit(8).cast("bigint")
+
+
 def join_small(large: DataFrame, small: DataFrame, keys: list[str], how: str) -> DataFrame:
-    """Equi-join in which ``small`` (narrow and stored, so cheap to count) is broadcast if its rows allow it.
+    """Equi-join in which ``small`` (stored, so cheap to measure) is broadcast if its rows take little enough memory.
 
     Beyond that bound both sides are shuffled; adaptive execution splits hot keys.
     """
-    if small.count() <= BROADCAST_ROWS:
+    row = sum((value_bytes(F.col(f"`{f.name}`"), f.dataType) for f in small.schema.fields), F.lit(16).cast("bigint"))
+    if (small.agg(F.sum(row)).first()[0] or 0) <= BROADCAST_BYTES:
         small = F.broadcast(small)
     return large.join(small, keys, how)

@@ -15,7 +15,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from riskpanel.llm.common import join_small, stored, words
+from riskpanel.llm.common import document_keys, join_small, stored, words
 
 
 @dataclass(frozen=True)
@@ -34,15 +34,21 @@ class MixConfig:
     seed: str = "mix"
 
 
-#: 52 random bits of a document as a number strictly between 0 and 1, the same in every run.
 def random_number(seed: str) -> Column:
-    bits = f"conv(substr(md5(concat('{seed}:', coalesce(CAST(doc_id AS STRING), 'null'))), 1, 13), 16, 10)"
-    return F.expr(f"(CAST({bits} AS BIGINT) + 0.5D) / 4503599627370496D")
+    """52 random bits of a document as a number strictly between 0 and 1, the same in every run.
+
+    From id and text, so that documents without an id, or with one id, draw for themselves.
+    """
+    named = f"concat('{seed}:', coalesce(CAST(doc_id AS STRING), 'null'), ':', md5(coalesce(text, '')))"
+    return F.expr(f"(CAST(conv(substr(md5({named}), 1, 13), 16, 10) AS BIGINT) + 0.5D) / 4503599627370496D")
 
 
-def sized(docs: DataFrame) -> DataFrame:
-    """``docs`` with ``size`` (words), and ``twin``, which tells texts of the same id apart."""
-    return docs.withColumns({"size": F.size(words(F.col("text"))).cast("long"), "twin": F.xxhash64("text")})
+def sized(docs: DataFrame, config: MixConfig) -> DataFrame:
+    """``docs`` with ``size`` (words), ``draw`` and the keys ``id`` and ``twin``; equal ones are equal rows of one source."""
+    id_, twin = document_keys(F.col("source").isNull(), F.col("source"))
+    return docs.withColumns(
+        {"size": F.size(words(F.col("text"))).cast("long"), "draw": random_number(config.seed), "id": id_, "twin": twin}
+    )
 
 
 def source_targets(sizes: DataFrame, config: MixConfig) -> DataFrame:
@@ -82,12 +88,12 @@ def source_targets(sizes: DataFrame, config: MixConfig) -> DataFrame:
 
 
 def ranked(rows: DataFrame, targets: DataFrame, config: MixConfig) -> DataFrame:
-    """``rows`` (source, doc_id, size) with their source's targets, ``rank_key`` and its ``bucket`` in rank order.
+    """``rows`` (source, draw, size) with their source's targets, ``rank_key`` and its ``bucket`` in rank order.
 
     A key q falls into the bucket of q / (1 + q), which grows with q and stays below 1.
     """
     known = rows.join(targets, rows["source"].eqNullSafe(targets["source"]), "left").drop(targets["source"])
-    draw = random_number(config.seed)
+    draw = F.col("draw")
     odds = F.col("part") / (1 - F.col("part")) * F.sqrt(F.col("size") / F.col("mean_size"))
     key = F.when((F.col("size") > 0) & (F.col("part") > 0), draw / (1 - draw) / odds)
     return known.withColumn("rank_key", key).withColumn(
@@ -125,7 +131,7 @@ def fill(tail: DataFrame) -> DataFrame:
     A source gathers the documents of these buckets only, about rows_per_bucket + reach.
     """
     listed = tail.groupBy("source", "last_bucket", "left").agg(
-        F.sort_array(F.collect_list(F.struct("rank_key", "doc_id", "size", "twin"))).alias("docs")
+        F.sort_array(F.collect_list(F.struct("rank_key", "id", "size", "twin"))).alias("docs")
     )
     step = (
         "aggregate(docs, struct(left AS left, CAST(array() AS ARRAY<INT>) AS extra), "
@@ -136,7 +142,7 @@ def fill(tail: DataFrame) -> DataFrame:
 
 
 def passes(keyed: DataFrame, targets: DataFrame, config: MixConfig) -> tuple[DataFrame, DataFrame]:
-    """(source, passes) and (doc_id, twin, extra) of the documents that were looked up.
+    """(source, passes) and (id, twin, extra) of the documents that were looked up.
 
     Each pass takes a source's buckets up to the one where what is left runs out, fills that one and a few more in
     order, and leaves the later ones to the next, which sees only documents that still fit. A pass is a scan of
@@ -159,32 +165,35 @@ def passes(keyed: DataFrame, targets: DataFrame, config: MixConfig) -> tuple[Dat
         tail = pool.drop("left").join(limits, F.col("source").eqNullSafe(F.col("_source"))).withColumnRenamed("_left", "left")
         filled = stored(fill(tail.filter("bucket BETWEEN first_bucket AND last_bucket")), "filled")
         looked_up.append(filled.select(F.explode(F.arrays_zip("docs", "extra")).alias("row")).select(
-            "row.docs.doc_id", "row.docs.twin", "row.extra"
+            "row.docs.id", "row.docs.twin", "row.extra"
         ))
         state = filled.select("source", F.col("last_bucket").alias("after"), "left")
     every = reduce(DataFrame.unionAll, done).groupBy("source").agg(F.collect_list("pass").alias("passes"))
-    none = keyed.filter("false").select("doc_id", "twin", F.lit(0).alias("extra"))
+    none = keyed.filter("false").select("id", "twin", F.lit(0).alias("extra"))
     return stored(every, "passes"), stored(reduce(DataFrame.unionAll, looked_up, none), "looked_up")
 
 
 def decide(sizes: DataFrame, rows: DataFrame, config: MixConfig) -> DataFrame:
-    """``rows`` (source, doc_id, size, twin and any others) with source_size, target and ``copies``.
+    """``rows`` (source, size, draw, id, twin and any others) with source_size, target and ``copies``.
 
-    ``sizes`` holds the same documents, stored. What fits below the bucket where a pass runs out is taken, and the
-    documents from there to its end are looked up.
+    ``sizes`` holds the same documents, stored. Equal rows count as one document with all their words. What fits
+    below the bucket where a pass runs out is taken, and the documents from there to its end are looked up.
     """
     targets = stored(source_targets(sizes, config), "targets")
-    limits, filled = passes(ranked(sizes, targets, config), targets, config)
-    filled = filled.groupBy("doc_id", "twin").agg(F.max("extra").alias("extra"))
+    once = sizes.groupBy("source", "id", "twin").agg(F.first("size").alias("size"), F.first("draw").alias("draw"), F.count(F.lit(1)).alias("rows"))
+    once = stored(once, "once")
+    keyed = ranked(once, targets, config).withColumn("size", F.col("size") * F.col("rows")).drop("rows")
+    limits, filled = passes(keyed, targets, config)
+    repeated = stored(once.filter("rows > 1").select("id", "twin", "rows"), "repeated")
     placed = ranked(rows, targets, config)
     placed = placed.join(limits, placed["source"].eqNullSafe(limits["source"]), "left").drop(limits["source"])
-    placed = placed.withColumn("_id", F.coalesce(F.col("doc_id"), F.lit(-1)))
-    filled = filled.withColumn("_id", F.coalesce(F.col("doc_id"), F.lit(-1))).drop("doc_id")
-    found = join_small(placed, filled, ["_id", "twin"], "left").withColumn(
+    placed = join_small(placed, repeated, ["id", "twin"], "left")
+    total = F.col("size") * F.coalesce("rows", F.lit(1))
+    found = join_small(placed, filled, ["id", "twin"], "left").withColumn(
         "pass", F.expr("filter(passes, p -> bucket > p.after AND (p.last IS NULL OR bucket <= p.last))[0]")
     )
     # beyond the last pass nothing fits; a pass without a boundary takes all that fits at its start
-    extra = F.when(F.col("rank_key").isNull() | F.col("pass").isNull() | (F.col("size") > F.col("pass.left")), 0).when(
+    extra = F.when(F.col("rank_key").isNull() | F.col("pass").isNull() | (total > F.col("pass.left")), 0).when(
         F.col("pass.first").isNull() | (F.col("bucket") < F.col("pass.first")), 1
     ).otherwise(F.coalesce("extra", F.lit(0)))
     return found.withColumn("copies", (F.coalesce("whole", F.lit(0)) + extra).cast("long"))
@@ -193,11 +202,11 @@ def decide(sizes: DataFrame, rows: DataFrame, config: MixConfig) -> DataFrame:
 def mix_sources(docs: DataFrame, config: MixConfig = MixConfig()) -> DataFrame:
     """One row per document: doc_id, size, source_size, target and taken, the words the mix takes of it.
 
-    Null text: size 0, nothing taken. Null source: a source, last in order. Null ids share one random number.
-    Equal rows share a decision. Empty table, or only empty texts: targets 0. A source ends where no
-    document left out fits below its target. Only doc_id, text and source are read.
+    Null text: size 0, nothing taken. Null source: a source, last in order. Documents of a null or repeated id draw
+    for themselves. Rows equal in id, text and source are taken together, if all of them fit. Empty table, or only empty
+    texts: targets 0. A source ends where no document left out fits below its target. Only doc_id, text and source are read.
     """
-    sizes = stored(sized(docs.select("doc_id", "text", "source")).drop("text"), "sizes")
+    sizes = stored(sized(docs.select("doc_id", "text", "source"), config).drop("text"), "sizes")
     return decide(sizes, sizes, config).select(
         "doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"), "copies"
     )
@@ -206,9 +215,9 @@ def mix_sources(docs: DataFrame, config: MixConfig = MixConfig()) -> DataFrame:
 def mix_documents(docs: DataFrame, config: MixConfig = MixConfig()) -> DataFrame:
     """The mix itself: rows of ``docs`` with exactly their columns, each as often as it is taken.
 
-    Empty texts are in it as often as the whole copies of their source say.
+    Empty texts are in it as often as the whole copies of their source say. Null ids and repeated rows as in ``mix_sources``.
     """
-    sizes = stored(sized(docs.select("doc_id", "text", "source")).drop("text"), "sizes")
+    sizes = stored(sized(docs.select("doc_id", "text", "source"), config).drop("text"), "sizes")
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"), "doc_id", "text", "source")
-    decided = decide(sizes, sized(rows).drop("text"), config).filter("copies > 0")
+    decided = decide(sizes, sized(rows, config).drop("text"), config).filter("copies > 0")
     return decided.select("doc", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))).alias("copy")).select("doc.*")

@@ -149,7 +149,10 @@ def _inputs(docs: DataFrame) -> DataFrame:
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, config: MachineConfig) -> list[tuple[int, np.ndarray, np.ndarray]]:
-    """Features of at most ``sample`` labelled documents outside the held-out part, chosen by hash of their id."""
+    """Features of at most ``sample`` labelled documents outside the held-out part, chosen by hash of their id.
+
+    Of rows that repeat an id, the one with the least text digest counts.
+    """
     labelled = labels.select("doc_id", "quality").dropna().filter(~held_out()).groupBy("doc_id").agg(F.min("quality").alias("quality"))
     chosen = labelled.orderBy(F.xxhash64("doc_id"), "doc_id").limit(config.sample)
     buckets = config.buckets
@@ -167,10 +170,12 @@ def training_rows(docs: DataFrame, labels: DataFrame, config: MachineConfig) ->
                 names=["doc_id", "quality", "words", "statistics"],
             )
 
+    # of rows that repeat an id one, whatever their order, so the sample bounds what is collected
+    row = F.struct(F.xxhash64("text", "size").alias("twin"), "text", "size", F.col("quality").cast("int").alias("quality"))
+    once = _inputs(docs).join(F.broadcast(chosen), "doc_id").groupBy("doc_id").agg(F.min(row).alias("row"))
     rows = (
-        _inputs(docs).join(F.broadcast(chosen), "doc_id").withColumn("quality", F.col("quality").cast("int"))
-        .mapInArrow(run, "doc_id bigint, quality int, words array<int>, statistics array<double>")
-        .limit(2 * config.sample).toArrow()  # ids may repeat; twice the sample bounds what they add
+        once.select("doc_id", "row.text", "row.size", "row.quality")
+        .mapInArrow(run, "doc_id bigint, quality int, words array<int>, statistics array<double>").toArrow()
     )
     columns = (rows.column(c).to_pylist() for c in ("doc_id", "quality", "words", "statistics"))
     ordered = sorted(zip(*columns))

@@ -23,7 +23,7 @@ from riskpanel.llm.bpe import Encoder, encoder, groups, vocabulary
 class CountConfig:
     """``entries`` of at most ``entry_bytes`` are broadcast: 2 MB at most, whatever the data.
 
-    They come from ``sample_documents`` rows. The sample decides what is looked up where, never a count.
+    They come from about ``sample_documents`` rows spread over the table. The sample decides what is looked up where, never a count.
     """
 
     limit: int = 1024
@@ -36,13 +36,19 @@ class CountConfig:
 def frequent_lengths(docs: DataFrame, vocab, config: CountConfig) -> tuple[bytes, bytes]:
     """The most frequent pre-tokens of a bounded sample, joined by zero bytes, and a byte for each one's length.
 
-    The sample is the first rows that come, each of bounded size: a few partitions are read, nothing is shuffled,
-    and the driver gets ``sample_documents`` x ``sample_bytes`` at most.
+    Every row may be in the sample: the hash of its id and text decides, at a rate that gives about ``sample_documents``. Of a
+    long text a piece is taken, where the hash says. Nothing is shuffled, and the driver gets twice ``sample_documents``
+    pieces at most.
     """
     own, counts = Encoder(vocab.value), Counted()
-    short = F.octet_length("text") <= config.sample_bytes
-    for row in docs.select("text").filter(short).limit(config.sample_documents).collect():
-        counts.update(own.pre_tokens(row.text))
+    rate = min(1.0, config.sample_documents / max(1, docs.count()))
+    picked = docs.select("text", F.xxhash64("doc_id", "text").alias("hash")).filter(
+        F.col("text").isNotNull() & (F.pmod("hash", F.lit(1 << 30)) <= int(rate * (1 << 30)))
+    )
+    room = F.greatest(F.lit(1), F.length("text") - config.sample_bytes // 4 + 1)
+    start = (F.pmod(F.shiftright("hash", 30), room) + 1).cast("int")
+    for row in picked.select(F.substring("text", start, F.lit(config.sample_bytes // 4)).alias("piece")).limit(2 * config.sample_documents).collect():
+        counts.update(own.pre_tokens(row.piece))
     usable = [t for t in counts if len(t.encode()) <= config.entry_bytes and "\0" not in t]
     tokens = sorted(usable, key=lambda t: (-counts[t], t))[: config.entries]
     ids = {**own.encode_tokens(t for t in tokens if t not in own.special_ids), **own.special_ids}

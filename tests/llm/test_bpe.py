@@ -9,7 +9,7 @@ import pytest
 from tokenizers import Tokenizer
 
 from riskpanel.llm import bpe
-from riskpanel.llm.token_counts import CountConfig, count_tokens
+from riskpanel.llm.token_counts import CountConfig, count_tokens, frequent_lengths
 from tests.llm.frames import EDGES, SMALL, docs_of, edge_docs, empty_docs, rows_of
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
@@ -100,3 +100,15 @@ def test_counts_of_awkward_rows(spark):
     got = sorted(((r.doc_id, r.n_tokens) for r in count_tokens(edge_docs(spark), PATH).collect()), key=str)
     assert got == sorted(((row[0], expected_digests(row[1])[0]) for row in EDGES), key=str)
     assert count_tokens(empty_docs(spark), PATH).count() == 0
+
+
+def test_the_frequent_table_is_of_all_rows_not_of_the_first(spark):
+    """Rows sorted by language: the words of the last one are in the table as well."""
+    rows = [(i, " ".join([f"{lang}word"] * 30)) for lang in ("aa", "bb", "cc") for i in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").coalesce(1)
+    vocab = bpe.vocabulary(spark, PATH)
+    names, _ = frequent_lengths(docs, vocab, CountConfig(sample_documents=60))
+    assert all(word in names.decode() for word in ("aaword", "bbword", "ccword"))
+    long = spark.createDataFrame([(1, "head " * 10_000 + "tail " * 10_000)], "doc_id bigint, text string")
+    assert frequent_lengths(long, vocab, CountConfig(sample_bytes=200))[0]
+    assert frequent_lengths(long.limit(0), vocab, CountConfig()) == (b"", b"")

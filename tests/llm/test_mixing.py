@@ -8,7 +8,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from riskpanel.llm.mixing import MixConfig, mix_documents, mix_sources, source_targets
+from riskpanel.llm.mixing import MixConfig, mix_documents, mix_sources, sized, source_targets
 from tests.llm import brute
 from tests.llm.frames import EDGES, SMALL, docs_of, edge_docs, empty_docs, rows_of, text
 
@@ -67,7 +67,7 @@ def test_a_document_above_the_quota_costs_nothing(spark):
     plain, left = {}, 7500  # the same order, one document after the other
     mean = 30_000 / 5001
     for i, body, _ in docs:
-        u = (int(hashlib.md5(f"mix:{i}".encode()).hexdigest()[:13], 16) + 0.5) / 2**52
+        u = (int(hashlib.md5(f"mix:{i}:{hashlib.md5(body.encode()).hexdigest()}".encode()).hexdigest()[:13], 16) + 0.5) / 2**52
         plain[i] = u / (1 - u) / (0.25 / 0.75 * math.sqrt(len(brute.words(body)) / mean))
     taken = set()
     for i in sorted(plain, key=plain.get):
@@ -113,3 +113,30 @@ def test_empty(spark):
     assert mix_sources(empty_docs(spark)).count() == 0
     assert mix_documents(empty_docs(spark)).count() == 0
     assert [r.taken for r in mix_sources(docs_of(spark, [(1, ""), (2, None)])).collect()] == [0, 0]
+
+
+def test_one_text_under_negative_and_null_ids_keeps_its_rows_and_the_target(spark):
+    docs = [(i, text(i, 10 + i % 13), "s") for i in range(1, 101)]
+    same = [(None, text(500, 10 + i % 3), "s") for i in range(40)] + [(-1, text(500, 10 + i % 3), "s") for i in range(40)]
+    frame = docs_of(spark, docs + same)
+    config = MixConfig(share=0.2)
+    rows = mix_sources(frame, config).collect()
+    assert len(rows) == 180 and sum(r.taken for r in rows) <= int(0.2 * sum(r["size"] for r in rows))
+    mixed = mix_documents(frame, config)
+    assert mixed.columns == frame.columns and mixed.count() == sum(r.taken > 0 for r in rows)
+
+
+def test_many_documents_without_an_id_draw_for_themselves(spark):
+    frame = spark.range(20_000).selectExpr(
+        "CAST(NULL AS BIGINT) AS doc_id", "concat_ws(' ', 'w', id, id * 7, id % 11) AS text", "'s' AS source"
+    ).repartition(8)
+    sizes = sized(frame, MixConfig())
+    assert sizes.select("draw").distinct().count() == 20_000  # so no bucket of the rank order holds more than its share
+    rows = mix_sources(frame, MixConfig(share=0.5)).agg({"taken": "sum", "target": "max"}).first()
+    assert 0 <= rows["max(target)"] - rows["sum(taken)"] < 4
+
+
+def test_equal_rows_go_together(spark):
+    docs = [(7, text(1, 20), "s")] * 5 + [(i, text(i, 10), "s") for i in range(20, 40)]
+    rows = mix_sources(docs_of(spark, docs), MixConfig(share=0.7)).collect()
+    assert len({r.taken for r in rows if r.doc_id == 7}) == 1 and sum(r.taken for r in rows) <= 210

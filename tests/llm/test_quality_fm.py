@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 
 from riskpanel.llm.quality_fm import Machine, MachineConfig, features, score_quality, training_rows
-from tests.llm.frames import EDGES, docs_of, edge_docs, empty_docs, labels_of, rows_of, text
+from tests.llm.frames import EDGES, SMALL, docs_of, edge_docs, empty_docs, labels_of, rows_of, text
 
 CONFIG = MachineConfig(buckets=1 << 10, factors=3, sample=200, rounds=3)
 
@@ -68,3 +68,15 @@ def test_without_labels_or_documents(spark):
     assert score_quality(empty_docs(spark), labels_of(spark, [(1, 1)]), CONFIG).count() == 0
     one_class = score_quality(edge_docs(spark), labels_of(spark, [(1, 1), (2, 1)]), CONFIG).collect()
     assert all(r.score > 0.5 for r in one_class)
+
+
+def test_ids_repeated_many_times_train_alike_in_any_order(spark):
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
+    labels = spark.read.parquet(f"{SMALL}/labels.parquet")
+    five = docs.selectExpr("doc_id", "explode(sequence(0, 4)) AS k", "text", "n_chars").selectExpr(
+        "doc_id", "concat(text, ' v', k) AS text", "n_chars"
+    )
+    config = MachineConfig(sample=60, rounds=1)
+    one = training_rows(five, labels, config)
+    two = training_rows(five.repartition(13), labels, config)
+    assert 0 < len(one) <= 60 and [(y, w.tolist(), s.tolist()) for y, w, s in one] == [(y, w.tolist(), s.tolist()) for y, w, s in two]

@@ -1,9 +1,11 @@
 from __future__ import annotations
 
+import struct
 import zlib
 from collections import Counter
 
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 from riskpanel.llm.sharding import assign_shards, jumps, shard_documents
@@ -56,3 +58,19 @@ def test_awkward_rows(spark):
 def test_no_shards(spark):
     with pytest.raises(ValueError):
         jumps("doc_id", 0)
+
+
+def test_shards_equal_a_plain_replay_of_the_jumps(spark):
+    def shard_of(key: int, shards: int) -> int:
+        """Jumps of one key, one after another, below the number of shards."""
+        at, ahead = 0, 0
+        while ahead < shards:
+            at = ahead
+            drawn = xxhash.xxh64_intdigest(struct.pack("<q", at), xxhash.xxh64_intdigest(struct.pack("<q", key), 42))
+            ahead = int((at + 1) * 2147483648.0 / ((drawn >> 33) + 1))
+        return at
+
+    ids = [*range(1, 1900), *(-(7**i) for i in range(1, 20)), *(3**i for i in range(8, 39)), 0]
+    rows = assign_shards(spark.createDataFrame([(i,) for i in ids], "doc_id bigint"), 16).collect()
+    assert len(rows) == len(ids) > 1900
+    assert all((r.shard, r.grown_shard) == (shard_of(r.doc_id, 16), shard_of(r.doc_id, 17)) for r in rows)
