@@ -6,8 +6,9 @@ a block keeps the maximum and minimum of every term and the vectors themselves a
 index. For a query, a block's bound is the sum over terms of the most the block can add. The
 blocks are scored in the order of their bounds until the bound falls below the k-th score.
 
-The query set meets every range, in groups of bounded size. Each query first searches the range
-it comes from; the k-th score found there is where the other ranges start.
+Each query first searches the range it comes from; the k-th score found there is its floor. A query
+goes to the other ranges, in groups of bounded size, only where the sum of the range's own term
+maxima reaches its floor, and a range returns no vector below it.
 """
 
 from __future__ import annotations
@@ -20,6 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from riskpanel.functions import splittable_join
 from riskpanel.llm.common import stored
 
 
@@ -34,6 +36,7 @@ class SearchConfig:
     queries_per_group: int = 2048
     centres: int = 64
     sample: int = 4096
+    ranges_per_block: int = 512
 
 
 #: Below this no sum of products of doubles loses a unit.
@@ -41,12 +44,17 @@ EXACT = 2.0**53
 
 
 def whole_components(vectors: DataFrame, config: SearchConfig) -> DataFrame:
-    """(vec_id, components): floor(scale * x) of vectors whose components are all finite and whole numbers of 64 bits.
+    """(vec_id, components): floor(scale * x), as whole doubles, of vectors whose components are all finite.
 
-    A null vector, and one with a null, non-finite or larger component, is left out.
+    A null vector, and one with a null or non-finite component, is left out; so is one whose product no double holds.
     """
-    scaled = F.transform(F.col("embedding"), lambda x: F.floor(config.scale * x.cast("double")).cast("double"))
-    usable = F.forall("embedding", lambda x: x.isNotNull() & (F.abs(config.scale * x.cast("double")) < F.lit(2.0**63)))
+
+    def whole(x: Column) -> Column:
+        product = config.scale * x.cast("double")  # from 2**53 on a double is a whole number
+        return F.when(F.abs(product) < F.lit(EXACT), F.floor(product).cast("double")).otherwise(product)
+
+    scaled = F.transform(F.col("embedding"), whole)
+    usable = F.forall("embedding", lambda x: x.isNotNull() & (F.abs(config.scale * x.cast("double")) < F.lit(float("inf"))))
     chosen = vectors.select("vec_id", "embedding").filter(F.col("vec_id").isNotNull() & F.col("embedding").isNotNull())
     return chosen.filter(usable).select("vec_id", scaled.alias("components"))
 
@@ -124,7 +132,7 @@ class Range:
         self.most, self.least = np.maximum.reduceat(vectors, first), np.minimum.reduceat(vectors, first)
 
     def search(self, query_id: int, query: np.ndarray, bounds: np.ndarray, k: int, floor: float) -> tuple[np.ndarray, np.ndarray]:
-        """Scores and ids of up to k best vectors other than the query's own; those below ``floor`` may be missing."""
+        """Scores and ids of up to k best vectors other than the query's own, none below ``floor``."""
         order = np.argsort(-bounds, kind="stable")
         scores, ids, kth, step, at = np.empty(0), np.empty(0, np.int64), floor, 1, 0
         while at < len(order) and bounds[order[at]] >= kth:
@@ -140,7 +148,8 @@ class Range:
                 scores, ids = scores[best], ids[best]
             if len(ids) == k:
                 kth = max(floor, scores.min())
-        return scores, ids
+        reach = scores >= floor
+        return scores[reach], ids[reach]
 
 
 def dots(rows: np.ndarray, query: np.ndarray) -> np.ndarray:
@@ -153,9 +162,15 @@ def dots(rows: np.ndarray, query: np.ndarray) -> np.ndarray:
 
 def bounds_of(queries: np.ndarray, index: Range) -> np.ndarray:
     """Per query and block the sum of the most that each term can add, with room for rounding."""
+    return summed_maxima(queries, index.most, index.least)
+
+
+def summed_maxima(queries: np.ndarray, most: np.ndarray, least: np.ndarray) -> np.ndarray:
     up, down = np.maximum(queries, 0), np.minimum(queries, 0)
-    bounds = up @ index.most.T + down @ index.least.T
-    if np.abs(queries).sum(axis=1).max(initial=0) * max(np.abs(index.most).max(), np.abs(index.least).max()) >= EXACT:
+    with np.errstate(over="ignore", invalid="ignore"):
+        bounds = up @ most.T + down @ least.T
+        size = np.abs(queries).sum(axis=1).max(initial=0) * max(np.abs(most).max(initial=0), np.abs(least).max(initial=0))
+    if not size < EXACT:
         bounds += np.abs(bounds) * 1e-9 + 1
         bounds[~np.isfinite(bounds)] = np.inf
     return bounds
@@ -199,6 +214,29 @@ def search_own_range(config: SearchConfig, every: int) -> Callable:
     return run
 
 
+def range_maxima(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(range, most, least): the term maxima and minima of each range."""
+    for batch in batches:
+        rows = [(r["range"], read_range(r, r["n"])) for r in batch.to_pylist()]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([name for name, _ in rows], pa.int64()), pa.array([x.most[0].tolist() for _, x in rows], pa.list_(pa.float64())),
+             pa.array([x.least[0].tolist() for _, x in rows], pa.list_(pa.float64()))],
+            names=["range", "most", "least"],
+        )
+
+
+def reached(ranges: pa.Table, queries: pa.Table) -> pa.Table:
+    """(range, query_id) for the ranges of a block that could hold something at a query's floor or above."""
+    kept = pa.schema([("range", pa.int64()), ("query_id", pa.int64())])
+    if not ranges.num_rows or not queries.num_rows:
+        return kept.empty_table()
+    names, ids = (np.array(t.column(c).to_pylist(), np.int64) for t, c in ((ranges, "range"), (queries, "query_id")))
+    rows, most = same_width(padded(queries.column("components").to_pylist()), padded(ranges.column("most").to_pylist()))
+    rows, least = same_width(rows, padded(ranges.column("least").to_pylist()))
+    i, j = np.nonzero(summed_maxima(rows, most, least) >= np.array(queries.column("floor").to_pylist())[:, None])
+    return pa.table([pa.array(names[j]), pa.array(ids[i])], schema=kept)
+
+
 def search_range(config: SearchConfig) -> Callable:
     def run(ranges: pa.Table, queries: pa.Table) -> pa.Table:
         ids = np.array(queries.column("query_id").to_pylist(), np.int64)
@@ -221,8 +259,8 @@ def top_k(vectors: DataFrame, config: SearchConfig = SearchConfig(), every: int
 
     Ties go to the smaller id. Fewer rows than k: all of them. Rows of one id are not each other's candidates, and
     a query that is repeated is answered once, for the row that comes first by its components. Shorter vectors
-    count as ending in zeros; a score beyond 64 bits is the nearest such number. Null ids and unusable vectors take
-    no part. Only vec_id and embedding are read.
+    count as ending in zeros; a score beyond 64 bits is the nearest such number, and ranks as that. Null ids and
+    unusable vectors take no part. Only vec_id and embedding are read.
     """
     usable = whole_components(vectors, config)
     centres = fit_centres(usable, config)
@@ -236,13 +274,21 @@ def top_k(vectors: DataFrame, config: SearchConfig = SearchConfig(), every: int
     queries = index.mapInArrow(search_own_range(config, every), "query_id bigint, floor double, components array<double>")
     queries = stored(queries.groupBy("query_id").agg(F.min_by(F.struct("floor", "components"), "components").alias("q")), "queries")
     groups = max(1, -(-queries.count() // config.queries_per_group))
-    names = stored(index.select("range").distinct(), "ranges")
+    maxima = stored(index.mapInArrow(range_maxima, "range bigint, most array<double>, least array<double>"), "ranges")
+    blocks = max(1, -(-ranges // config.ranges_per_block))
+    maxima = maxima.withColumn("block", F.pmod(F.xxhash64("range"), F.lit(blocks)))
     grouped = queries.select("query_id", "q.*", F.pmod(F.xxhash64("query_id"), F.lit(groups)).alias("group"))
 
     def each_group(df: DataFrame) -> DataFrame:
         return df.withColumn("group", F.explode(F.expr(f"sequence(0L, {groups - 1}L)")))
 
-    asked = each_group(names).join(grouped, "group")  # every group of queries meets every range
+    # every group of queries meets every block of maxima; only what passes is sent to the ranges themselves
+    met = grouped.withColumn("block", F.explode(F.expr(f"sequence(0L, {blocks - 1}L)")))
+    pairs = stored(
+        each_group(maxima).groupBy("block", "group").cogroup(met.groupBy("block", "group")).applyInArrow(reached, "range bigint, query_id bigint"),
+        "pairs",
+    )
+    asked = splittable_join(pairs, grouped, ["query_id"]).select("group", "range", "query_id", "floor", "components")
     found = (
         each_group(index).groupBy("range", "group")
         .cogroup(asked.groupBy("range", "group"))

@@ -2,10 +2,11 @@ from __future__ import annotations
 
 import random
 
+import numpy as np
 import pyarrow as pa
 import pytest
 
-from riskpanel.llm.topk_blocks import SearchConfig, cut_ranges, top_k
+from riskpanel.llm.topk_blocks import Range, SearchConfig, bounds_of, cut_ranges, top_k
 from tests.llm import brute
 from tests.llm.frames import SMALL, rows_of
 
@@ -50,6 +51,26 @@ def test_large_components_stay_exact(spark):
     assert found(top_k(frame(spark, rows), SMALL_TASKS)) == sorted(brute.top_k(rows))
 
 
+def test_finite_components_beyond_64_bits_take_part(spark):
+    rows = [(i, [(i - 3) * 2.0**60, 1.0]) for i in range(1, 8)] + [(20, [1.0, 2.0**70]), (40, [-1.0, 0.0])]
+    most = 2**63 - 1
+    expected = [(q, r, v, max(-most - 1, min(most, s))) for q, r, v, s in brute.top_k(rows)]
+    got = found(top_k(frame(spark, rows)))
+    assert {(q, v, s) for q, _, v, s in got} == {(q, v, s) for q, _, v, s in expected}
+    near = [(i, [i * 2.0**56, -(2.0**56) + i]) for i in range(30)]  # exact sums far beyond doubles, clipped alike
+    assert {r[0] for r in found(top_k(frame(spark, near), SMALL_TASKS))} == {0, 20}
+
+
+def test_a_range_returns_nothing_below_the_floor():
+    rng = np.random.default_rng(3)
+    vectors = rng.integers(-9, 9, (50, 4)).astype(float)
+    index = Range(np.arange(50), vectors, 8)
+    query = vectors[7]
+    scores, ids = index.search(7, query, bounds_of(query[None], index)[0], 20, 100.0)
+    whole = {int(i): float(vectors[i] @ query) for i in range(50) if i != 7 and vectors[i] @ query >= 100}
+    assert dict(zip(ids.tolist(), scores.tolist())) == whole
+
+
 def test_repeated_ids_are_no_candidates_of_each_other(spark):
     rows = [(20, [1.0, 0.0]), (20, [2.0, 0.0]), (1, [1.0, 1.0]), (2, [0.0, 1.0])]
     assert found(top_k(frame(spark, rows))) == [(20, 1, 1, 4096), (20, 2, 2, 0)]
