@@ -31,15 +31,15 @@ def beta(spark, portfolio, benchmark, cfg=CFG):
 
 
 class TestTrackingError:
-    def test_constant_difference(self, spark):
-        assert te(spark, [0.001] * 120).te_ex_ante == pytest.approx(0.0, abs=1e-12)
+    def test_the_same_difference_every_day_is_no_error(self, spark):
+        assert te(spark, [-0.0037] * 77).te_ex_ante == pytest.approx(0.0, abs=1e-12)
 
-    def test_gaussian_difference(self, spark):
-        rng = random.Random(42)
-        assert 0.005 < te(spark, [rng.gauss(0, 0.01) for _ in range(120)]).te_ex_ante < 0.30
+    def test_a_difference_of_alternating_sign(self, spark):
+        # n values of size s around 0 have the sample deviation s * sqrt(n / (n - 1))
+        assert te(spark, [0.004 * (-1) ** i for i in range(50)]).daily_tracking_error == pytest.approx(0.004 * math.sqrt(50 / 49))
 
     def test_annualisation(self, spark):
-        values = [0.001, -0.002, 0.003, -0.001, 0.002] * 24
+        values = [((7 * i) % 23 - 11) / 4000 for i in range(120)]
         row = te(spark, values)
         assert row.te_ex_ante == pytest.approx(statistics.stdev(values) * ROOT, abs=1e-10)
         assert (row.days, row.avg_active_return) == (120, pytest.approx(statistics.mean(values)))
@@ -55,19 +55,17 @@ class TestTrackingError:
 
 
 class TestBeta:
-    R = [0.01, -0.02, 0.03, -0.01, 0.02]
+    R = [0.004, 0.013, -0.007, 0.022, -0.016, 0.001, 0.009]
 
-    def test_same_series(self, spark):
-        assert beta(spark, self.R, self.R) == pytest.approx(1.0)
+    def test_a_line_has_its_slope_whatever_its_level(self, spark):
+        for slope, level in ((1.0, 0.0), (3.0, 0.001), (-0.4, -0.02)):
+            assert beta(spark, [slope * x + level for x in self.R], self.R) == pytest.approx(slope)
 
-    def test_double(self, spark):
-        assert beta(spark, [2 * x for x in self.R], self.R) == pytest.approx(2.0)
+    def test_benchmark_that_does_not_move(self, spark):
+        assert beta(spark, self.R, [0.0125] * len(self.R)) is None
 
-    def test_flat_benchmark(self, spark):
-        assert beta(spark, [0.01, -0.02, 0.03], [0.05] * 3) is None
-
-    def test_uncorrelated(self, spark):
-        assert abs(beta(spark, [0.01, -0.01, 0.01, -0.01, 0.01, -0.01], [0.01, 0.01, -0.01, -0.01, 0.01, 0.01])) < 0.5
+    def test_orthogonal_series(self, spark):
+        assert beta(spark, [0.02, 0.02, -0.02, -0.02], [0.03, -0.03, 0.03, -0.03]) == pytest.approx(0.0, abs=1e-12)
 
     def test_missing_side(self, spark):
         portfolio, benchmark = [None, 0.01, 0.03], [0.00, 0.05, -0.01]
@@ -77,7 +75,7 @@ class TestBeta:
     def test_volatilities(self, spark):
         row = metrics.beta(series(spark, self.R, self.R), CFG).first()
         assert row.vol_portfolio_approx == pytest.approx(statistics.stdev(self.R) * ROOT)
-        assert row.days == 5
+        assert row.days == len(self.R)
 
 
 class TestSideSeries:
@@ -104,11 +102,11 @@ class TestSideSeries:
 
 class TestVar:
     def test_known_deviation(self, spark):
-        frame = spark.createDataFrame([(CORTE, "A", 0.01), (CORTE, "B", 0.0)], "corte date, fund_type string, daily_tracking_error double")
+        frame = spark.createDataFrame([(CORTE, "A", 0.025), (CORTE, "B", 0.0)], "corte date, fund_type string, daily_tracking_error double")
         known, zero = metrics.var_from_te(frame).orderBy("fund_type").collect()
-        assert known.var_95_1d == pytest.approx(0.016449)
+        assert known.var_95_1d == pytest.approx(0.0411225)
         assert known.var_95_252d / known.var_95_1d == pytest.approx(ROOT)
-        assert known.portfolio_variance == pytest.approx(0.0001)
+        assert known.portfolio_variance == pytest.approx(0.000625)
         assert (zero.var_95_1d, zero.var_95_252d) == (0.0, 0.0)
 
     def test_covariance_form_equals_the_full_matrix(self, spark):

@@ -14,8 +14,8 @@ def sides(spark, portfolio, benchmark, peer=None):
 
 
 def test_each_side_sums_to_one_and_keeps_proportions(spark):
-    got = collect(weights.side_weights(sides(spark, {"A": 0.5, "B": 1.0, "C": 1.5}, {"A": 1.0, "B": 2.0}), CFG), "side", "asset_key", "side_weight")
-    assert [r[2] for r in got] == [pytest.approx(x) for x in (1 / 3, 2 / 3, 1 / 6, 1 / 3, 1 / 2)]
+    got = collect(weights.side_weights(sides(spark, {"A": 2.0, "B": 7.0, "C": 1.0}, {"A": 3.0, "B": 9.0}), CFG), "side", "asset_key", "side_weight")
+    assert [r[2] for r in got] == [pytest.approx(x) for x in (0.25, 0.75, 0.2, 0.7, 0.1)]
 
 
 @pytest.mark.parametrize("total", [0.0, 1e-13])
@@ -25,10 +25,10 @@ def test_side_without_weight(spark, total):
 
 
 def test_delta_fills_the_missing_side_with_zero(spark):
-    df = weights.side_weights(sides(spark, {"A": 0.6, "B": 0.4}, {"B": 0.5, "C": 0.5}), CFG)
+    df = weights.side_weights(sides(spark, {"A": 0.25, "B": 0.75}, {"B": 0.9, "C": 0.1}), CFG)
     columns = ("comparable_key", "delta_weight", "exists_portfolio", "exists_benchmark", "zero_filled_portfolio")
     got = collect(weights.delta_weights(df, CFG), *columns)
-    assert got == [("A", pytest.approx(0.6), 1, 0, 0), ("B", pytest.approx(-0.1), 1, 1, 0), ("C", pytest.approx(-0.5), 0, 1, 1)]
+    assert got == [("A", pytest.approx(0.25), 1, 0, 0), ("B", pytest.approx(-0.15), 1, 1, 0), ("C", pytest.approx(-0.1), 0, 1, 1)]
 
 
 def test_null_weight_counts_as_filled(spark):
