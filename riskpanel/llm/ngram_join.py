@@ -26,6 +26,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -84,17 +85,18 @@ def starts(sorted_values: np.ndarray) -> np.ndarray:
 
 
 PACKED = (
-    "fragment bigint, rest binary, owners binary, sids binary, groups binary, "
-    "doc_ids array<bigint>, doc_sids array<bigint>, doc_sizes array<bigint>"
+    "fragment bigint, chunk bigint, rest binary, owners binary, places binary, groups binary, "
+    "docs array<bigint>, sets binary, sids binary, sizes binary"
 )
+ANSWERS = "chunk bigint, places binary, counts binary, docs array<bigint>, sets binary, sids binary, sizes binary"
 COUNTED = "doc_id bigint, sid bigint, n bigint, shared bigint"
 
 
-def pack_chunk(sids: list[int], groups: list[int], sets: list[np.ndarray], fragments: int) -> Iterator[dict]:
-    """Rows of the fragments for one chunk of different sets.
+def pack_chunk(chunk: int, groups: list[int], sets: list[np.ndarray], fragments: int) -> tuple[list[dict], np.ndarray]:
+    """Rows of the fragments for one chunk of different sets, and the shared n-grams per set that the chunk itself knows.
 
     An n-gram that the chunk holds in two groups is counted here and sent once, without its owners, so a
-    frequent n-gram costs its fragment one entry per chunk. A negative fragment carries the counts.
+    frequent n-gram costs its fragment one entry per chunk.
     """
     flat = np.concatenate(sets)
     owner = np.repeat(np.arange(len(sets), dtype=np.uint16), [len(s) for s in sets])
@@ -111,7 +113,7 @@ def pack_chunk(sids: list[int], groups: list[int], sets: list[np.ndarray], fragm
     kept = ~in_shared
     kept[first] = True
     place, owner = place[kept], owner[kept]
-    all_sids, all_groups = np.array(sids, np.int64), np.array(groups, np.int64)
+    all_groups, rows = np.array(groups, np.int64), []
     begin = starts(place >> np.uint64(32))
     for a, b in zip(begin, np.append(begin[1:], len(place))):
         owners, index = np.unique(owner[a:b], return_inverse=True)
@@ -120,23 +122,22 @@ def pack_chunk(sids: list[int], groups: list[int], sets: list[np.ndarray], fragm
         index = index.astype(np.uint16)
         if flagged:
             index[owner[a:b] == FLAG] = FLAG
-        yield {
-            "fragment": int(place[a] >> np.uint64(32)),
-            "rest": place[a:b].astype(np.uint32).tobytes(),
-            "owners": index.tobytes(),
-            "sids": all_sids[real].tobytes(),
-            "groups": all_groups[real].tobytes(),
-        }
-    if counts.any():
-        some = np.flatnonzero(counts)
-        yield {"fragment": -1 - abs(sids[0]) % 256, "sids": all_sids[some].tobytes(), "rest": counts[some].astype(np.int64).tobytes()}
+        rows.append({
+            "fragment": int(place[a] >> np.uint64(32)), "chunk": chunk, "rest": place[a:b].astype(np.uint32).tobytes(),
+            "owners": index.tobytes(), "places": real.tobytes(), "groups": all_groups[real].tobytes(),
+        })
+    return rows, counts
 
 
 class Packer:
-    """Gathers sets to chunks of bounded size and yields their rows."""
+    """Gathers sets to chunks of bounded size and yields their rows.
+
+    A chunk has a row of its own, under a fragment that no other row has: its documents, its sets and what it counted.
+    """
 
     def __init__(self, fragments: int, chunk: int) -> None:
         self.fragments, self.chunk, self.schema = fragments, chunk, arrow_schema(PACKED)
+        self.task, self.chunks = TaskContext.get().partitionId() if TaskContext.get() else 0, 0
         self.clear()
 
     def clear(self) -> None:
@@ -151,13 +152,19 @@ class Packer:
                 yield from self.flush()
 
     def flush(self) -> Iterator[pa.RecordBatch]:
-        rows = list(pack_chunk(list(self.sets), self.groups, list(self.sets.values()), self.fragments)) if self.sets else []
-        if self.docs:
-            ids, sids, sizes = map(list, zip(*self.docs))
-            rows.append({"fragment": -257 - len(self.docs) % 256, "doc_ids": ids, "doc_sids": sids, "doc_sizes": sizes})
-        self.clear()
-        if rows:
+        if self.sets or self.docs:
+            chunk = (self.task << 32) + self.chunks
+            self.chunks += 1
+            rows, counts = pack_chunk(chunk, self.groups, list(self.sets.values()), self.fragments) if self.sets else ([], np.empty(0))
+            number = {sid: i for i, sid in enumerate(self.sets)}
+            of = np.array([FLAG if sid is None else number[sid] for _, sid in self.docs], np.uint16)
+            rows.append({
+                "fragment": -1 - chunk, "chunk": chunk, "rest": counts.astype(np.int64).tobytes(), "docs": [d for d, _ in self.docs],
+                "sets": of.tobytes(), "sids": np.array(list(self.sets), np.int64).tobytes(),
+                "sizes": np.array([len(s) for s in self.sets.values()], np.int64).tobytes(),
+            })
             yield pa.RecordBatch.from_pylist(rows, schema=self.schema)
+        self.clear()
 
 
 def arrow_schema(ddl: str) -> pa.Schema:
@@ -172,7 +179,7 @@ def pack_documents(config: JoinConfig, fragments: int) -> Callable:
             for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text")):
                 shingles = shingle_set(text.as_py(), config.width)
                 sid = set_id(shingles) if len(shingles) else None
-                packer.docs.append((doc_id, sid, len(shingles)))
+                packer.docs.append((doc_id, sid))
                 if sid is not None:
                     yield from packer.add(sid, sid, shingles)
                 if len(packer.docs) >= FLAG:
@@ -194,50 +201,67 @@ def pack_sets(config: JoinConfig, fragments: int) -> Callable:
 
 
 def count_fragment(rows: pa.Table) -> pa.Table:
-    """Per set the n-grams of this fragment that at least two groups hold; rows of documents pass through."""
-    schema = arrow_schema(COUNTED)
-    fragment = rows.column("fragment")[0].as_py()
-    if fragment < -256:
-        parts = [(d, s, n, None) for c in rows.select(["doc_ids", "doc_sids", "doc_sizes"]).to_pylist()
-                 for d, s, n in zip(c["doc_ids"], c["doc_sids"], c["doc_sizes"])]
-        return pa.table([list(c) for c in zip(*parts)], schema=schema)
+    """For each chunk, how many n-grams of this fragment its sets share with another group; a chunk's own row passes through.
 
-    def joined(name: str, kind: type) -> list[np.ndarray]:
+    The answer is a place and a count for each set that shares something here, packed in one row per chunk.
+    """
+    schema = arrow_schema(ANSWERS)
+    if rows.column("fragment")[0].as_py() < 0:
+        return pa.table(
+            [rows.column("chunk"), pa.nulls(rows.num_rows, pa.binary()), rows.column("rest"), *(rows.column(c) for c in schema.names[3:])],
+            schema=schema,
+        )
+
+    def each(name: str, kind: type) -> list[np.ndarray]:
         return [np.frombuffer(b, kind) for b in rows.column(name).to_pylist()]
 
-    sids = joined("sids", np.int64)
-    if fragment < 0:
-        sid, count = np.concatenate(sids), np.concatenate(joined("rest", np.int64))
-    else:
-        ids, index = np.unique(np.concatenate(sids), return_inverse=True)
-        offsets = np.cumsum([0] + [len(s) for s in sids[:-1]])
-        groups = np.empty(len(ids), np.int64)
-        groups[index] = np.concatenate(joined("groups", np.int64))
-        group = np.concatenate(([-1], np.unique(groups, return_inverse=True)[1]))
-        keys = []
-        for offset, rest, owners in zip(offsets, joined("rest", np.uint32), joined("owners", np.uint16)):
-            flagged = owners == FLAG
-            own = np.zeros(len(owners), np.uint64)
-            own[~flagged] = index[offset + owners[~flagged].astype(np.int64)] + 1
-            keys.append((rest.astype(np.uint64) << np.uint64(32)) | own)
-        key = np.concatenate(keys)
-        keys.clear()
-        key.sort()
-        key = key[starts(key)]
-        own = (key & np.uint64(0xFFFFFFFF)).astype(np.int64)
-        first = starts(key >> np.uint64(32))
-        of = group[own]
-        shared = (own[first] == 0) | (np.minimum.reduceat(of, first) != np.maximum.reduceat(of, first))
-        own = own[np.repeat(shared, np.diff(np.append(first, len(key)))) & (own > 0)]
-        counts = np.bincount(own - 1, minlength=len(ids))
+    rest, owners, places, groups = each("rest", np.uint32), each("owners", np.uint16), each("places", np.uint16), each("groups", np.int64)
+    flagged = np.concatenate(owners) == FLAG
+    group = np.concatenate([np.append(g, 0)[np.minimum(o, len(g))] for o, g in zip(owners, groups)])
+    every = np.concatenate(rest)
+    order = np.argsort(every, kind="stable")
+    first = starts(every[order])
+    sorted_groups = group[order]
+    shared = (np.minimum.reduceat(sorted_groups, first) != np.maximum.reduceat(sorted_groups, first)) | (
+        np.maximum.reduceat(flagged[order], first)
+    )
+    hit = np.empty(len(every), bool)
+    hit[order] = np.repeat(shared, np.diff(np.append(first, len(every))))
+    hit &= ~flagged
+    out, at = [], 0
+    for chunk, o, p in zip(rows.column("chunk").to_pylist(), owners, places):
+        counts = np.bincount(o[hit[at : at + len(o)]], minlength=len(p))
+        at += len(o)
         some = np.flatnonzero(counts)
-        sid, count = ids[some], counts[some]
-    none = pa.nulls(len(sid), pa.int64())
-    return pa.table([none, pa.array(sid), none, pa.array(count.astype(np.int64))], schema=schema)
+        if len(some):
+            out.append({"chunk": chunk, "places": p[some].tobytes(), "counts": counts[some].astype(np.uint32).tobytes()})
+    return pa.Table.from_pylist(out, schema=schema)
+
+
+def sum_chunk(rows: pa.Table) -> pa.Table:
+    """The counts of one chunk's sets over all fragments: a row per document, or per set if it has no documents."""
+    schema = arrow_schema(COUNTED)
+    head, shared = None, None
+    for row in rows.to_pylist():
+        if row["docs"] is not None:
+            head, shared = row, np.frombuffer(row["counts"], np.int64).copy()
+    for row in rows.to_pylist():
+        if row["docs"] is None:
+            shared[np.frombuffer(row["places"], np.uint16)] += np.frombuffer(row["counts"], np.uint32)
+    sids, sizes = np.frombuffer(head["sids"], np.int64), np.frombuffer(head["sizes"], np.int64)
+    if not head["docs"]:
+        none = pa.nulls(len(sids), pa.int64())
+        return pa.table([none, pa.array(sids), pa.array(sizes), pa.array(shared)], schema=schema)
+    of = np.frombuffer(head["sets"], np.uint16).astype(np.int64)
+    empty = of == FLAG
+    of = np.where(empty, len(sids), of)
+    columns = [pa.array(np.append(c, 0)[of], mask=m) for c, m in ((sids, empty), (sizes, None), (shared, None))]
+    return pa.table([pa.array(head["docs"], pa.int64()), *columns], schema=schema)
 
 
 def counted(packed: DataFrame) -> DataFrame:
-    return packed.groupBy("fragment").applyInArrow(count_fragment, COUNTED)
+    """(doc_id, sid, n, shared): per document of the packed chunks, or per set, the n-grams that another group holds as well."""
+    return packed.groupBy("fragment").applyInArrow(count_fragment, ANSWERS).groupBy("chunk").applyInArrow(sum_chunk, COUNTED)
 
 
 def build_sets(config: JoinConfig) -> Callable:
@@ -373,14 +397,14 @@ def partial_overlaps(parts: pa.Table, pairs: pa.Table) -> pa.Table:
     return pairs.select(names).filter(pa.array(found)).append_column("common", pa.array(common[found]))
 
 
-def linked(pairs: DataFrame, sets: DataFrame, config: JoinConfig) -> DataFrame:
+def linked(pairs: DataFrame, sets: DataFrame, config: JoinConfig, by: tuple[str, ...] = ("a",)) -> DataFrame:
     """The pairs (a, b) over the threshold. ``pairs`` and ``sets`` are stored.
 
-    Pairs are dealt to buckets by their first set, so a leader goes to as many buckets as its pairs need, and no
-    bucket depends on one set. Within a bucket each segment is counted apart.
+    Pairs are dealt to buckets by their first set, of which no set has more than a few, or ``by`` both sets where one may be
+    first in many. A leader goes to as many buckets as its pairs need. Within a bucket each segment is counted apart.
     """
     buckets = max(1, -(-pairs.count() // config.pairs_per_bucket))
-    dealt = pairs.withColumn("bucket", F.pmod(F.xxhash64("a"), F.lit(buckets)))
+    dealt = pairs.withColumn("bucket", F.pmod(F.xxhash64(*by), F.lit(buckets)))
     needed = dealt.select(F.col("a").alias("sid"), "bucket").union(dealt.select("b", "bucket")).distinct()
     parts = sets.select("sid", "shingles").join(needed, "sid").mapInArrow(
         cut_segments(config), "bucket bigint, segment bigint, sid bigint, part binary"
@@ -411,16 +435,12 @@ def ngram_join(docs: DataFrame, config: JoinConfig = JoinConfig()) -> DataFrame:
     letters = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     fragments = 1 + letters // (6 * config.fragment_shingles)  # about six letters to a word and so to an n-gram
     first = stored(counted(texts.mapInArrow(pack_documents(config, fragments), PACKED)), "shared")
-    ids = first.filter("shared IS NULL").select("doc_id", "sid", "n")
-
-    def possible(counts: DataFrame, sizes: DataFrame) -> DataFrame:
-        sums = counts.groupBy("sid").agg(F.sum("shared").alias("shared"))
-        return sums.join(sizes, "sid").filter(f"100 * shared >= {config.percent} * n")
+    ids = first.select("doc_id", "sid", "n")
+    possible = f"100 * shared >= {config.percent} * n"
 
-    representatives = ids.filter("doc_id IS NOT NULL AND sid IS NOT NULL").groupBy("sid").agg(
-        F.min("doc_id").alias("doc_id"), F.first("n").alias("n")
-    )
-    open_sets = stored(possible(first.filter("shared IS NOT NULL"), representatives).select("doc_id").distinct(), "open")
+    # a set that several chunks hold has the same count in each
+    representatives = first.filter("doc_id IS NOT NULL AND sid IS NOT NULL").filter(possible).groupBy("sid").agg(F.min("doc_id").alias("doc_id"))
+    open_sets = stored(representatives.select("doc_id").distinct(), "open")
     built = join_small(texts, open_sets, ["doc_id"], "left_semi").mapInArrow(build_sets(config), SETS)
     sets = stored(built.dropDuplicates(["sid"]), "sets")
 
@@ -429,13 +449,14 @@ def ngram_join(docs: DataFrame, config: JoinConfig = JoinConfig()) -> DataFrame:
     grouped = stored(in_groups(sets.drop("sketch"), groups), "grouped")
     fragments = 1 + (grouped.agg(F.sum("n")).first()[0] or 0) // config.fragment_shingles
     across = counted(grouped.select("sid", "group", "shingles").mapInArrow(pack_sets(config, fragments), PACKED))
-    still = stored(possible(across, grouped), "still")
+    across = across.filter(possible).select("sid")
+    still = stored(splittable_join(grouped, across, ["sid"], "left_semi"), "still")
     rare = stored(rare_digests(still, config), "rare")
-    more = stored(linked(stored(hub_pairs(rare, config), "hub_pairs"), still, config), "hub_links")
+    more = stored(linked(stored(hub_pairs(rare, config), "hub_pairs"), still, config, by=("a", "b")), "hub_links")
     links = stored(links.union(more), "more_links")
     groups = components(links)
     rare = stored(in_groups(rare.drop("group"), groups), "regrouped")
-    more = stored(linked(stored(meetings(rare, rare, config, once=True), "rest_pairs"), still, config), "rest_links")
+    more = stored(linked(stored(meetings(rare, rare, config, once=True), "rest_pairs"), still, config, by=("a", "b")), "rest_links")
     if more.limit(1).count():
         groups = components(links.union(more))
 
