@@ -181,20 +181,37 @@ class Automaton:
 
     @staticmethod
     def _register(cut: np.ndarray, label: np.ndarray, weight: np.ndarray, below: np.ndarray) -> tuple[tuple, np.ndarray]:
-        """The distinct states of one level and the number of each prefix's state. State 0 has no arcs."""
+        """The distinct states of one level and the number of each prefix's state. State 0 has no arcs.
+
+        States of one arc, the most by far, are told apart by that arc as one number; larger ones by all their arcs.
+        """
+        sizes, states = np.diff(cut), np.zeros(len(cut) - 1, np.int64)
+        first = [np.empty(0, np.int64)]  # where the arcs of each distinct state begin
+        count, single = 1, np.flatnonzero(sizes == 1)
+        widths = [int(x.max(initial=0)) + 1 for x in (label, weight, below)]
+        if widths[0] * widths[1] * widths[2] < 1 << 63:
+            at = cut[single]
+            _, begin, number = np.unique((label[at] * widths[1] + weight[at]) * widths[2] + below[at], return_index=True, return_inverse=True)
+            states[single] = number + 1
+            first.append(at[begin])
+            count += len(begin)
+            several = np.flatnonzero(sizes > 1)
+        else:
+            several = np.flatnonzero(sizes)
         signature = np.stack([label, weight, below], axis=1).astype(np.int64).tobytes()
-        known, states, kept = {b"": 0}, np.zeros(len(cut) - 1, np.int64), []
-        sizes = [0]
-        for i, (a, b) in enumerate(zip(cut[:-1].tolist(), cut[1:].tolist())):
+        known: dict[bytes, int] = {}
+        begins = []
+        for i, a, b in zip(several.tolist(), cut[several].tolist(), cut[several + 1].tolist()):
             key = signature[24 * a : 24 * b]
             state = known.get(key)
             if state is None:
-                state = known[key] = len(known)
-                sizes.append(b - a)
-                kept.append(np.arange(a, b))
+                state = known[key] = count + len(known)
+                begins.append(a)
             states[i] = state
-        order = np.concatenate(kept) if kept else np.empty(0, np.int64)
-        return (np.array(sizes, np.int64), label[order], weight[order], below[order]), states
+        begin = np.concatenate([*first, np.array(begins, np.int64)])
+        new = np.concatenate([np.ones(len(first[-1]), np.int64), np.array([len(k) // 24 for k in known], np.int64)])
+        order = np.repeat(begin - (np.cumsum(new) - new), new) + np.arange(new.sum())
+        return (np.concatenate(([0], new)), label[order], weight[order], below[order]), states
 
     def grams(self) -> tuple[np.ndarray, np.ndarray]:
         """All n-grams in order of their words' numbers, level by level, and their counts."""
