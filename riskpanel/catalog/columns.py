@@ -66,6 +66,7 @@ COLUMNS: dict[str, str] = {
     "special_rules": f"{_PANEL}",
     "complete_history": f"fecha:d {_UNIVERSE} {_MEASURES} origen_completado:s jerarquia_usada:i",
     "complete_history_incremental": f"fecha:d {_UNIVERSE} {_MEASURES} origen_completado:s jerarquia_usada:i",
+    "imputation_support": f"fecha:d {_UNIVERSE} retorno:f jerarquia_usada:i peers:i lowest:f highest:f",
     "imputation_coverage": "origen_completado:s jerarquia_usada:i total:i",
     # base returns
     "returns_mon": _BASE,
@@ -113,6 +114,8 @@ COLUMNS: dict[str, str] = {
     "var_covariance": _VAR,
     "var_covariance_no_deriv": _VAR,
     "covariance_product": f"{_KEY} asset_key:s gross_weight:f cov_with_portfolio:f variance_share:f",
+    "covariance_pairs": f"{_KEY} asset_i:s asset_j:s cov:f",
+    "covariance_size": f"{_KEY} total_variance:f squared_norm:f",
     # every date as a cutoff
     "risk_history": (
         f"{_KEY} days:i avg_active_return:f daily_tracking_error:f te_ex_ante:f var_95_1d:f var_95_252d:f beta_days:i "

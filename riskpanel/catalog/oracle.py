@@ -471,6 +471,13 @@ _BODIES: dict[str, str] = {
     "special_rules": _RULED + "panel",
     "complete_history": "SELECT * FROM completed",
     "complete_history_incremental": "SELECT * FROM completed",
+    "imputation_support": " UNION ALL ".join(
+        f"SELECT m.fecha, {_list(_UNIVERSE, 'm.')}, m.retorno, m.jerarquia_usada, s.peers, s.lowest, s.highest FROM completed m JOIN ("
+        f"SELECT fecha, {_list(_CHAIN[: 10 - level])}, count(retorno) AS peers, min(retorno) AS lowest, max(retorno) AS highest "
+        f"FROM history WHERE retorno IS NOT NULL GROUP BY fecha, {_list(_CHAIN[: 10 - level])}) AS s "
+        f"ON {_on('m', 's', ['fecha', *_CHAIN[: 10 - level]])} WHERE m.origen_completado = 'EQUIVALENTE' AND m.jerarquia_usada = {level}"
+        for level in range(1, 10)
+    ),
     "imputation_coverage": "SELECT origen_completado, jerarquia_usada, count(*) AS total FROM completed GROUP BY 1, 2",
     "returns_mon": _mon("observed"),
     "returns_swp": _swp("observed"),
@@ -517,6 +524,15 @@ _BODIES: dict[str, str] = {
         "sum(wj * cov) AS cov_with_portfolio, any_value(wi) * sum(wj * cov) AS variance_share "
         "FROM pairs GROUP BY corte, fund_type, asset_i"
     ),
+    "covariance_pairs": (
+        "SELECT p.corte, p.fund_type, p.asset_i, p.asset_j, p.cov FROM pairs p JOIN ("
+        "SELECT corte, fund_type, arg_min(asset_key, (-w, asset_key)) AS heaviest FROM (SELECT DISTINCT corte, fund_type, asset_key, w FROM cells) "
+        "GROUP BY corte, fund_type) AS h ON h.corte = p.corte AND h.fund_type = p.fund_type AND h.heaviest = p.asset_j"
+    ),
+    "covariance_size": (
+        "SELECT corte, fund_type, sum(cov) FILTER (asset_i = asset_j) AS total_variance, sum(cov * cov) AS squared_norm "
+        "FROM pairs GROUP BY corte, fund_type"
+    ),
     "risk_history": (
         "SELECT t.*, 1.6449 * daily_tracking_error AS var_95_1d, 1.6449 * sqrt(252.0) * daily_tracking_error AS var_95_252d, "
         "b.days AS beta_days, b.beta_ex_ante FROM rolling_te t LEFT JOIN rolling_beta b USING (corte, fund_type)"

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from riskpanel.catalog.columns import COLUMNS, present
 from riskpanel.catalog.inputs import CONFIG, CUTOFF, Inputs, inputs
-from riskpanel.operators import changes, history, imputation, incremental, metrics, quality, returns, rolling, staging, weights
+from riskpanel.operators import changes, covariance, history, imputation, incremental, metrics, quality, returns, rolling, staging, weights
 from riskpanel.plans import DailyPaths, result_views, run_daily
 from riskpanel.sources import SourceConfig, audit_counts, read_panel, read_snapshot, write_partitions, write_snapshot
 
@@ -172,6 +172,24 @@ def _covariance(operator, base: DataFrame, cfg) -> DataFrame:
     return operator(returns.comparable_returns(base, cfg), metrics.gross_weights(base, cfg), cfg)
 
 
+def _centred(i: Inputs) -> tuple[DataFrame, DataFrame]:
+    """Centred returns of the assets that the portfolio holds at the cutoff, and their weights."""
+    held = metrics.gross_weights(i.base, CONFIG)
+    own = returns.comparable_returns(i.base, CONFIG).join(held.select("corte", "fund_type", "asset_key"), ["corte", "fund_type", "asset_key"], "left_semi")
+    return _kept(i, "vectors", covariance.centred_returns(own, CONFIG)), held
+
+
+def _covariance_pairs(i: Inputs) -> DataFrame:
+    """Every held asset with the heaviest one of its fund."""
+    vectors, held = _centred(i)
+    known = held.join(vectors.select("corte", "fund_type", "asset_key"), ["corte", "fund_type", "asset_key"], "left_semi")
+    heaviest = known.groupBy("corte", "fund_type").agg(
+        F.min(F.struct((-F.col("gross_weight")).alias("w"), "asset_key"))["asset_key"].alias("asset_j")
+    )
+    pairs = known.join(heaviest, ["corte", "fund_type"]).select("corte", "fund_type", F.col("asset_key").alias("asset_i"), "asset_j")
+    return covariance.covariance_pairs(vectors, pairs)
+
+
 def _check(name: str) -> Callable[[Inputs], DataFrame]:
     return lambda i: quality.CHECKS[name](i.observed_tables, CONFIG)
 
@@ -235,6 +253,7 @@ _QUERIES: dict[str, Callable[[Inputs], DataFrame]] = {
     "special_rules": lambda i: imputation.special_rules(i.panel),
     "complete_history": lambda i: imputation.complete_history(i.real, i.calendar, CUTOFF, universe=i.universe),
     "complete_history_incremental": _completed_incrementally,
+    "imputation_support": lambda i: imputation.imputation_support(i.completed, i.real),
     "imputation_coverage": lambda i: imputation.imputation_coverage(i.completed),
     "returns_mon": lambda i: returns.returns_mon(i.modelable),
     "returns_swp": lambda i: returns.returns_swp(i.modelable),
@@ -277,6 +296,8 @@ _QUERIES: dict[str, Callable[[Inputs], DataFrame]] = {
     "var_covariance": lambda i: _covariance(metrics.var_covariance, i.base, CONFIG),
     "var_covariance_no_deriv": lambda i: _covariance(metrics.var_covariance, i.base, BARE),
     "covariance_product": lambda i: _covariance(metrics.covariance_product, i.base, CONFIG),
+    "covariance_pairs": _covariance_pairs,
+    "covariance_size": lambda i: covariance.covariance_size(covariance.gram_matrix(_centred(i)[0])),
     "risk_history": lambda i: rolling.risk_history(_observed_base(i), CONFIG),
     "risk_report": lambda i: metrics.risk_report(i.base, CONFIG),
     **{f"qc_{name}": _check(name) for name in quality.CHECKS},

@@ -246,3 +246,27 @@ def finished(known: DataFrame, missing: DataFrame, requests: DataFrame, means: D
 def imputation_coverage(completed: DataFrame) -> DataFrame:
     """Rows by origin and level."""
     return completed.groupBy("origen_completado", "jerarquia_usada").agg(F.count("*").alias("total"))
+
+
+def imputation_support(completed: DataFrame, real: DataFrame, chain: list[str] | None = None) -> DataFrame:
+    """Every imputed cell with the number of returns behind it (``peers``) and their range (``lowest``, ``highest``).
+
+    Formed as the means are: once at the finest level, where counts and ranges can be merged, then rolled up. Only the prefixes
+    that a cell was answered at are looked up. ``real`` is the history that ``completed`` came from.
+    """
+    chain = chain or schemas.HIERARCHY
+    size = len(chain)
+    finest = real.filter("retorno IS NOT NULL").groupBy("fecha", F.array(*chain).alias("path")).agg(
+        F.count("retorno").alias("n"), F.min("retorno").alias("least"), F.max("retorno").alias("most")
+    )
+    support = (
+        finest.withColumn("length", F.explode(F.sequence(F.lit(1), F.lit(size))))
+        .groupBy("fecha", F.slice("path", F.lit(1), F.col("length")).alias("prefix"))
+        .agg(F.sum("n").alias("peers"), F.min("least").alias("lowest"), F.max("most").alias("highest"))
+    )
+    imputed = completed.filter("origen_completado = 'EQUIVALENTE'").withColumn(
+        "prefix", F.slice(F.array(*chain), F.lit(1), F.lit(size + 1) - F.col("jerarquia_usada"))
+    )
+    return splittable_join(imputed, support.hint("merge"), ["fecha", "prefix"]).select(
+        "fecha", *schemas.UNIVERSE, "retorno", "jerarquia_usada", "peers", "lowest", "highest"
+    )
