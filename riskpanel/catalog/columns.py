@@ -48,7 +48,7 @@ COLUMNS: dict[str, str] = {
     # sources and sinks
     "incremental_extract": f"{_PANEL} year:i month:i",
     "staging_idempotent": "year:i month:i total:i dates:i sum_exposure:f",
-    "staging_reconcile": "fecha:d total:i sum_return:f sum_exposure:f",
+    "staging_reconcile": "fecha:d total:i sum_size:f sum_exposure:f",
     "snapshot_read": f"corte:d {_PANEL}",
     "snapshot_replace": "corte:d tipo_fondo:s total:i",
     "audit_counts": "table:s total:i",

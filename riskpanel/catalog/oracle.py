@@ -448,7 +448,7 @@ _BODIES: dict[str, str] = {
         "sum(peso_exposicion_economica) AS sum_exposure FROM panel GROUP BY 1, 2"
     ),
     "staging_reconcile": (
-        "SELECT fecha, count(*) AS total, sum(retorno) AS sum_return, sum(peso_exposicion_economica) AS sum_exposure FROM panel GROUP BY fecha"
+        "SELECT fecha, count(*) AS total, sum(abs(retorno)) AS sum_size, sum(peso_exposicion_economica) AS sum_exposure FROM panel GROUP BY fecha"
     ),
     "snapshot_read": "SELECT * FROM other_history",
     "snapshot_replace": (

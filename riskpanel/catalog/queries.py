@@ -124,7 +124,7 @@ def _staging_reconcile(i: Inputs) -> DataFrame:
     write_partitions(staging.with_partitions(_panel_before(i)), staged, staging.PARTITIONS)
     staging.staging_reconcile(i.spark, SourceConfig(path=_source_path(i)), staged, "2001-01-01", "2001-12-31")
     return read_panel(i.spark, staged).groupBy("fecha").agg(
-        F.count(F.lit(1)).alias("total"), F.sum("retorno").alias("sum_return"), F.sum("peso_exposicion_economica").alias("sum_exposure")
+        F.count(F.lit(1)).alias("total"), F.sum(F.abs("retorno")).alias("sum_size"), F.sum("peso_exposicion_economica").alias("sum_exposure")
     )
 
 
