@@ -69,18 +69,57 @@ FROM split LEFT JOIN best USING (row) JOIN bounds USING (host)"""
 
 
 def line_dedup(config: UnitConfig = UnitConfig()) -> str:
-    return f"""
-WITH texts AS (SELECT doc_id, text, row_number() OVER () AS row FROM documents),
-lines AS (SELECT row, doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) - 1 AS unit FROM texts),
+    def equal(name: str, most: str, mine: str, other_d: str, other: str) -> str:
+        """How many words are equal beside each run and beside the place kept, up to the first that differ."""
+        return f"""
+{name} AS (
+  SELECT r.d, r.run, coalesce(min(t) - 1, any_value(most)) AS {name}
+  FROM (SELECT *, {most} AS most FROM runs) AS r
+  LEFT JOIN (
+    SELECT q.d, q.run, q.t FROM (SELECT *, unnest(range(1, {most} + 1)) AS t FROM runs) AS q
+    JOIN placed AS x ON x.d = q.d AND x.i = {mine} JOIN placed AS y ON y.d = q.{other_d} AND y.i = {other} WHERE x.l <> y.l) AS m
+  ON m.d = r.d AND m.run = r.run GROUP BY r.d, r.run)"""
+
+    return rf"""
+WITH texts AS (
+  SELECT row_number() OVER (ORDER BY doc_id NULLS LAST, text) AS d, doc_id, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS w,
+         regexp_extract_all(text, '{SPACE}+') AS gaps, CASE WHEN regexp_matches(text, '^{SPACE}') THEN 1 ELSE 0 END AS lead
+  FROM (SELECT DISTINCT doc_id, text FROM documents WHERE text IS NOT NULL)),
+numbered AS (
+  SELECT d, unnest(w) AS w, unnest(range(1, len(w) + 1)) AS i, unnest(list_resize(gaps[lead + 1:], len(w), '')) AS gap,
+         len(w) AS size, CASE WHEN lead = 1 THEN length(gaps[1]) ELSE 0 END AS indent FROM texts),
 placed AS (
-  SELECT *, coalesce(sum(length(line) + 1) OVER (PARTITION BY row ORDER BY unit ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start,
-         lower(array_to_string({WORDS.format('line')}, ' ')) AS norm, len({WORDS.format('line')}) AS n FROM lines),
-ranked AS (
-  SELECT *, first_value(doc_id) OVER w AS kept_doc_id, first_value(start) OVER w AS kept_start, row_number() OVER w AS rank
-  FROM placed WHERE n >= {config.least_words} WINDOW w AS (PARTITION BY norm ORDER BY doc_id NULLS LAST, start))
-SELECT doc_id, CAST(unit AS INTEGER) AS unit, CAST(start AS INTEGER) AS start, CAST(start + length(line) AS INTEGER) AS "end",
-       kept_doc_id, CAST(kept_start AS INTEGER) AS kept_start
-FROM ranked WHERE rank > 1"""
+  SELECT d, i, {LOWER.format('w')} AS l, length(w) AS n, size, i = size OR contains(gap, chr(10)) OR regexp_matches(w, '[.!?,;:]$') AS ends,
+         indent + coalesce(sum(length(w) + length(gap)) OVER (PARTITION BY d ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start
+  FROM numbered),
+bounds AS (
+  SELECT d, i, coalesce(lag(ends) OVER (PARTITION BY d ORDER BY i), true) AS begins,
+         min(CASE WHEN ends THEN i END) OVER (PARTITION BY d ORDER BY i ROWS BETWEEN {config.seed_words - 1} FOLLOWING AND UNBOUNDED FOLLOWING) AS j
+  FROM placed),
+seeds AS (
+  SELECT b.d, b.i, any_value(j) AS j, string_agg(l, ' ' ORDER BY p.i) AS seed
+  FROM (SELECT *, unnest(range(i, j + 1)) AS at FROM bounds WHERE begins AND j IS NOT NULL) AS b JOIN placed AS p ON p.d = b.d AND p.i = b.at
+  GROUP BY b.d, b.i),
+kept AS (SELECT seed, arg_min(d, (d, i)) AS kept_d, arg_min(i, (d, i)) AS kept_i, arg_min(j, (d, i)) AS kept_j FROM seeds GROUP BY seed HAVING count(*) > 1),
+repeated AS (SELECT * FROM seeds JOIN kept USING (seed) WHERE (d, i) <> (kept_d, kept_i)),
+linked AS (
+  SELECT *, CASE WHEN i <= max(j) OVER (PARTITION BY d ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) + 1 THEN 0 ELSE 1 END AS fresh FROM repeated),
+grouped AS (SELECT *, sum(fresh) OVER (PARTITION BY d ORDER BY i) AS run FROM linked),
+joined AS (
+  SELECT d, run, min(i) AS i, max(j) AS j, arg_min(kept_d, i) AS kept_d, arg_min(kept_i, i) AS kept_i, arg_max(kept_d, (j, i)) AS last_d,
+         arg_max(kept_j, (j, i)) AS last_j FROM grouped GROUP BY d, run),
+sizes AS (SELECT d, any_value(size) AS size FROM placed GROUP BY d),
+runs AS (
+  SELECT joined.*, least(i, kept_i) - 1 AS room_a, least(x.size - j, z.size - last_j) AS room_b
+  FROM joined JOIN sizes AS x ON x.d = joined.d JOIN sizes AS z ON z.d = last_d),{equal("a", "room_a", "q.i - t", "kept_d", "q.kept_i - t")},{
+        equal("b", "room_b", "q.j + t", "last_d", "q.last_j + t")},
+passages AS (
+  SELECT d, i - a AS i, j + b AS j, kept_d, kept_i - a AS kept_i FROM runs JOIN a USING (d, run) JOIN b USING (d, run)
+  WHERE j + b - (i - a) + 1 >= {config.least_words})
+SELECT t.doc_id, CAST(x.start AS INTEGER) AS start, CAST(y.start + y.n AS INTEGER) AS "end", CAST(p.j - p.i + 1 AS INTEGER) AS words,
+       k.doc_id AS kept_doc_id, CAST(z.start AS INTEGER) AS kept_start
+FROM passages AS p JOIN texts AS t ON t.d = p.d JOIN texts AS k ON k.d = p.kept_d
+JOIN placed AS x ON x.d = p.d AND x.i = p.i JOIN placed AS y ON y.d = p.d AND y.i = p.j JOIN placed AS z ON z.d = p.kept_d AND z.i = p.kept_i"""
 
 
 def block_top_k(k: int = 20, every: int = 20) -> str:
@@ -119,7 +158,7 @@ FROM documents LEFT JOIN sizes USING (doc_id) LEFT JOIN least USING (doc_id)"""
 def source_mixing(config: MixConfig = MixConfig()) -> str:
     weights = ", ".join(map(str, config.weights))
     return f"""
-WITH RECURSIVE sized AS (SELECT doc_id, source, len({WORDS.format('text')}) AS size FROM documents),
+WITH RECURSIVE sized AS (SELECT doc_id, source, coalesce(text, '') AS text, len({WORDS.format('text')}) AS size FROM documents),
 totals AS (SELECT source, sum(size) AS source_size, count(*) AS docs FROM sized GROUP BY source),
 weighted AS (
   SELECT *, [{weights}][(row_number() OVER (ORDER BY source NULLS LAST) - 1) % {len(config.weights)} + 1] AS weight,
@@ -132,26 +171,23 @@ rates AS (
   SELECT *, CASE WHEN source_size > 0 THEN target / source_size ELSE 0 END AS rate, source_size::DOUBLE / docs AS mean_size FROM targets),
 parts AS (SELECT *, floor(rate) AS whole, rate - floor(rate) AS part, floor(target - floor(rate) * source_size) AS quota FROM rates),
 drawn AS (
-  SELECT sized.*, (CAST('0x' || substr(md5('{config.seed}:' || coalesce(CAST(doc_id AS VARCHAR), 'null')), 1, 13) AS BIGINT) + 0.5::DOUBLE) / 4503599627370496::DOUBLE AS u,
+  SELECT sized.*, (CAST('0x' || substr(md5('{config.seed}:' || coalesce(CAST(doc_id AS VARCHAR), 'null') || ':' || md5(text)), 1, 13) AS BIGINT) + 0.5::DOUBLE) / 4503599627370496::DOUBLE AS u,
          source_size, target, whole, part, quota, mean_size
   FROM sized JOIN parts ON sized.source IS NOT DISTINCT FROM parts.source),
+equal AS (
+  SELECT doc_id, text, source, any_value(size) AS one, sum(size) AS size, any_value(u) AS u, any_value(part) AS part, any_value(mean_size) AS mean_size,
+         any_value(quota) AS quota FROM drawn WHERE size > 0 AND part > 0 GROUP BY doc_id, text, source),
 ranked AS (
-  SELECT *, row_number() OVER (PARTITION BY source ORDER BY u / (1 - u) / (part / (1 - part) * sqrt(size / mean_size)), doc_id, size) AS pos
-  FROM drawn WHERE size > 0 AND part > 0),
+  SELECT *, row_number() OVER (PARTITION BY source ORDER BY u / (1 - u) / (part / (1 - part) * sqrt(one / mean_size)), doc_id NULLS LAST, size) AS pos FROM equal),
 fill AS (
-  SELECT source, CAST(0 AS BIGINT) AS pos, CAST(max(quota) AS BIGINT) AS open, CAST(NULL AS BIGINT) AS missed, 0 AS extra
-  FROM ranked GROUP BY source
+  SELECT source, CAST(0 AS BIGINT) AS pos, CAST(max(quota) AS BIGINT) AS open, 0 AS extra FROM ranked GROUP BY source
   UNION ALL
-  SELECT r.source, r.pos,
-         CASE WHEN r.size <= f.open AND (f.missed IS NULL OR r.pos < f.missed + {config.reach}) THEN f.open - r.size ELSE f.open END,
-         CASE WHEN r.size <= f.open AND (f.missed IS NULL OR r.pos < f.missed + {config.reach}) THEN f.missed ELSE coalesce(f.missed, r.pos) END,
-         CASE WHEN r.size <= f.open AND (f.missed IS NULL OR r.pos < f.missed + {config.reach}) THEN 1 ELSE 0 END
+  SELECT r.source, r.pos, CASE WHEN r.size <= f.open THEN f.open - r.size ELSE f.open END, CASE WHEN r.size <= f.open THEN 1 ELSE 0 END
   FROM fill AS f JOIN ranked AS r ON f.source IS NOT DISTINCT FROM r.source AND r.pos = f.pos + 1),
 extra AS (
-  SELECT doc_id, ranked.source, size, sum(extra) AS extra FROM ranked JOIN fill
-  ON ranked.source IS NOT DISTINCT FROM fill.source AND ranked.pos = fill.pos GROUP BY doc_id, ranked.source, size)
+  SELECT doc_id, text, ranked.source, extra FROM ranked JOIN fill ON ranked.source IS NOT DISTINCT FROM fill.source AND ranked.pos = fill.pos)
 SELECT d.doc_id, d.size, CAST(d.source_size AS BIGINT) AS source_size, d.target, CAST(d.size * (d.whole + coalesce(e.extra, 0)) AS BIGINT) AS taken
-FROM drawn AS d LEFT JOIN extra AS e ON d.doc_id IS NOT DISTINCT FROM e.doc_id AND d.source IS NOT DISTINCT FROM e.source AND d.size = e.size"""
+FROM drawn AS d LEFT JOIN extra AS e ON d.doc_id IS NOT DISTINCT FROM e.doc_id AND d.source IS NOT DISTINCT FROM e.source AND d.text = e.text"""
 
 
 def quality_rules(config: RuleConfig = RuleConfig()) -> str:

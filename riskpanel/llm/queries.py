@@ -38,7 +38,7 @@ def op2_quality_machine(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return repeated_units(table(spark, sf_dir, "documents")).drop("twin")
+    return repeated_units(table(spark, sf_dir, "documents"))
 
 
 def op4_block_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -85,23 +85,63 @@ def top_k(vectors: list[tuple[int, list | None]], k: int = 20, every: int = 20)
     return rows
 
 
-def removed_lines(docs: list[tuple[int | None, str | None]], least: int = 20) -> list[tuple]:
-    """(doc_id, unit, start, end, kept_doc_id, kept_start)"""
-    kept, out = {}, []
-    for doc_id, text in sorted(docs, key=lambda d: (d[0] is None, d[0] or 0)):
-        start = 0
-        for unit, line in enumerate((text or "").split("\n")):
-            found = words(line)
-            if len(found) >= least:
-                key = " ".join(found).lower()
+def repeated_passages(docs: list[tuple[int | None, str | None]], least: int = 50, seed: int = 5) -> list[dict]:
+    """What to remove, by document: number among the distinct ``docs``, first word, words, offsets and the place kept."""
+    order = sorted(dict.fromkeys((i, t) for i, t in docs if t is not None), key=lambda d: (d[0] is None, d[0] or 0))
+    spans = [[m.span() for m in WORD.finditer(t)] for _, t in order]
+    spelled = [[lower(t[a:b]) for a, b in own] for (_, t), own in zip(order, spans)]
+    kept, found = {}, defaultdict(list)
+    for d, (_, text) in enumerate(order):
+        ends = [
+            k for k, (a, b) in enumerate(spans[d])
+            if text[b - 1] in ".!?,;:" or k + 1 == len(spans[d]) or "\n" in text[b : spans[d][k + 1][0]]
+        ]
+        for first in [0, *(k + 1 for k in ends)]:
+            last = next((k for k in ends if k >= first + seed - 1), None)
+            if last is not None:
+                key = tuple(spelled[d][first : last + 1])
                 if key in kept:
-                    out.append((doc_id, unit, start, start + len(line), *kept[key]))
+                    found[d].append((first, last + 1, kept[key]))
                 else:
-                    kept[key] = (doc_id, start)
-            start += len(line) + 1
+                    kept[key] = (d, first, last + 1)
+    out = []
+    for d, seeds in found.items():
+        runs = []
+        for first, end, place in sorted(seeds):
+            if runs and first <= runs[-1]["end"]:
+                if end >= runs[-1]["end"]:
+                    runs[-1] |= {"end": end, "last": place}
+            else:
+                runs.append({"first": first, "end": end, "kept": place, "last": place})
+        for run in runs:
+            (kd, kfirst, _), (zd, _, zend) = run["kept"], run["last"]
+            a = b = 0
+            while min(run["first"], kfirst) > a and spelled[d][run["first"] - a - 1] == spelled[kd][kfirst - a - 1]:
+                a += 1
+            while run["end"] + b < len(spelled[d]) and zend + b < len(spelled[zd]) and spelled[d][run["end"] + b] == spelled[zd][zend + b]:
+                b += 1
+            first, end = run["first"] - a, run["end"] + b
+            if end - first >= least:
+                out.append({
+                    "doc": order[d], "first": first, "words": end - first, "start": spans[d][first][0], "end": spans[d][end - 1][1],
+                    "kept_doc_id": order[kd][0], "kept_start": spans[kd][kfirst - a][0],
+                })
     return out
 
 
+def removed_passages(docs: list[tuple], **how: int) -> list[tuple]:
+    """(doc_id, start, end, words, kept_doc_id, kept_start)"""
+    return [(p["doc"][0], p["start"], p["end"], p["words"], p["kept_doc_id"], p["kept_start"]) for p in repeated_passages(docs, **how)]
+
+
+def without_passages(docs: list[tuple], **how: int) -> dict[tuple, str]:
+    """The words that stay, joined by blanks, of every document (doc_id, text)."""
+    gone = defaultdict(set)
+    for p in repeated_passages(docs, **how):
+        gone[p["doc"]].update(range(p["first"], p["first"] + p["words"]))
+    return {d: " ".join(w for k, w in enumerate(words(d[1])) if k not in gone[d]) for d in docs if d[1] is not None}
+
+
 def targets(sizes: dict, share: float = 1.5, cap: float = 2.0, cycle: tuple = (3, 1, 2)) -> dict:
     """Targets by sharing and resharing until no source is above its cap."""
     order = sorted(sizes, key=lambda s: (s is None, (s or "").encode()))
