@@ -26,7 +26,7 @@ from riskpanel.functions import splittable_join
 from riskpanel.operators.changes import changed_days
 from riskpanel.operators.history import active_universe, exclude_non_modelable
 from riskpanel.operators.imputation import (
-    _gaps, _marked, _observed, business_days, complete_days, day_values, finest_sums, finished, rolled_up,
+    _day_array, _gap_units, _marked, _observed, _row_units, business_days, complete_days, day_values, finest_sums, finished, rolled_up,
 )
 
 _KEY, _CHAIN = schemas.INSTRUMENT_KEY, schemas.HIERARCHY
@@ -125,11 +125,14 @@ def complete_history_incremental(
     asked = splittable_join(imputed, open_, ["fecha", "path"], "left_semi").withColumn("retorno", F.lit(None).cast("double"))
 
     own = active(kept).join(arrived.select(*_KEY).distinct(), _KEY, "left_semi")
-    missing = _observed(arrived, kept, own.filter("retorno IS NULL")).unionByName(_gaps(arrived, kept, own))
-    missing = _marked(missing.unionByName(asked.select(*missing.columns)))
-    requests = missing.select("fecha", F.array(*_CHAIN).alias("path")).distinct()
+    missing = _gap_units(arrived, kept, own)
+    for rows_without in (_observed(arrived, kept, own.filter("retorno IS NULL")), asked):
+        missing = missing.unionByName(_row_units(rows_without, kept))
+    # all days of the paths that came, and the rows asked again; one aggregation over both
+    paths = arrived.select(F.array(*_CHAIN).alias("path")).distinct().withColumn("fecha", F.explode(_day_array(kept)))
+    requests = paths.select("fecha", "path").union(asked.select("fecha", "path")).distinct()
     filled = finished(
-        _marked(_observed(arrived, kept, own.filter("retorno IS NOT NULL"))), missing, requests, rolled_up(kept_sums)
+        _marked(_observed(arrived, kept, own.filter("retorno IS NOT NULL"))), missing, requests, rolled_up(kept_sums), kept
     )
     completed = observed.drop("path").unionByName(same.drop("path")).unionByName(filled).unionByName(on_fresh)
     return IncrementalRun(completed, kept_sums.unionByName(fresh_sums), fresh, kept)
