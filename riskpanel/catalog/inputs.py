@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 from riskpanel import schemas
 from riskpanel.config import RiskConfig
 from riskpanel.functions import norm
-from riskpanel.operators.history import active_universe, exclude_non_modelable, real_history, with_corte
+from riskpanel.operators.history import active_keys, active_universe, exclude_non_modelable, real_history, with_corte
 from riskpanel.operators.imputation import complete_history
 from riskpanel.operators.returns import base_returns, select_class
 from riskpanel.plans import result_tables
@@ -29,6 +29,7 @@ CONFIG = RiskConfig(CUTOFF)
 # Fixed values of the panel mapping.
 SESSIONS = 260
 FIRST_SESSION = "DATE'2001-01-01'"
+ROWS_PER_TASK = 400_000  # of the panel, where it is formed and written
 SESSION_DATE = f"date_add({FIRST_SESSION}, datediff(to_date(l_shipdate), DATE'1995-01-01') % {SESSIONS})"
 
 
@@ -57,9 +58,12 @@ def derive_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
         .join(read("nation"), F.col("s_nationkey") == F.col("n_nationkey"))
         .select(F.col("s_suppkey").alias("l_suppkey"), F.expr("concat('F', n_regionkey)").alias("tipo_fondo"))
     )
+    # dealt out once, by two of the grouping keys and in tasks of bounded size, which also write the rows
+    tasks = max(spark.sparkContext.defaultParallelism, -(-read("lineitem").count() // ROWS_PER_TASK))
     grouped = (
         line.join(part, "l_partkey")
         .join(supplier, "l_suppkey")
+        .repartition(tasks, "l_partkey", "fecha")
         .groupBy("l_partkey", "p_type", "b", "fecha", "tipo_fondo", "afp")
         .agg(
             F.avg("r").alias("retorno"),
@@ -119,8 +123,8 @@ class Inputs:
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
 
-    def _stored(self, name: str, df: DataFrame, schema, cluster_by=("fecha",)) -> DataFrame:
-        write_snapshot(df, self.path(name), CUTOFF, cluster_by)
+    def _stored(self, name: str, df: DataFrame, schema, cluster_by=("fecha",), dealt=False) -> DataFrame:
+        write_snapshot(df, self.path(name), CUTOFF, cluster_by, dealt)
         return read_snapshot(self.spark, self.path(name), CUTOFF, schema)
 
     def _stored_tables(self, base: DataFrame, folder: str) -> dict[str, DataFrame]:
@@ -131,7 +135,7 @@ class Inputs:
 
     @cached_property
     def panel(self) -> DataFrame:
-        return self._stored("panel", derive_panel(self.spark, self.sf_dir), schemas.PANEL)
+        return self._stored("panel", derive_panel(self.spark, self.sf_dir), schemas.PANEL, dealt=True)
 
     @cached_property
     def calendar(self) -> DataFrame:
@@ -139,7 +143,9 @@ class Inputs:
 
     @cached_property
     def real(self) -> DataFrame:
-        return self._stored("output_real", real_history(self.panel, CUTOFF), schemas.REAL_HISTORY)
+        fields = [f for f in schemas.PANEL.fields if f.name in schemas.INSTRUMENT_KEY]
+        active = self._stored("output_active", active_keys(self.panel, CUTOFF), T.StructType(fields), []).drop("corte")
+        return self._stored("output_real", real_history(self.panel, CUTOFF, active), schemas.REAL_HISTORY)
 
     @cached_property
     def universe(self) -> DataFrame:
@@ -150,7 +156,7 @@ class Inputs:
     @cached_property
     def completed(self) -> DataFrame:
         completed = complete_history(self.real, self.calendar, CUTOFF, universe=self.universe)
-        return self._stored("output_final", completed, schemas.COMPLETED)
+        return self._stored("output_final", completed, schemas.COMPLETED, [], dealt=True)
 
     @cached_property
     def base(self) -> DataFrame:

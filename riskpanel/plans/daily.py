@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from riskpanel import schemas
 from riskpanel.config import RiskConfig
-from riskpanel.operators.history import active_universe, exclude_non_modelable, real_history, require_universe
+from riskpanel.operators.history import active_keys, active_universe, real_history, require_universe
 from riskpanel.operators.imputation import complete_history
 from riskpanel.operators.quality import qc_summary, require_quality
 from riskpanel.operators.returns import base_returns
@@ -44,9 +44,11 @@ class DailyPaths:
 def store_real_history(spark: SparkSession, paths: DailyPaths, cfg: RiskConfig) -> DataFrame:
     """All staged dates up to the cutoff of the instruments active then. Nothing is replaced if there are none."""
     panel = read_panel(spark, paths.table("staging"), end=cfg.cutoff)
-    active = exclude_non_modelable(read_panel(spark, paths.table("staging"), start=cfg.cutoff, end=cfg.cutoff))
+    active = active_keys(read_panel(spark, paths.table("staging"), start=cfg.cutoff, end=cfg.cutoff), cfg.cutoff)
     require_universe(active, cfg.cutoff)
-    write_snapshot(real_history(panel, cfg.cutoff), paths.table("output_real"), cfg.cutoff, ["fecha"])
+    write_snapshot(active, paths.table("output_active"), cfg.cutoff)
+    active = read_snapshot(spark, paths.table("output_active"), cfg.cutoff).drop("corte")
+    write_snapshot(real_history(panel, cfg.cutoff, active), paths.table("output_real"), cfg.cutoff, ["fecha"])
     return read_snapshot(spark, paths.table("output_real"), cfg.cutoff, schemas.REAL_HISTORY)
 
 
@@ -58,7 +60,7 @@ def store_completed(spark: SparkSession, paths: DailyPaths, cfg: RiskConfig) ->
         real, read_calendar(spark, paths.calendar), cfg.cutoff, cfg.history_days, universe
     )
     # Always read whole, so its rows need no clustering.
-    write_snapshot(completed, paths.table("output_final"), cfg.cutoff)
+    write_snapshot(completed, paths.table("output_final"), cfg.cutoff, dealt=True)
     return read_snapshot(spark, paths.table("output_final"), cfg.cutoff, schemas.COMPLETED)
 
 

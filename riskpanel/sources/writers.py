@@ -35,10 +35,12 @@ def write_partitions(df: DataFrame, path: str, by: Sequence[str]) -> None:
 
 
 def replace_by_key(
-    df: DataFrame, table: str, key: str, value: date | str, cluster_by: Sequence[str] = ()
+    df: DataFrame, table: str, key: str, value: date | str, cluster_by: Sequence[str] = (), dealt: bool = False
 ) -> None:
     """Replace the rows of one key value: the directory ``table/key=value``.
 
+    ``dealt``: the rows lie evenly over tasks already and are written, sorted, by the tasks that hold them.
+
     Written as a partition that is exchanged when the job commits: until then, and after a failed job, the old
     rows stay. An exchange with no rows would keep the old ones too, so an empty result, known
     only once it is written, is followed by clearing the directory.
@@ -47,7 +49,10 @@ def replace_by_key(
     schema = rows.schema
     written = Observation()
     rows = rows.observe(written, F.count(F.lit(1)).alias("rows"))
-    rows = _clustered(rows, cluster_by) if cluster_by else rows.hint("rebalance")
+    if dealt:
+        rows = rows.sortWithinPartitions(*cluster_by) if cluster_by else rows
+    else:
+        rows = _clustered(rows, cluster_by) if cluster_by else rows.hint("rebalance")
     (
         rows.withColumn(key, F.lit(str(value)))
         .write.mode("overwrite")
@@ -89,9 +94,11 @@ def warehouse_options(
     return {name: value for name, value in options.items() if value is not None}
 
 
-def write_snapshot(df: DataFrame, root: str, corte: date | str, cluster_by: Sequence[str] = ()) -> None:
+def write_snapshot(
+    df: DataFrame, root: str, corte: date | str, cluster_by: Sequence[str] = (), dealt: bool = False
+) -> None:
     """Replace one cutoff of a snapshot table."""
-    replace_by_key(df, root, "corte", as_date(corte).isoformat(), cluster_by)
+    replace_by_key(df, root, "corte", as_date(corte).isoformat(), cluster_by, dealt)
 
 
 def audit_counts(tables: Mapping[str, DataFrame], corte: date | str) -> DataFrame:

@@ -6,8 +6,10 @@ import pytest
 
 import __spark_entry__
 from riskpanel.catalog.compare import differences
+from riskpanel.catalog.inputs import derive_panel
 from riskpanel.catalog.oracle import oracle_sql
 from riskpanel.catalog.queries import queries
+from riskpanel.sources import write_snapshot
 
 SMALL = "/root/testdata/sf0.001"
 QUERIES, SQL = queries(), oracle_sql()
@@ -79,3 +81,17 @@ def test_scans_read_only_needed_columns(spark):
     plan = plan_of(QUERIES["beta_summary"](spark, SMALL))
     schema = re.search(r"ReadSchema: (struct<[^>]*>)", plan).group(1)
     assert "return_calc" in schema and "weight_calc" not in schema and "c1:" not in schema
+
+
+def test_panel_is_dealt_out_once(spark):
+    plan = initial_plan(derive_panel(spark, SMALL))
+    assert len(re.findall("Exchange hashpartitioning", plan)) == 1 and "REPARTITION_BY_NUM" in plan
+
+
+def test_dealt_rows_are_written_by_their_tasks(spark, tmp_path):
+    rows = spark.range(9).selectExpr("DATE'2024-03-15' AS corte", "date_add(DATE'2024-01-01', CAST(9 - id AS INT)) AS fecha", "id")
+    write_snapshot(rows.repartition(3, "id"), str(tmp_path / "t"), "2024-03-15", ["fecha"], dealt=True)
+    files = [str(f) for f in tmp_path.glob("t/corte=2024-03-15/*.parquet")]
+    days = [[r.fecha for r in spark.read.parquet(f).collect()] for f in files]
+    assert len(files) == len({r[0] for r in rows.repartition(3, "id").selectExpr("spark_partition_id()").collect()}) > 1
+    assert sum(map(len, days)) == 9 and all(d == sorted(d) for d in days)
