@@ -6,7 +6,7 @@ the height of the tree. Merging ends when the root holds no pair. Short pre-toke
 merged many at a time, one tree each, as rows of an array; long ones alone.
 
 Each text is split by the special strings of the vocabulary file first, as its library does by
-default, then by the pattern, and every pre-token is looked up in the worker's bounded cache.
+default, then by the pattern, and every pre-token is looked up in the task's bounded cache.
 """
 
 from __future__ import annotations
@@ -14,6 +14,7 @@ from __future__ import annotations
 import hashlib
 import json
 from collections.abc import Callable, Iterable, Iterator
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -21,6 +22,8 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from riskpanel.llm.common import text_slices, tidy
+
 # Fixed value: the pattern that cuts text into pre-tokens. White space is spelled out as Unicode has it.
 _WHITE = r"\t-\r " + "".join(map(chr, (0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)))
 PATTERN = (
@@ -29,9 +32,10 @@ PATTERN = (
 
 NONE = np.int64(1) << np.int64(60)
 LONG = 64  # symbols from which a pre-token gets a tree of its own
-CACHED = 100_000  # entries of a worker's cache
+CELLS = 1 << 16  # bytes of short pre-tokens, padded to a power of two, merged at a time
+CACHED = 100_000  # entries of a task's cache
 CACHED_BYTES = 64  # longest pre-token kept there
-GROUP = 500_000  # characters of text worked on at a time
+GROUP = 500_000  # characters of text worked on at a time, and bytes of texts taken from a batch at a time
 
 
 def byte_letters() -> list[str]:
@@ -57,7 +61,6 @@ class Encoder:
         self.merged = merged
         self.first = np.array([vocabulary[letter] for letter in letters], np.int64)
         self._hash_pairs(left, right)
-        self.rank_of = {(a, b): r for r, (a, b) in reversed(list(enumerate(zip(left.tolist(), right.tolist()))))}
         specials = {t["content"]: t["id"] for t in spec.get("added_tokens") or []}
         self.text_of = {i: bytes(byte_of[c] for c in token) for token, i in vocabulary.items()}
         self.text_of |= {i: token.encode() for token, i in specials.items()}
@@ -66,7 +69,6 @@ class Encoder:
         self.special = regex.compile("(" + "|".join(map(regex.escape, longest_first)) + ")") if specials else None
         self.pattern = regex.compile(PATTERN)
         self.cache: dict[str, bytes] = {}
-        self.lengths: dict[str, int] = {}  # for counting only
 
     # ranks of pairs: a table with open addressing, probed for whole arrays
 
@@ -88,6 +90,12 @@ class Encoder:
             rest = ~winner & ~known
             key, rank, slot = key[rest], rank[rest], (slot[rest] + 1) & (self.size - 1)
 
+    @cached_property
+    def rank_of(self) -> dict[int, int]:
+        """The same table as a dictionary, for pre-tokens that are merged alone."""
+        held = np.flatnonzero(self.keys >= 0)
+        return dict(zip(self.keys[held].tolist(), self.ranks[held].tolist()))
+
     def pair_ranks(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """Rank of each pair; NONE where it is not mergeable."""
         key = left << np.int64(20) | right
@@ -170,7 +178,7 @@ class Encoder:
 
         def pair(i: int) -> tuple[int, int]:
             j = after[i]
-            rank = self.rank_of.get((symbol[i], symbol[j])) if j < n else None
+            rank = self.rank_of.get(symbol[i] << 20 | symbol[j]) if j < n else None
             return none if rank is None else (rank, i)
 
         def update(i: int, value: tuple[int, int]) -> None:
@@ -211,8 +219,9 @@ class Encoder:
             else:
                 by_bits.setdefault((len(raw) - 1).bit_length(), []).append((token, raw))
         for bits, listed in by_bits.items():
-            for i in range(0, len(listed), 1 << 15):
-                some = listed[i : i + (1 << 15)]
+            step = CELLS >> bits
+            for i in range(0, len(listed), step):
+                some = listed[i : i + step]
                 done.update(zip((t for t, _ in some), self._merge_rows([r for _, r in some], bits)))
         return done
 
@@ -265,18 +274,6 @@ def groups(texts: list[str]) -> Iterator[list[str]]:
         yield group
 
 
-_encoders: dict[str, Encoder] = {}
-
-
-def encoder(content: str) -> Encoder:
-    """The worker's encoder of a vocabulary, kept with its cache between tasks."""
-    key = hashlib.sha256(content.encode()).hexdigest()
-    if key not in _encoders:
-        _encoders.clear()
-        _encoders[key] = Encoder(content)
-    return _encoders[key]
-
-
 def vocabulary(spark: SparkSession, path: str):
     """The content of a vocabulary file for all executors; its size does not depend on the data."""
     with open(path, encoding="utf-8") as file:
@@ -285,18 +282,19 @@ def vocabulary(spark: SparkSession, path: str):
 
 def _with_columns(docs: DataFrame, vocab, compute: Callable, added: list[tuple[str, str, pa.DataType]]) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = encoder(vocab.value)
+        own = Encoder(vocab.value)  # the task's: a worker that keeps one holds it through whatever stages come next
         for batch in batches:
-            texts = [t or "" for t in batch.column("text").to_pylist()]
-            columns = list(zip(*compute(own, texts))) or [()] * len(added)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), *(pa.array(c, k) for c, (_, _, k) in zip(columns, added))],
-                names=["doc_id", *(name for name, _, _ in added)],
-            )
+            for some in text_slices(batch, GROUP):
+                texts = [t or "" for t in some.column("text").to_pylist()]
+                columns = list(zip(*compute(own, texts))) or [()] * len(added)
+                yield pa.RecordBatch.from_arrays(
+                    [some.column("doc_id"), *(pa.array(c, k) for c, (_, _, k) in zip(columns, added))],
+                    names=["doc_id", *(name for name, _, _ in added)],
+                )
 
     id_type = docs.schema["doc_id"].dataType.simpleString()
     schema = ", ".join([f"doc_id {id_type}", *(f"{name} {kind}" for name, kind, _ in added)])
-    return docs.select("doc_id", "text").mapInArrow(run, schema)
+    return docs.select("doc_id", "text").mapInArrow(tidy(run), schema)
 
 
 def encode_documents(docs: DataFrame, path: str) -> DataFrame:

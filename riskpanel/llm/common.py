@@ -2,8 +2,14 @@
 
 from __future__ import annotations
 
+import ctypes
+from collections.abc import Callable, Iterator
+from functools import wraps
 from uuid import uuid4
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, DataType, StringType, StructType
@@ -51,6 +57,38 @@ def document_keys(*also: Column) -> tuple[Column, Column]:
     return F.coalesce(F.col("doc_id").cast("bigint"), F.lit(LAST_ID)), twin
 
 
+def release() -> None:
+    """Give memory that was freed back to the system, where the C library can: a worker outlives its tasks and the stage."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
+def tidy(run: Callable) -> Callable:
+    """``run`` for mapInArrow, without what earlier tasks of the worker left, and without leaving anything itself."""
+
+    @wraps(run)
+    def tidied(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
+        try:
+            yield from run(batches)
+        finally:
+            release()
+
+    return tidied
+
+
+def text_slices(batch: pa.RecordBatch, size: int) -> Iterator[pa.RecordBatch]:
+    """``batch`` in slices whose texts have about ``size`` bytes; a longer text has one to itself or ends one."""
+    length = pc.fill_null(pc.binary_length(batch.column("text")), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+    piece = (np.cumsum(length) - length) // size
+    cuts = [0, *(np.flatnonzero(np.diff(piece)) + 1).tolist(), batch.num_rows]
+    for a, b in zip(cuts, cuts[1:]):
+        if b > a:
+            yield batch.slice(a, b - a)
+
+
 def value_bytes(column: Column, kind: DataType) -> Column:
     """About what a value takes in memory."""
     if isinstance(kind, (StringType, BinaryType)):

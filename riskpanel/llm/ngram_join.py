@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskpanel.functions import splittable_join
-from riskpanel.llm.common import join_small, stored
+from riskpanel.llm.common import join_small, stored, tidy
 from riskpanel.llm.components import components
 
 
@@ -315,7 +315,7 @@ def rare_digests(sets: DataFrame, config: JoinConfig) -> DataFrame:
                 same = [np.full(len(s), x, np.int64) for x in (sid, n, group)]
                 yield pa.RecordBatch.from_arrays([pa.array(s), *map(pa.array, same)], names=["h", "sid", "n", "group"])
 
-    places = sets.select("sid", "n", "group", "shingles").mapInArrow(run, "h bigint, sid bigint, n bigint, group bigint")
+    places = sets.select("sid", "n", "group", "shingles").mapInArrow(tidy(run), "h bigint, sid bigint, n bigint, group bigint")
     places = stored(places, "places")
     across = places.groupBy("h").agg(F.count(F.lit(1)).alias("held"), F.min("group").alias("low"), F.max("group").alias("high"))
     common = splittable_join(places, across.filter("low < high").select("h", "held"), ["h"])
@@ -407,7 +407,7 @@ def linked(pairs: DataFrame, sets: DataFrame, config: JoinConfig, by: tuple[str,
     dealt = pairs.withColumn("bucket", F.pmod(F.xxhash64(*by), F.lit(buckets)))
     needed = dealt.select(F.col("a").alias("sid"), "bucket").union(dealt.select("b", "bucket")).distinct()
     parts = sets.select("sid", "shingles").join(needed, "sid").mapInArrow(
-        cut_segments(config), "bucket bigint, segment bigint, sid bigint, part binary"
+        tidy(cut_segments(config)), "bucket bigint, segment bigint, sid bigint, part binary"
     )
     asked = dealt.withColumn("segment", F.explode(F.expr(f"sequence(0L, {config.segments - 1}L)")))
     counts = (
@@ -434,21 +434,21 @@ def ngram_join(docs: DataFrame, config: JoinConfig = JoinConfig()) -> DataFrame:
     texts = docs.select("doc_id", F.col("text").cast("binary").alias("text"))
     letters = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     fragments = 1 + letters // (6 * config.fragment_shingles)  # about six letters to a word and so to an n-gram
-    first = stored(counted(texts.mapInArrow(pack_documents(config, fragments), PACKED)), "shared")
+    first = stored(counted(texts.mapInArrow(tidy(pack_documents(config, fragments)), PACKED)), "shared")
     ids = first.select("doc_id", "sid", "n")
     possible = f"100 * shared >= {config.percent} * n"
 
     # a set that several chunks hold has the same count in each
     representatives = first.filter("doc_id IS NOT NULL AND sid IS NOT NULL").filter(possible).groupBy("sid").agg(F.min("doc_id").alias("doc_id"))
     open_sets = stored(representatives.select("doc_id").distinct(), "open")
-    built = join_small(texts, open_sets, ["doc_id"], "left_semi").mapInArrow(build_sets(config), SETS)
+    built = join_small(texts, open_sets, ["doc_id"], "left_semi").mapInArrow(tidy(build_sets(config)), SETS)
     sets = stored(built.dropDuplicates(["sid"]), "sets")
 
     links = stored(linked(stored(leader_pairs(sets, config), "pairs"), sets, config), "links")
     groups = components(links)
     grouped = stored(in_groups(sets.drop("sketch"), groups), "grouped")
     fragments = 1 + (grouped.agg(F.sum("n")).first()[0] or 0) // config.fragment_shingles
-    across = counted(grouped.select("sid", "group", "shingles").mapInArrow(pack_sets(config, fragments), PACKED))
+    across = counted(grouped.select("sid", "group", "shingles").mapInArrow(tidy(pack_sets(config, fragments)), PACKED))
     across = across.filter(possible).select("sid")
     still = stored(splittable_join(grouped, across, ["sid"], "left_semi"), "still")
     rare = stored(rare_digests(still, config), "rare")

@@ -1,7 +1,7 @@
 """Token counts by a two-tier lookup on the map side.
 
 Tier one is a compact table of frequent pre-tokens and their numbers of tokens, broadcast
-once; tier two is each worker's cache of everything else. A pre-token in neither is encoded
+once; tier two is each task's cache of everything else. A pre-token in neither is encoded
 in place. Nothing is shuffled, whatever pre-tokens the texts hold.
 """
 
@@ -16,7 +16,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskpanel.llm.bpe import Encoder, encoder, groups, vocabulary
+from riskpanel.llm.bpe import GROUP, Encoder, groups, vocabulary
+from riskpanel.llm.common import text_slices, tidy
 
 
 @dataclass(frozen=True)
@@ -61,10 +62,10 @@ class Counter:
     ROOM = 100_000
 
     def __init__(self, content: str, table: tuple[bytes, bytes]) -> None:
-        self.encoder = encoder(content)
+        self.encoder = Encoder(content)
         names, lengths = table
         self.frequent = dict(zip(names.decode().split("\0"), lengths)) if lengths else {}
-        self.cache = self.encoder.lengths
+        self.cache: dict[str, int] = {}
 
     def count(self, texts: list[str]) -> Iterator[int]:
         frequent, cache = self.frequent, self.cache
@@ -92,13 +93,14 @@ def count_tokens(docs: DataFrame, path: str, config: CountConfig = CountConfig()
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counter = Counter(vocab.value, table.value)
         for batch in batches:
-            texts = [t or "" for t in batch.column("text").to_pylist()]
-            n = np.fromiter(counter.count(texts), np.int64, len(texts))
-            size = pa.array([len(t.encode()) for t in texts], pa.int64())
-            columns = [batch.column("doc_id"), size, pa.array(n), pa.array(n > limit)]
-            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n_bytes", "n_tokens", "over_limit"])
+            for some in text_slices(batch, GROUP):
+                texts = [t or "" for t in some.column("text").to_pylist()]
+                n = np.fromiter(counter.count(texts), np.int64, len(texts))
+                size = pa.array([len(t.encode()) for t in texts], pa.int64())
+                columns = [some.column("doc_id"), size, pa.array(n), pa.array(n > limit)]
+                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n_bytes", "n_tokens", "over_limit"])
 
     id_type = docs.schema["doc_id"].dataType.simpleString()
     return docs.select("doc_id", "text").mapInArrow(
-        run, f"doc_id {id_type}, n_bytes bigint, n_tokens bigint, over_limit boolean"
+        tidy(run), f"doc_id {id_type}, n_bytes bigint, n_tokens bigint, over_limit boolean"
     )

@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskpanel.functions import splittable_join
-from riskpanel.llm.common import document_keys, join_small, stored
+from riskpanel.llm.common import document_keys, join_small, release, stored, tidy
 
 
 @dataclass(frozen=True)
@@ -68,7 +68,7 @@ class Words(dict):
     Of bounded size: a full table starts anew.
     """
 
-    ROOM = 500_000
+    ROOM = 200_000
 
     def __init__(self) -> None:
         super().__init__()
@@ -225,7 +225,7 @@ def runs_of(config: UnitConfig) -> Callable:
 
 def repeated_runs(texts: DataFrame, config: UnitConfig) -> DataFrame:
     """(run, *REPEATS): runs of repeated seeds that may reach ``least_words``."""
-    found = stored(texts.mapInArrow(seeds_of(config), SEEDS), "seeds")
+    found = stored(texts.mapInArrow(tidy(seeds_of(config)), SEEDS), "seeds")
     # digests alone first: most seeds occur once and travel no further
     twice = stored(found.groupBy("digest").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("digest"), "twice")
     found = stored(join_small(found, twice, ["digest"], "left_semi"), "again")
@@ -240,7 +240,7 @@ def repeated_runs(texts: DataFrame, config: UnitConfig) -> DataFrame:
         F.coalesce(F.col("after") == F.col("kept.after"), F.lit(False)).alias("right"),
     )
     by_doc = here.groupBy("id", "twin").agg(F.collect_set(seed).alias("seeds"))  # the units of one text
-    runs = stored(by_doc.mapInArrow(runs_of(config), REPEATS), "runs")
+    runs = stored(by_doc.mapInArrow(tidy(runs_of(config)), REPEATS), "runs")
     return runs.withColumn("run", F.monotonically_increasing_id())
 
 
@@ -264,7 +264,7 @@ def look_up(texts: DataFrame, asked: DataFrame, answer: Callable, kind: str) ->
                 yield pa.RecordBatch.from_pylist(rows, schema=fields)
 
     # rows that repeat an id and its text answer alike
-    return join_small(texts, by_doc, ["id", "twin"], "inner").mapInArrow(run, kind).distinct()
+    return join_small(texts, by_doc, ["id", "twin"], "inner").mapInArrow(tidy(run), kind).distinct()
 
 
 EDGES = "id bigint, twin bigint, at int, side int, words binary"
@@ -421,8 +421,11 @@ def remove_repeats(docs: DataFrame, config: UnitConfig = UnitConfig()) -> DataFr
     joined = join_small(rows, by_doc, ["id", "twin"], "left")
 
     @F.pandas_udf("string")
-    def without(texts: pd.Series, cuts: pd.Series) -> pd.Series:
-        return pd.Series([t if c is None else cut_words(t, [(x["first"], x["words"]) for x in c]) for t, c in zip(texts, cuts)], dtype=object)
+    def without(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+        for texts, cuts in batches:
+            yield pd.Series([t if c is None else cut_words(t, [(x["first"], x["words"]) for x in c]) for t, c in zip(texts, cuts)], dtype=object)
+            texts = cuts = None
+        release()
 
     joined = joined.withColumn("_new", without("_text", "_cut"))
 

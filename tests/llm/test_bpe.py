@@ -1,14 +1,20 @@
 from __future__ import annotations
 
+import gc
 import hashlib
 import random
+import weakref
+from types import SimpleNamespace
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
+from pyspark.sql.types import LongType, StructField, StructType
 from tokenizers import Tokenizer
 
 from riskpanel.llm import bpe
+from riskpanel.llm.common import text_slices
 from riskpanel.llm.token_counts import CountConfig, count_tokens, frequent_lengths
 from tests.llm.frames import EDGES, SMALL, docs_of, edge_docs, empty_docs, rows_of
 
@@ -112,3 +118,41 @@ def test_the_frequent_table_is_of_all_rows_not_of_the_first(spark):
     long = spark.createDataFrame([(1, "head " * 10_000 + "tail " * 10_000)], "doc_id bigint, text string")
     assert frequent_lengths(long, vocab, CountConfig(sample_bytes=200))[0]
     assert frequent_lengths(long.limit(0), vocab, CountConfig()) == (b"", b"")
+
+
+def test_nothing_stays_with_a_worker_and_a_batch_is_taken_in_slices(monkeypatch):
+    """An encoder that outlived its task, and a whole batch as texts, took an executor's memory through later stages."""
+    monkeypatch.setattr(bpe, "vocabulary", lambda spark, path: SimpleNamespace(value=open(path, encoding="utf-8").read()))
+    encoders, at_once = weakref.WeakSet(), []
+    build, encode = bpe.Encoder.__init__, bpe.Encoder.encode
+    monkeypatch.setattr(bpe.Encoder, "__init__", lambda self, content: encoders.add(self) or build(self, content))
+    monkeypatch.setattr(bpe.Encoder, "encode", lambda self, texts: at_once.append(sum(map(len, texts))) or encode(self, texts))
+    docs = SimpleNamespace(sparkSession=None, schema=StructType([StructField("doc_id", LongType())]), mapInArrow=lambda run, schema: run)
+    docs.select = lambda *columns: docs
+    text = "some words of a text, " * 1000
+    texts = [text, None, ""] * 100 + ["x" * 3 * bpe.GROUP] + [text] * 10
+    batch = pa.RecordBatch.from_pydict({"doc_id": list(range(len(texts))), "text": texts})
+    out = pa.Table.from_batches(bpe.encoding_digests(docs, PATH)(iter([batch, batch.slice(0, 0)])))
+    gc.collect()
+    assert not encoders
+    assert len(at_once) > 3 and sorted(at_once)[-2] <= bpe.GROUP + len(text)
+    assert out.column("doc_id").to_pylist() == list(range(len(texts)))
+    known = {t: expected_digests(t) for t in set(texts)}
+    assert list(zip(*out.to_pydict().values())) == [(i, *known[t]) for i, t in enumerate(texts)]
+
+
+def test_rows_merged_at_a_time_are_bounded_in_bytes(own, monkeypatch):
+    sizes, merge = [], bpe.Encoder._merge_rows
+    monkeypatch.setattr(bpe.Encoder, "_merge_rows", lambda self, tokens, bits: sizes.append(len(tokens) << bits) or merge(self, tokens, bits))
+    tokens = [f"{i:060d}" for i in range(3000)]
+    assert own.encode_tokens(tokens) == {t: np.array(LIBRARY.encode(t).ids, np.uint32).tobytes() for t in tokens}
+    assert max(sizes) <= 1 << 16
+
+
+def test_slices_of_a_batch():
+    texts = ["ab", None, "é", "", "abcdefghij", "a", None]
+    batch = pa.RecordBatch.from_pydict({"n": list(range(7)), "text": texts})
+    slices = [s.column("text").to_pylist() for s in text_slices(batch, 4)]
+    assert slices == [["ab", None, "é"], ["", "abcdefghij"], ["a", None]]
+    nulls = pa.RecordBatch.from_arrays([pa.nulls(3, pa.string())], names=["text"])
+    assert [s.num_rows for s in text_slices(nulls, 4)] == [3] and not list(text_slices(nulls.slice(0, 0), 4))
