@@ -282,8 +282,9 @@ def vocabulary(spark: SparkSession, path: str):
 
 def _with_columns(docs: DataFrame, vocab, compute: Callable, added: list[tuple[str, str, pa.DataType]]) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = Encoder(vocab.value)  # the task's: a worker that keeps one holds it through whatever stages come next
+        own = None  # the task's: a worker that keeps one holds it through whatever stages come next
         for batch in batches:
+            own = own or Encoder(vocab.value)  # not while the JVM still gathers the first batch
             for some in text_slices(batch, GROUP):
                 texts = [t or "" for t in some.column("text").to_pylist()]
                 columns = list(zip(*compute(own, texts))) or [()] * len(added)

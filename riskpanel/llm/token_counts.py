@@ -91,8 +91,9 @@ def count_tokens(docs: DataFrame, path: str, config: CountConfig = CountConfig()
     limit = config.limit
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counter = Counter(vocab.value, table.value)
+        counter = None
         for batch in batches:
+            counter = counter or Counter(vocab.value, table.value)  # not while the JVM still gathers the first batch
             for some in text_slices(batch, GROUP):
                 texts = [t or "" for t in some.column("text").to_pylist()]
                 n = np.fromiter(counter.count(texts), np.int64, len(texts))
