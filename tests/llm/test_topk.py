@@ -6,7 +6,8 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from riskpanel.llm.topk_blocks import Range, SearchConfig, bounds_of, cut_ranges, top_k
+from riskpanel.llm import topk_blocks
+from riskpanel.llm.topk_blocks import Range, SearchConfig, bounds_of, cut_ranges, reached, search_range, top_k
 from tests.llm import brute
 from tests.llm.frames import SMALL, rows_of
 
@@ -87,3 +88,52 @@ def test_ranges_of_many_partitions_have_names_of_their_own():
     batch = pa.RecordBatch.from_pydict({"vec_id": [1] * 5, "components": [[1.0]] * 5, "row": rows})
     names = [n for b in cut_ranges(SearchConfig(range_vectors=2))(iter([batch])) for n in b.column("range").to_pylist()]
     assert names == rows[::2]
+
+
+def test_many_queries_share_one_product(monkeypatch):
+    rng = np.random.default_rng(5)
+    vectors, queries = (rng.integers(-9, 9, (n, 6)).astype(float) for n in (200, 300))
+    ids = np.arange(1000, 1300)
+    ranges = pa.table({
+        "range": [0], "n": [200], "width": [6], "ids": [np.arange(200).tobytes()], "vectors": [vectors.tobytes()],
+    })
+    asked = pa.table({
+        "query_id": ids, "floor": np.full(300, -np.inf), "floor_id": np.full(300, 2**63 - 1),
+        "components": pa.array(queries.tolist(), pa.list_(pa.float64())),
+    })
+    calls, dots = [], topk_blocks.dots
+    monkeypatch.setattr(topk_blocks, "dots", lambda *given: calls.append(1) or dots(*given))
+    got = search_range(SearchConfig(k=5, block=8))(ranges, asked)
+    expected = {
+        (int(q), i, int(vectors[i] @ row)) for q, row in zip(ids, queries)
+        for i in sorted(range(200), key=lambda i: (-(vectors[i] @ row), i))[:5]
+    }
+    assert set(zip(*(got.column(c).to_pylist() for c in got.column_names))) == expected and got.num_rows == 1500
+    assert len(calls) < 20
+
+
+def test_ranges_that_only_tie_with_larger_ids_are_not_reached():
+    ranges = pa.table({"range": [1, 2, 3], "lowest": [5, 60, 70], "most": [[2.0, 1.0], [2.0, 1.0], [3.0, 1.0]], "least": [[0.0, 0.0]] * 3})
+    queries = pa.table({"query_id": [20], "floor": [6.0], "floor_id": [50], "components": [[3.0, 0.0]]})
+    assert reached(ranges, queries).column("range").to_pylist() == [1, 3]
+
+
+@pytest.mark.parametrize("copied", [False, True])
+def test_copies_and_near_copies(spark, copied):
+    rng = random.Random(11)
+    base = [[rng.gauss(0, 1) for _ in range(5)] for _ in range(40)]
+    rows = [(i, base[0] if copied and i % 3 < 2 else [x + rng.gauss(0, 0.01) for x in base[i % 40]]) for i in range(300)]
+    assert found(top_k(frame(spark, rows), SMALL_TASKS)) == sorted(brute.top_k(rows))
+
+
+def test_a_batch_is_cut_into_ranges_of_like_size():
+    batch = pa.RecordBatch.from_pydict({"vec_id": list(range(10)), "components": [[1.0], [1.0, 2.0]] * 5, "row": list(range(10))})
+    cut = list(cut_ranges(SearchConfig(range_vectors=8))(iter([batch])))
+    assert [b.column("n")[0].as_py() for b in cut] == [5, 5]
+    assert np.frombuffer(cut[0].column("vectors")[0].as_py()).reshape(5, 2)[:2].tolist() == [[1.0, 0.0], [1.0, 2.0]]
+
+
+def test_a_huge_query_beside_small_ones_stays_exact(spark):
+    rows = [(i, [i - 30.0, 1.0 + i % 4]) for i in range(60)] + [(60, [2.0**55 + 2.0**10, 1.0]), (80, [2.0**55, -3.0])]
+    expected = [(q, r, v, max(-(2**63), min(2**63 - 1, s))) for q, r, v, s in brute.top_k(rows) if q < 60]
+    assert [r for r in found(top_k(frame(spark, rows), SMALL_TASKS)) if r[0] < 60] == sorted(expected)
