@@ -36,10 +36,10 @@ class SearchConfig:
     scale: int = 64
     block: int = 64
     range_vectors: int = 8192
-    queries_per_group: int = 2048
+    queries_per_group: int = 8192
     centres: int = 64
     sample: int = 4096
-    ranges_per_block: int = 512
+    ranges_per_block: int = 128
 
 
 #: Below this no sum of products of doubles loses a unit.
@@ -199,7 +199,7 @@ class Range:
             rows = (some[:, None] * self.block + np.arange(self.block)).ravel()
             rows = rows[rows < len(self.ids)]
             scored = dots(queries[asking], self.vectors[rows])
-            i, j = np.nonzero(scored >= kth[asking][:, None])
+            i, j = np.divmod(np.flatnonzero(scored >= kth[asking][:, None]), max(1, len(rows)))
             new, score, found = asking[i], scored[i, j], self.ids[rows[j]]
             fits = (found != query_ids[new]) & ((score > kth[new]) | (found <= kth_id[new]))
             if not fits.any():
