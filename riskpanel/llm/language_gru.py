@@ -155,7 +155,7 @@ class Network:
             some = slice(a, a + self.config.batch)
             at = np.arange(w)[:, None]
             there = at < held[some]
-            symbols = np.where(there, raw[np.minimum(begin[some] + at, len(raw) - 1)], PAD).astype(np.intp)
+            symbols = np.where(there, raw[np.minimum(begin[some] + at, len(raw) - 1)].astype(np.intp), PAD)  # no byte holds PAD
             total = np.zeros((len(self.languages), symbols.shape[1]), np.float32)
             for t, p in self.label(symbols):
                 total += p * there[t]

@@ -43,6 +43,14 @@ def test_pooling_equals_the_plain_version():
         assert np.allclose(row, plain_probabilities(network, text), atol=1e-5) and abs(row.sum() - 1) < 1e-5
 
 
+def test_padding_is_not_the_zero_byte():
+    network = Network(["a", "b", "c"], NetworkConfig(states=5, window=7, batch=3, seed=2))
+    before = network.pool([b"x", b"eight by"])
+    for direction in (network.forward, network.backward):
+        direction.table[:, 0] += 5
+    assert (network.pool([b"x", b"eight by"]) == before).all()
+
+
 def test_gradients_equal_differences():
     network = Network(["a", "b", "c"], NetworkConfig(states=4, window=9, seed=3))
     for direction in (network.forward, network.backward):
